@@ -19,11 +19,11 @@ from orderloom.operators.expectations import Expectation, run_suite
 from orderloom.operators.latest import latest_address
 from orderloom.parity.starschema import ORDER_STATUSES, relations
 from orderloom.plans import marts, pipeline
-from orderloom.plans.silver import build_silver, order_payments
+from orderloom.plans.silver import build_silver, order_details, order_payments, order_reviews
 from orderloom.plans.staging import build_staging
 from orderloom.plans.suite import pipeline_suite
 from orderloom.schemas import RAW, schema_of
-from orderloom.session import configure, scratch_dir, size_shuffles
+from orderloom.session import configure, scratch_dir, size_for_input
 from orderloom.sources.raw import ingest, read_snapshot, write_snapshot
 from orderloom.sources.tables import create_schema, create_silver_tables, load, write_parquet
 
@@ -31,6 +31,16 @@ MONEY_SCALE = 4
 DAY_1 = datetime(2024, 5, 1, 6, tzinfo=timezone.utc)
 DAY_2 = datetime(2024, 5, 2, 6, tzinfo=timezone.utc)
 
+# The order item columns that the marts read.
+ORDER_ITEM_COLUMNS = [
+    *aggregates.ORDER_ATTRIBUTES, "price", "freight_value", "total_item_value",
+]
+CUSTOMER_COLUMNS = [
+    "customer_unique_id", "customer_city", "customer_state", "order_id", "order_item_id",
+    "order_purchase_timestamp", "total_item_value",
+]
+PRODUCT_COLUMNS = [*aggregates.PRODUCT_ATTRIBUTES, "order_id", "price"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -38,7 +48,7 @@ QUERIES: dict[str, Query] = {}
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        size_shuffles(spark, sf_dir)
+        size_for_input(spark, sf_dir)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
@@ -57,8 +67,18 @@ def _staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_staging(_silver(spark, sf_dir))
 
 
-def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staging(spark, sf_dir)["stg_order_details"]
+def _details(raw: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """Order items with what a mart reads. The test tables' keys are unique by construction."""
+    return order_details(
+        raw["order_items"],
+        raw["orders"],
+        raw["customers"],
+        raw["products"],
+        raw["category_translation"],
+        raw["sellers"],
+        columns=columns,
+        unique_keys=("products", "category_translation", "sellers"),
+    )
 
 
 # Joins
@@ -193,7 +213,7 @@ def stg_order_reviews(spark, sf_dir):
 
 @query
 def agg_items_per_order(spark, sf_dir):
-    return aggregates.items_per_order(_details(spark, sf_dir), MONEY_SCALE)
+    return aggregates.items_per_order(_details(relations(spark, sf_dir), ORDER_ITEM_COLUMNS), MONEY_SCALE)
 
 
 @query
@@ -210,38 +230,38 @@ def agg_reviews_per_order(spark, sf_dir):
 
 @query
 def agg_customer_metrics(spark, sf_dir):
-    return aggregates.customer_metrics(_details(spark, sf_dir), MONEY_SCALE)
+    return aggregates.customer_metrics(_details(relations(spark, sf_dir), CUSTOMER_COLUMNS), MONEY_SCALE)
 
 
 @query
 def latest_address_row_number(spark, sf_dir):
-    return latest_address(_details(spark, sf_dir))
+    return latest_address(_details(relations(spark, sf_dir), CUSTOMER_COLUMNS))
 
 
 @query
 def fct_orders(spark, sf_dir):
-    staging = _staging(spark, sf_dir)
+    raw = relations(spark, sf_dir)
     return marts.fct_orders(
-        staging["stg_order_details"],
-        staging["stg_order_payments"],
-        staging["stg_order_reviews"],
+        _details(raw, ORDER_ITEM_COLUMNS),
+        order_payments(raw["payments"], raw["orders"]),
+        order_reviews(raw["reviews"], raw["orders"]),
         MONEY_SCALE,
     )
 
 
 @query
 def dim_customers(spark, sf_dir):
-    return marts.dim_customers(_details(spark, sf_dir), MONEY_SCALE)
+    return marts.dim_customers(_details(relations(spark, sf_dir), CUSTOMER_COLUMNS), MONEY_SCALE)
 
 
 @query
 def dim_customers_one_pass(spark, sf_dir):
-    return marts.dim_customers_one_pass(_details(spark, sf_dir), MONEY_SCALE)
+    return marts.dim_customers_one_pass(_details(relations(spark, sf_dir), CUSTOMER_COLUMNS), MONEY_SCALE)
 
 
 @query
 def dim_products(spark, sf_dir):
-    return marts.dim_products(_details(spark, sf_dir), MONEY_SCALE)
+    return marts.dim_products(_details(relations(spark, sf_dir), PRODUCT_COLUMNS), MONEY_SCALE)
 
 
 # Column tests

@@ -12,6 +12,22 @@ from pyspark.sql import functions as F
 ORDER_STATUSES = ("F", "O", "P")
 
 
+# Stated, so that reading a table starts no job to look at its files.
+TABLES = {
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_extendedprice DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_brand STRING, p_type STRING, p_size INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+}
+
+
 def _days(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' DAY")
 
@@ -20,21 +36,15 @@ def _quarter(name: str) -> Column:
     return F.floor(F.col(name) / 4.0).cast("bigint")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-
-
 def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    places = _places(spark, sf_dir)
-    shipped = (
-        table("lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    places = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    lineitem = table("lineitem")
+    part = table("part")
+    shipped = lineitem.groupBy("l_orderkey").agg(
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
     )
     order_date = F.col("o_orderdate")
     orders = (
@@ -53,7 +63,7 @@ def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             (order_date + _days(30)).alias("order_estimated_delivery_date"),
         )
     )
-    order_items = table("lineitem").select(
+    order_items = lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
@@ -63,7 +73,7 @@ def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
     )
     size = F.col("p_size")
-    products = table("part").select(
+    products = part.select(
         F.col("p_partkey").alias("product_id"),
         F.when(F.col("p_brand") != "Brand#1", F.col("p_type")).alias("product_category_name"),
         size.alias("product_weight_g"),
@@ -72,8 +82,7 @@ def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (size + 3).alias("product_width_cm"),
     )
     category_translation = (
-        table("part")
-        .where(F.col("p_type") != "PROMO")
+        part.where(F.col("p_type") != "PROMO")
         .select(F.col("p_type").alias("product_category_name"))
         .distinct()
         .withColumn("product_category_name_english", F.lower("product_category_name"))

@@ -14,7 +14,7 @@ from orderloom.plans.silver import build_silver
 from orderloom.plans.staging import STAGING_SOURCE, view_sql
 from orderloom.plans.suite import ORDER_STATUSES, pipeline_suite
 from orderloom.schemas import RAW, SILVER
-from orderloom.session import configure, size_shuffles
+from orderloom.session import configure, size_for_input
 from orderloom.sources.raw import Landed, ingest, read_raw, require
 from orderloom.sources.tables import (
     create_schema,
@@ -53,7 +53,7 @@ def transform(
 ) -> None:
     """Raw snapshots to silver Parquet."""
     raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
-    size_shuffles(spark, layout.raw_path)
+    size_for_input(spark, layout.raw_path)
     for table, df in build_silver(raw).items():
         write_parquet(df, f"{layout.silver_path}/{table}", output_files)
 

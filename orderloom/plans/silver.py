@@ -6,15 +6,20 @@ once per source row and shuffles carry narrow rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
 from orderloom.functions.casts import typed
 from orderloom.functions.measures import days_from, item_value
 from orderloom.operators import joins
-from orderloom.schemas import RAW, in_table_order
+from orderloom.schemas import RAW, SILVER, in_table_order
 
+LEFT_JOIN_KEYS = {
+    "products": "product_id",
+    "category_translation": "product_category_name",
+    "sellers": "seller_id",
+}
 ORDER_REFERENCE = ["order_id", "order_status", "order_purchase_timestamp"]
 
 
@@ -25,23 +30,40 @@ def order_details(
     products: DataFrame,
     category_translation: DataFrame,
     sellers: DataFrame,
+    columns: Collection[str] | None = None,
+    unique_keys: Collection[str] = (),
 ) -> DataFrame:
     """One row per order item.
 
     Customers are joined to orders and translations to products before either meets the items, so
     the largest table takes part in three joins instead of five and never in the one on the
     category, whose few values would crowd a handful of partitions.
+
+    With ``columns`` only these are built. A left-joined table that gives none of them still has to
+    be joined, because a repeated key would repeat items, unless ``unique_keys`` names it (products,
+    category_translation, sellers): the caller vouches that its key is unique.
     """
+    wanted = set(columns or SILVER["order_details"])
+
+    def needed(table: str) -> bool:
+        gives = set(RAW[table].fieldNames()) - {LEFT_JOIN_KEYS[table]}
+        return table not in unique_keys or not wanted.isdisjoint(gives)
+
     customer_orders = joins.with_customers(
         typed(orders, RAW["orders"]), typed(customers, RAW["customers"])
     )
-    named_products = joins.with_translation(
-        typed(products, RAW["products"]), typed(category_translation, RAW["category_translation"])
-    )
     items = joins.with_orders(typed(order_items, RAW["order_items"]), customer_orders)
-    items = joins.with_products(items, named_products)
-    items = joins.with_sellers(items, typed(sellers, RAW["sellers"]))
-    return in_table_order(with_item_measures(items).drop("customer_id"), "order_details")
+    named_products = typed(products, RAW["products"])
+    if needed("category_translation"):
+        named_products = joins.with_translation(
+            named_products, typed(category_translation, RAW["category_translation"])
+        )
+    if needed("products") or needed("category_translation"):
+        items = joins.with_products(items, named_products)
+    if needed("sellers"):
+        items = joins.with_sellers(items, typed(sellers, RAW["sellers"]))
+    items = with_item_measures(items).drop("customer_id")
+    return items.select(*columns) if columns else in_table_order(items, "order_details")
 
 
 def with_item_measures(items: DataFrame) -> DataFrame:

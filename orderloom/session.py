@@ -17,12 +17,15 @@ RUNTIME_CONF = {
     # Hot join keys: split the hot partition between tasks, also where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Measured after the shuffle, so a side is broadcast only when it really is this small.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+MB = 1024 * 1024
+BYTES_PER_SHUFFLE_PARTITION = 128 * MB
 MAX_SHUFFLE_PARTITIONS = 50_000
+# A side is broadcast up to this share of the input, within these bounds.
+BROADCAST_SHARE = 1024
+MIN_BROADCAST = 4 * MB
+MAX_BROADCAST = 128 * MB
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -39,16 +42,22 @@ def get_session(app_name: str = "orderloom", master: str | None = None) -> Spark
     return configure(builder.getOrCreate())
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Start shuffles with one partition per 128 MB of input; AQE merges the small ones back.
+def size_for_input(spark: SparkSession, *paths: str) -> int:
+    """Fit shuffles and broadcasts to the stored size of the input, and return that size.
 
-    The session's own ``spark.sql.shuffle.partitions`` is the lower bound.
+    Shuffles start with one partition per 128 MB, at least ``spark.sql.shuffle.partitions``; AQE
+    merges small ones. The more there is to shuffle, the larger a table it is worth broadcasting
+    instead, so that limit grows with the input. It is checked against file sizes when a join is
+    planned and against measured sizes after a shuffle.
     """
+    size = total_bytes(spark, *paths)
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = total_bytes(spark, *paths) // BYTES_PER_SHUFFLE_PARTITION
-    partitions = max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    partitions = max(floor, min(size // BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    return partitions
+    broadcast = max(MIN_BROADCAST, min(size // BROADCAST_SHARE, MAX_BROADCAST))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(broadcast))
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(broadcast))
+    return size
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -27,6 +27,7 @@ class Landed:
     table: str
     status: str
     attempts: int
+    rows: int | None = None
     error: str | None = None
 
 
@@ -66,11 +67,11 @@ def ingest(
     report = []
     for table, path in csv_tables(spark, csv_dir).items():
 
-        def land(table=table, path=path):
+        def land(table=table, path=path) -> int:
             rows = read(spark, path)
             if table in infer:
                 rows = with_inferred_types(rows)
-            write_snapshot(rows, raw_path, table, run_ts)
+            return write_snapshot(rows, raw_path, table, run_ts)
 
         report.append(_with_retries(table, land, max_retries, retry_delay))
     require(report, required)
@@ -87,17 +88,16 @@ def require(report: list[Landed], tables: Iterable[str]) -> None:
 
 
 def _with_retries(
-    table: str, action: Callable[[], None], max_retries: int, retry_delay: float
+    table: str, action: Callable[[], int], max_retries: int, retry_delay: float
 ) -> Landed:
     for attempt in range(1, max_retries + 1):
         try:
-            action()
-            return Landed(table, "landed", attempt)
+            return Landed(table, "landed", attempt, rows=action())
         except Exception as e:  # any failure of one table leaves the others unaffected
             error = f"{type(e).__name__}: {e}".splitlines()[0]
             if attempt < max_retries:
                 time.sleep(retry_delay)
-    return Landed(table, "skipped", max_retries, error)
+    return Landed(table, "skipped", max_retries, error=error)
 
 
 def with_inferred_types(rows: DataFrame) -> DataFrame:
@@ -130,17 +130,29 @@ def with_inferred_types(rows: DataFrame) -> DataFrame:
     return rows.select(*[as_found(name) for name in rows.columns])
 
 
-def write_snapshot(rows: DataFrame, raw_path: str, table: str, run_ts: datetime) -> None:
-    """Write one day's snapshot: replaces the same day, leaves the other days alone."""
-    stamped = rows.withColumn(STAMP, F.lit(run_ts)).withColumn(
-        DAY, F.lit(run_ts.strftime("%Y-%m-%d")).cast("date")
+def write_snapshot(rows: DataFrame, raw_path: str, table: str, run_ts: datetime) -> int:
+    """Write one day's snapshot and return its number of rows.
+
+    It replaces the same day and leaves the other days alone. The stored files of that day are
+    replaced when the write commits.
+    """
+    folder = f"{raw_path.rstrip('/')}/{table}"
+    day = run_ts.strftime("%Y-%m-%d")
+    written = Observation()
+    stamped = rows.withColumn(STAMP, F.lit(run_ts)).observe(
+        written, F.count(F.lit(1)).alias("rows")
     )
     (
-        stamped.write.mode("overwrite")
+        stamped.withColumn(DAY, F.lit(day).cast("date"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
-        .parquet(f"{raw_path.rstrip('/')}/{table}")
+        .parquet(folder)
     )
+    if written.get["rows"] == 0:
+        # Without rows the write above touches no day, so the empty day is written by its name.
+        stamped.limit(0).write.mode("overwrite").parquet(f"{folder}/{DAY}={day}")
+    return written.get["rows"]
 
 
 def snapshot_days(spark: SparkSession, raw_path: str, table: str) -> list[str]:

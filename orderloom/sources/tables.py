@@ -43,11 +43,21 @@ def load(
 ) -> None:
     """Load a silver Parquet folder into its table.
 
-    The default replaces the table's content in one statement, so a load that fails before its
-    commit leaves no empty table behind. Columns are matched by name, then written in table order.
+    Columns are matched by name. The default replaces the table's content: the new rows go to a
+    table next to it that takes its place when all are written, so a load that fails changes
+    nothing.
     """
     rows = in_table_order(spark.read.parquet(path), table)
-    rows.write.insertInto(f"{schema}.{table}", overwrite=not append)
+    target = f"{schema}.{table}"
+    if append:
+        rows.write.insertInto(target)
+        return
+    loading = f"{target}_loading"
+    spark.sql(f"DROP TABLE IF EXISTS {loading}")
+    spark.sql(f"CREATE TABLE {loading} LIKE {target}")
+    rows.write.insertInto(loading)
+    spark.sql(f"DROP TABLE {target}")
+    spark.sql(f"ALTER TABLE {loading} RENAME TO {target}")
 
 
 def save_table(df: DataFrame, schema: str, table: str) -> None:

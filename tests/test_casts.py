@@ -1,0 +1,52 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql.types import DoubleType
+
+from orderloom.functions.casts import typed
+from orderloom.schemas import schema_of
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "kind, text, expected",
+    [
+        ("int", "12", 12),
+        ("int", "12.0", 12),
+        ("int", "7.9", 7),
+        ("int", "-3.5", -3),
+        ("int", " 4 ", 4),
+        ("int", "x", None),
+        ("int", "", None),
+        ("int", "1e3", None),
+        ("int", "12d", None),
+        ("int", "99999999999", None),
+        ("int", None, None),
+        ("double", "10.5", 10.5),
+        ("double", "1e3", 1000.0),
+        ("double", "ten", None),
+        ("timestamp", "2018-03-04 05:06:07", datetime(2018, 3, 4, 5, 6, 7)),
+        ("timestamp", "2018-03-04", datetime(2018, 3, 4)),
+        ("timestamp", "", None),
+        ("timestamp", "abc", None),
+        ("string", "01037", "01037"),
+    ],
+)
+def test_text_that_cannot_be_read_is_null(spark, conf, ansi, kind, text, expected):
+    conf(ansi__enabled=ansi)
+    df = typed(spark.createDataFrame([(text,)], "v STRING"), schema_of(v=kind))
+    assert df.first().v == expected
+
+
+@pytest.mark.parametrize("value, expected", [(7.9, 7), (225.0, 225), (None, None), (1e12, None)])
+def test_double_to_int_truncates(spark, value, expected):
+    df = typed(spark.createDataFrame([(value,)], "v DOUBLE"), schema_of(v="int"))
+    assert df.first().v == expected
+
+
+def test_typed_selects_only_the_schema(spark):
+    df = spark.createDataFrame([("1", "2", 3)], "b STRING, loaded_at STRING, a BIGINT")
+    out = typed(df, schema_of(a="string", b="double"))
+    assert out.columns == ["a", "b"]
+    assert out.first() == (3, 1.0)
+    assert out.schema["b"].dataType == DoubleType()

@@ -1,0 +1,151 @@
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from orderloom.plans.marts import dim_customers, dim_customers_one_pass, fct_orders
+
+EARLY, LATE = "2018-01-01 08:00:00", "2018-06-01 08:00:00"
+
+
+def test_payments_and_reviews_do_not_multiply(build):
+    tables = build(
+        order_items=[{"order_item_id": "1"}, {"order_item_id": "2"}],
+        payments=[{"payment_sequential": str(n)} for n in (1, 2, 3)],
+        reviews=[{"review_score": "5"}, {"review_id": "r2", "review_score": "2"}],
+    )
+    (row,) = tables["fct_orders"].collect()
+    assert (row.item_count, row.payment_count) == (2, 3)
+    assert (row.total_price, row.total_freight, row.order_value) == (20.0, 5.0, 25.0)
+    assert (row.total_payment_value, row.avg_review_score) == (15.0, 3.5)
+
+
+def test_order_without_payment_or_review_has_null(build):
+    (row,) = build(payments=[], reviews=[])["fct_orders"].collect()
+    assert (row.payment_count, row.total_payment_value, row.avg_review_score) == (None,) * 3
+
+
+def test_order_with_two_states_gives_two_rows(build):
+    tables = build(orders=[{}, {"order_status": "shipped"}])
+    assert tables["fct_orders"].count() == 2
+
+
+def test_single_and_repeat_customers(build):
+    tables = build(
+        orders=[
+            {"order_id": "o1", "customer_id": "c1"},
+            {"order_id": "o2", "customer_id": "c2", "order_purchase_timestamp": EARLY},
+            {"order_id": "o3", "customer_id": "c3", "order_purchase_timestamp": LATE},
+        ],
+        customers=[
+            {"customer_id": "c1", "customer_unique_id": "single"},
+            {"customer_id": "c2", "customer_unique_id": "repeat", "customer_city": "old"},
+            {"customer_id": "c3", "customer_unique_id": "repeat", "customer_city": "new"},
+        ],
+        order_items=[
+            {"order_id": "o1", "order_item_id": "1"},
+            {"order_id": "o1", "order_item_id": "2"},
+            {"order_id": "o2"},
+            {"order_id": "o3"},
+        ],
+    )
+    rows = {r.customer_unique_id: r for r in tables["dim_customers"].collect()}
+    assert (rows["single"].total_orders, rows["single"].is_repeat_customer) == (1, False)
+    assert rows["single"].lifetime_value == 25.0
+    repeat = rows["repeat"]
+    assert (repeat.total_orders, repeat.is_repeat_customer) == (2, True)
+    assert repeat.customer_city == "new"
+    assert repeat.first_order_at == datetime(2018, 1, 1, 8)
+    assert repeat.last_order_at == datetime(2018, 6, 1, 8)
+
+
+@pytest.mark.parametrize("mart", [dim_customers, dim_customers_one_pass])
+def test_tied_latest_orders_go_to_the_higher_order_id(build, mart):
+    details = build(
+        orders=[{"order_id": "a", "customer_id": "c1"}, {"order_id": "b", "customer_id": "c2"}],
+        customers=[
+            {"customer_id": "c1", "customer_city": "first", "customer_state": "AA"},
+            {"customer_id": "c2", "customer_city": "second", "customer_state": "BB"},
+        ],
+        order_items=[{"order_id": "a"}, {"order_id": "b"}],
+    )["stg_order_details"]
+    (row,) = mart(details).collect()
+    assert (row.customer_city, row.customer_state) == ("second", "BB")
+
+
+@pytest.mark.parametrize("mart", [dim_customers, dim_customers_one_pass])
+def test_order_without_purchase_time_gives_the_address(build, mart):
+    details = build(
+        orders=[
+            {"order_id": "a", "customer_id": "c1", "order_purchase_timestamp": None},
+            {"order_id": "b", "customer_id": "c2", "order_purchase_timestamp": LATE},
+        ],
+        customers=[
+            {"customer_id": "c1", "customer_city": None, "customer_state": "AA"},
+            {"customer_id": "c2", "customer_city": "dated", "customer_state": "BB"},
+        ],
+        order_items=[{"order_id": "a"}, {"order_id": "b"}],
+    )["stg_order_details"]
+    (row,) = mart(details).collect()
+    assert (row.customer_city, row.customer_state) == (None, "AA")
+    assert row.first_order_at == row.last_order_at == datetime(2018, 6, 1, 8)
+
+
+@pytest.mark.parametrize("mart", [dim_customers, dim_customers_one_pass])
+def test_null_customer_is_left_out(build, mart):
+    details = build(customers=[{"customer_unique_id": None}])["stg_order_details"]
+    assert details.count() == 1
+    assert mart(details).count() == 0
+
+
+def test_products(build):
+    tables = build(
+        orders=[{"order_id": "o1"}, {"order_id": "o2"}],
+        order_items=[
+            {"order_id": "o1", "order_item_id": "1", "price": "10"},
+            {"order_id": "o1", "order_item_id": "2", "price": "20"},
+            {"order_id": "o2", "price": "60"},
+            {"order_id": "o2", "order_item_id": "2", "product_id": None},
+        ],
+    )
+    (row,) = tables["dim_products"].collect()
+    assert (row.times_ordered, row.total_revenue, row.avg_price) == (2, 90.0, 30.0)
+    assert (row.product_category_name, row.product_category_name_english) == ("livros", "books")
+
+
+def test_decimal_sums_are_exact(build):
+    tables = build(
+        order_items=[{"order_item_id": str(n), "price": "0.1"} for n in range(10)],
+        payments=[{"payment_sequential": str(n), "payment_value": "0.1"} for n in range(10)],
+    )
+    staged = [tables[f"stg_order_{n}"] for n in ("details", "payments", "reviews")]
+    (row,) = fct_orders(*staged, money_scale=4).collect()
+    assert (row.total_price, row.total_payment_value) == (1.0, 1.0)
+
+
+detail = st.tuples(
+    st.sampled_from(["u1", "u2", None]),
+    st.sampled_from(["north", "south", None]),
+    st.sampled_from(["N", "S", None]),
+    st.sampled_from([None, datetime(2018, 1, 1), datetime(2018, 1, 2)]),
+    st.sampled_from([None, 1.5, 2.25]),
+    st.sampled_from(["o1", "o2", "o3"]),
+)
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(detail, min_size=1, max_size=30))
+def test_both_customer_plans_agree(spark, rows):
+    rows = [(*row, n) for n, row in enumerate(rows)]
+    df = spark.createDataFrame(
+        rows,
+        "customer_unique_id STRING, customer_city STRING, customer_state STRING, "
+        "order_purchase_timestamp TIMESTAMP, total_item_value DOUBLE, order_id STRING, "
+        "order_item_id INT",
+    )
+    joined = dim_customers(df, money_scale=4)
+    one_pass = dim_customers_one_pass(df, money_scale=4)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, one_pass.collect()))

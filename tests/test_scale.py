@@ -1,0 +1,183 @@
+"""What keeps the plans sound on large and uneven data."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom import size_for_input
+from orderloom.parity.queries import CUSTOMER_COLUMNS, ORDER_ITEM_COLUMNS, PRODUCT_COLUMNS
+from orderloom.operators.aggregates import items_per_order
+from orderloom.plans import marts
+from orderloom.plans.silver import order_details
+from orderloom.session import MAX_BROADCAST, MIN_BROADCAST, scratch_dir
+
+N = 400_000
+KEYS = ("products", "category_translation", "sellers")
+
+
+def keys(n):
+    return F.concat(F.lit("k"), n)
+
+
+def one_third(seed, n):
+    """One key holds a third of all rows, the others are even."""
+    return F.when(F.rand(seed) < 0.34, "k0").otherwise(keys((F.rand(seed + 50) * n).cast("long")))
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("hot")
+    orders = N // 4
+    ts = F.lit("2024-01-01 00:00:00")
+    tables = {
+        "order_items": spark.range(0, N, 1, 16).select(
+            one_third(1, orders).alias("order_id"),
+            (F.col("id") % 7).alias("order_item_id"),
+            one_third(2, 3000).alias("product_id"),
+            one_third(3, 300).alias("seller_id"),
+            ts.alias("shipping_limit_date"),
+            F.round(F.rand(4) * 100, 2).alias("price"),
+            F.round(F.rand(5) * 10, 2).alias("freight_value"),
+        ),
+        "orders": spark.range(0, orders, 1, 8).select(
+            keys("id").alias("order_id"),
+            one_third(6, 20_000).alias("customer_id"),
+            F.lit("delivered").alias("order_status"),
+            F.timestamp_seconds(F.col("id") + 1_500_000_000).alias("order_purchase_timestamp"),
+            ts.alias("order_approved_at"),
+            ts.alias("order_delivered_carrier_date"),
+            ts.alias("order_delivered_customer_date"),
+            ts.alias("order_estimated_delivery_date"),
+        ),
+        "customers": spark.range(20_000).select(
+            keys("id").alias("customer_id"),
+            keys("id").alias("customer_unique_id"),
+            F.lit("c").alias("customer_city"),
+            F.lit("s").alias("customer_state"),
+        ),
+        "products": spark.range(3000).select(
+            keys("id").alias("product_id"),
+            F.when(F.col("id") % 3 > 0, "cat").alias("product_category_name"),
+            *[
+                F.lit(1).alias(f"product_{c}")
+                for c in ("weight_g", "length_cm", "height_cm", "width_cm")
+            ],
+        ),
+        "category_translation": spark.sql(
+            "SELECT 'cat' product_category_name, 'CAT' product_category_name_english"
+        ),
+        "sellers": spark.range(300).select(
+            keys("id").alias("seller_id"),
+            F.lit("c").alias("seller_city"),
+            F.lit("s").alias("seller_state"),
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+
+
+@pytest.fixture
+def small_limits(conf):
+    """Limits as small as the data, so that plans look as on large data."""
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__coalescePartitions__initialPartitionNum="32",
+        adaptive__coalescePartitions__parallelismFirst="false",
+        adaptive__advisoryPartitionSizeInBytes="100kb",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="100kb",
+    )
+
+
+def details(tables, columns=None):
+    names = [
+        "order_items", "orders", "customers", "products", "category_translation", "sellers"
+    ]
+    return order_details(
+        *[tables[n] for n in names], columns=columns, unique_keys=KEYS if columns else ()
+    )
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_hot_keys_are_split_in_each_join_of_the_items(hot, small_limits):
+    total = details(hot).agg(F.sum(F.xxhash64("*") % 1000))
+    plan = final_plan(total)
+    for key in ("order_id", "product_id", "seller_id"):
+        assert f"SortMergeJoin(skew=true) [{key}#" in plan
+
+
+@pytest.mark.parametrize(
+    "mart, columns",
+    [
+        (items_per_order, ORDER_ITEM_COLUMNS),
+        (marts.dim_customers_one_pass, CUSTOMER_COLUMNS),
+        (marts.dim_products, PRODUCT_COLUMNS),
+    ],
+)
+def test_hot_keys_are_split_before_aggregates(hot, small_limits, mart, columns):
+    assert "SortMergeJoin(skew=true) [order_id#" in final_plan(mart(details(hot, columns)))
+
+
+def test_hot_keys_give_right_results(spark, hot, small_limits):
+    items = hot["order_items"]
+    expected = items.groupBy("order_id").agg(F.count("*").alias("n")).collect()
+    fact = items_per_order(details(hot, ORDER_ITEM_COLUMNS), 4).collect()
+    assert {(r.order_id, r.item_count) for r in fact} == {tuple(r) for r in expected}
+    joined = marts.dim_customers(details(hot, CUSTOMER_COLUMNS), 4)
+    one_pass = marts.dim_customers_one_pass(details(hot, CUSTOMER_COLUMNS), 4)
+    assert joined.exceptAll(one_pass).isEmpty() and one_pass.exceptAll(joined).isEmpty()
+    assert sum(r.total_orders for r in one_pass.collect()) == len(expected)
+    products = marts.dim_products(details(hot, PRODUCT_COLUMNS), 4).collect()
+    per_product = items.groupBy("product_id").agg(F.countDistinct("order_id")).collect()
+    assert {(r.product_id, r.times_ordered) for r in products} == {tuple(r) for r in per_product}
+
+
+def test_latest_address_keeps_one_row_per_customer_before_the_shuffle(hot, small_limits):
+    df = marts.dim_customers(details(hot, CUSTOMER_COLUMNS))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and plan.count("WindowGroupLimit") == 2
+
+
+def test_scans_read_only_what_a_mart_needs(hot):
+    df = marts.dim_products(details(hot, PRODUCT_COLUMNS))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "shipping_limit_date" not in plan
+    assert "seller_city" not in plan
+    (items_scan,) = [line for line in plan.splitlines() if "price#" in line and "FileScan" in line]
+    assert "IsNotNull(order_id)" in items_scan and "IsNotNull(product_id)" in items_scan
+
+
+def test_no_python_in_the_plans(hot):
+    plan = final_plan(marts.dim_customers(details(hot, CUSTOMER_COLUMNS)))
+    assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_limits_follow_the_input_size(spark, conf, monkeypatch):
+    conf(
+        autoBroadcastJoinThreshold="1",
+        adaptive__autoBroadcastJoinThreshold="1",
+        adaptive__coalescePartitions__initialPartitionNum="8",
+    )
+    gib, tib = 1024**3, 1024**4
+
+    def limits(size):
+        monkeypatch.setattr("orderloom.session.total_bytes", lambda *_: size)
+        size_for_input(spark, "anywhere")
+        return (
+            int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")),
+            int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")),
+        )
+
+    assert limits(0) == (8, MIN_BROADCAST)
+    assert limits(32 * gib) == (256, 32 * gib // 1024)
+    assert limits(100 * tib) == (50_000, MAX_BROADCAST)
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(f"{shared}/x-") and first != second
