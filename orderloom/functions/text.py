@@ -25,11 +25,6 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def table_name(file_name: Column) -> Column:
-    """``orders.csv`` becomes ``orders``; other file names become NULL."""
-    return F.when(F.endswith(file_name, F.lit(".csv")), F.replace(file_name, F.lit(".csv"), F.lit("")))
-
-
 def ends_inside_quotes(line: Column) -> Column:
     """Whether a quoted CSV field is still open at the end of a line that starts outside quotes.
 

@@ -424,7 +424,7 @@ def csv_ingest_inferred(spark, sf_dir):
 
 
 @query
-def pipeline_run(spark, sf_dir):
+def daily_run(spark, sf_dir):
     """The daily run from CSV files to the order fact, tests included."""
     folder = scratch_dir(spark, "run")
     source = relations(spark, sf_dir)

@@ -15,11 +15,12 @@ from orderloom.plans.staging import STAGING_SOURCE, view_sql
 from orderloom.plans.suite import ORDER_STATUSES, pipeline_suite
 from orderloom.schemas import RAW, SILVER
 from orderloom.session import configure, size_for_input
-from orderloom.sources.raw import Landed, ingest, read_raw, require
+from orderloom.sources.raw import Landed, csv_tables, ingest, read_raw, require
 from orderloom.sources.tables import (
     create_schema,
     create_silver_tables,
     load,
+    load_rows,
     save_table,
     write_parquet,
 )
@@ -29,16 +30,23 @@ MARTS = ("fct_orders", "dim_customers", "dim_products")
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a run reads and writes. ``names`` maps a table to the name of its CSV file."""
+    """Where a run reads and writes.
+
+    ``names`` maps a table to the name of its CSV file. Without ``silver_path`` the silver tables
+    are written directly, not as Parquet files that are loaded afterwards.
+    """
 
     raw_path: str
-    silver_path: str
+    silver_path: str | None = None
     silver_schema: str = "silver"
     staging_schema: str = "staging"
     marts_schema: str = "marts"
     schema_root: str | None = None
     names: Mapping[str, str] = field(default_factory=dict)
 
+    def raw_name(self, table: str) -> str:
+        return self.names.get(table, table)
+
 
 @dataclass(frozen=True)
 class Run:
@@ -51,19 +59,29 @@ class Run:
 def transform(
     spark: SparkSession, layout: Layout, snapshot: str = "latest", output_files: int | None = None
 ) -> None:
-    """Raw snapshots to silver Parquet."""
-    raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
+    """Raw snapshots to silver Parquet files, or to the silver tables."""
     size_for_input(spark, layout.raw_path)
+    raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
+    if not layout.silver_path:
+        _create_silver(spark, layout)
     for table, df in build_silver(raw).items():
-        write_parquet(df, f"{layout.silver_path}/{table}", output_files)
+        if layout.silver_path:
+            write_parquet(df, f"{layout.silver_path}/{table}", output_files)
+        else:
+            load_rows(df, layout.silver_schema, table)
 
 
 def load_silver(spark: SparkSession, layout: Layout) -> None:
-    """Silver Parquet to the silver tables, replacing their content."""
+    """Silver Parquet files to the silver tables, replacing their content."""
+    if layout.silver_path:
+        _create_silver(spark, layout)
+        for table in SILVER:
+            load(spark, f"{layout.silver_path}/{table}", layout.silver_schema, table)
+
+
+def _create_silver(spark: SparkSession, layout: Layout) -> None:
     _schema(spark, layout, layout.silver_schema)
     create_silver_tables(spark, layout.silver_schema, if_not_exists=True)
-    for table in SILVER:
-        load(spark, f"{layout.silver_path}/{table}", layout.silver_schema, table)
 
 
 def build_models(spark: SparkSession, layout: Layout, money_scale: int | None = None) -> None:
@@ -106,19 +124,25 @@ def run(
     """All stages in order.
 
     A folder without CSV files ends the run before anything is written. A table that cannot be read
-    fails the run unless ``allow_missing``; then its last snapshot is used. Failed tests raise after
-    the marts are built, which stay as they are.
+    fails the run unless ``allow_missing``; then its last snapshot is used. Tables the silver layer
+    does not read are landed too, with inferred types. Failed tests raise after the marts are built,
+    which stay as they are.
     """
     configure(spark)
-    landed = ingest(spark, csv_dir, layout.raw_path, run_ts)
+    size_for_input(spark, csv_dir)
+    known = [layout.raw_name(t) for t in RAW]
+    others = set(csv_tables(spark, csv_dir)) - set(known)
+    landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others)
     if not any(r.status == "landed" for r in landed):
         return Run(landed, None)
     if not allow_missing:
-        require(landed, [layout.names.get(t, t) for t in RAW])
+        require(landed, known)
     transform(spark, layout, snapshot, output_files)
     load_silver(spark, layout)
     build_models(spark, layout, money_scale)
     report = quality_report(spark, layout, order_statuses)
+    # One row per test: keep the outcome rather than run the tests again for each look at it.
+    report = spark.createDataFrame(report.collect(), report.schema)
     if raise_on_error:
         raise_on_failure(report)
     return Run(landed, report)

@@ -37,7 +37,9 @@ def order_details(
 
     Customers are joined to orders and translations to products before either meets the items, so
     the largest table takes part in three joins instead of five and never in the one on the
-    category, whose few values would crowd a handful of partitions.
+    category, whose few values would crowd a handful of partitions. Orders come last: they are the
+    widest side, so the other shuffles stay narrow, and the items of an order end up next to each
+    other, where the aggregates that follow combine them before their own shuffle.
 
     With ``columns`` only these are built. A left-joined table that gives none of them still has to
     be joined, because a repeated key would repeat items, unless ``unique_keys`` names it (products,
@@ -49,10 +51,7 @@ def order_details(
         gives = set(RAW[table].fieldNames()) - {LEFT_JOIN_KEYS[table]}
         return table not in unique_keys or not wanted.isdisjoint(gives)
 
-    customer_orders = joins.with_customers(
-        typed(orders, RAW["orders"]), typed(customers, RAW["customers"])
-    )
-    items = joins.with_orders(typed(order_items, RAW["order_items"]), customer_orders)
+    items = typed(order_items, RAW["order_items"])
     named_products = typed(products, RAW["products"])
     if needed("category_translation"):
         named_products = joins.with_translation(
@@ -62,6 +61,10 @@ def order_details(
         items = joins.with_products(items, named_products)
     if needed("sellers"):
         items = joins.with_sellers(items, typed(sellers, RAW["sellers"]))
+    customer_orders = joins.with_customers(
+        typed(orders, RAW["orders"]), typed(customers, RAW["customers"])
+    )
+    items = joins.with_orders(items, customer_orders)
     items = with_item_measures(items).drop("customer_id")
     return items.select(*columns) if columns else in_table_order(items, "order_details")
 

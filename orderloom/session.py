@@ -68,4 +68,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="orderloom-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"

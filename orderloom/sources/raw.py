@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
@@ -38,7 +39,7 @@ class MissingTables(Exception):
 def csv_tables(spark: SparkSession, csv_dir: str) -> dict[str, str]:
     """Table name to path, for each entry of the folder whose name ends in ``.csv``."""
     return {
-        name.removesuffix(SUFFIX): f"{csv_dir.rstrip('/')}/{name}"
+        name.replace(SUFFIX, ""): f"{csv_dir.rstrip('/')}/{name}"
         for name in child_names(spark, csv_dir)
         if name.endswith(SUFFIX)
     }
@@ -155,10 +156,19 @@ def write_snapshot(rows: DataFrame, raw_path: str, table: str, run_ts: datetime)
     return written.get["rows"]
 
 
-def snapshot_days(spark: SparkSession, raw_path: str, table: str) -> list[str]:
-    prefix = f"{DAY}="
-    names = child_names(spark, f"{raw_path.rstrip('/')}/{table}")
-    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+def snapshots(spark: SparkSession, raw_path: str, table: str) -> dict[str, str]:
+    """Day to path of a table's snapshots, oldest first.
+
+    Besides the day folders written here, a day may be one file named ``<table>_<day>.parquet``.
+    """
+    folder = f"{raw_path.rstrip('/')}/{table}"
+    day = r"\d{4}-\d{2}-\d{2}"
+    name = re.compile(rf"(?:{DAY}=({day})|{re.escape(table)}_({day})\.parquet)")
+    found = {}
+    for child in child_names(spark, folder):
+        if match := name.fullmatch(child):
+            found[match[1] or match[2]] = f"{folder}/{child}"
+    return dict(sorted(found.items()))
 
 
 def read_snapshot(
@@ -166,27 +176,20 @@ def read_snapshot(
 ) -> DataFrame:
     """A raw table without its ingestion columns.
 
-    ``latest`` lists and reads only the newest day of this table. ``all`` is the union of all days,
-    which repeats every row that several days contain. A day ``YYYY-MM-DD`` reads that one.
+    ``latest`` reads only the newest day of this table. ``all`` is the union of all days, which
+    repeats every row that several days contain. A day ``YYYY-MM-DD`` reads that one.
     """
-    folder = f"{raw_path.rstrip('/')}/{table}"
-    days = snapshot_days(spark, raw_path, table)
+    days = snapshots(spark, raw_path, table)
     if not days:
         raise FileNotFoundError(f"no snapshot of {table} below {raw_path}")
-    if snapshot == "latest":
-        snapshot = days[-1]
     if snapshot == "all":
-        paths = [folder]
-    elif snapshot in days:
-        paths = [f"{folder}/{DAY}={snapshot}"]
+        paths = list(days.values())
     else:
-        raise FileNotFoundError(f"no snapshot {snapshot} of {table}; there are {', '.join(days)}")
-    return (
-        spark.read.option("basePath", folder)
-        .option("mergeSchema", "false")
-        .parquet(*paths)
-        .drop(STAMP, DAY)
-    )
+        day = max(days) if snapshot == "latest" else snapshot
+        if day not in days:
+            raise FileNotFoundError(f"no snapshot {day} of {table}; there are {', '.join(days)}")
+        paths = [days[day]]
+    return spark.read.option("mergeSchema", "false").parquet(*paths).drop(STAMP, DAY)
 
 
 def read_raw(

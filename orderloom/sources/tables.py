@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.schemas import SILVER, in_table_order, silver_ddl
@@ -41,13 +39,19 @@ def truncate(spark: SparkSession, schema: str, table: str) -> None:
 def load(
     spark: SparkSession, path: str, schema: str, table: str, append: bool = False
 ) -> None:
-    """Load a silver Parquet folder into its table.
+    """Load a silver Parquet folder into its table."""
+    load_rows(spark.read.parquet(path), schema, table, append)
+
+
+def load_rows(rows: DataFrame, schema: str, table: str, append: bool = False) -> None:
+    """Load rows into a silver table.
 
     Columns are matched by name. The default replaces the table's content: the new rows go to a
     table next to it that takes its place when all are written, so a load that fails changes
     nothing.
     """
-    rows = in_table_order(spark.read.parquet(path), table)
+    spark = rows.sparkSession
+    rows = in_table_order(rows, table)
     target = f"{schema}.{table}"
     if append:
         rows.write.insertInto(target)
@@ -64,7 +68,3 @@ def save_table(df: DataFrame, schema: str, table: str) -> None:
     """Rebuild a table in full."""
     df.write.mode("overwrite").format("parquet").saveAsTable(f"{schema}.{table}")
 
-
-def write_all(tables: Mapping[str, DataFrame], folder: str) -> None:
-    for name, df in tables.items():
-        write_parquet(df, f"{folder.rstrip('/')}/{name}")

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import ends_inside_quotes, table_name
+from orderloom.functions.text import ends_inside_quotes
 from orderloom.sources.csv_read import read_csv, records
 
 
@@ -159,8 +159,3 @@ def test_header_only_and_empty_files(spark, tmp_path):
 def test_ends_inside_quotes(spark, line, inside):
     df = spark.createDataFrame([(line,)], "line STRING")
     assert df.select(ends_inside_quotes(F.col("line"))).first()[0] is inside
-
-
-def test_table_name(spark):
-    df = spark.createDataFrame([("orders.csv",), ("notes.txt",)], "name STRING")
-    assert [r[0] for r in df.select(table_name(F.col("name"))).collect()] == ["orders", None]

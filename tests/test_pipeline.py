@@ -1,5 +1,6 @@
 import csv
 import uuid
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -101,7 +102,17 @@ def test_table_nobody_reads_is_landed_too(spark, layout, csv_dir, tmp_path):
     folder = csv_dir()
     (tmp_path / "csv" / "places.csv").write_text("zip,lat\n01037,-23.5\n")
     pipeline.run(spark, folder, layout, DAY_1)
-    assert spark.read.parquet(f"{layout.raw_path}/places").first().zip == "01037"
+    place = spark.read.parquet(f"{layout.raw_path}/places").first()
+    assert (place.zip, place.lat) == ("01037", -23.5)
+
+
+def test_silver_tables_can_be_written_directly(spark, layout, csv_dir, tmp_path):
+    direct = replace(layout, silver_path=None)
+    for _ in range(2):
+        done = pipeline.run(spark, csv_dir(), direct, DAY_1)
+        assert {r.status for r in done.report.collect()} == {"pass"}
+    assert spark.table(f"{layout.silver_schema}.order_details").count() == 1
+    assert not (tmp_path / "silver").exists()
 
 
 def test_nothing_to_ingest_writes_nothing(spark, layout, tmp_path):

@@ -1,5 +1,6 @@
 from datetime import datetime, timezone
 
+import pandas as pd
 import pytest
 
 from orderloom.sources.raw import (
@@ -8,7 +9,7 @@ from orderloom.sources.raw import (
     ingest,
     read_raw,
     read_snapshot,
-    snapshot_days,
+    snapshots,
     with_inferred_types,
     write_snapshot,
 )
@@ -32,7 +33,7 @@ def test_same_day_is_replaced_and_other_days_stay(spark, tmp_path):
     assert write_snapshot(frame(spark, "c"), raw, "t", DAY_1_LATER) == 1
     assert ids(read_snapshot(spark, raw, "t")) == ["c"]
     write_snapshot(frame(spark, "c", "d"), raw, "t", DAY_2)
-    assert snapshot_days(spark, raw, "t") == ["2024-05-01", "2024-05-02"]
+    assert list(snapshots(spark, raw, "t")) == ["2024-05-01", "2024-05-02"]
     assert ids(read_snapshot(spark, raw, "t")) == ["c", "d"]
     assert ids(read_snapshot(spark, raw, "t", "all")) == ["c", "c", "d"]
     assert ids(read_snapshot(spark, raw, "t", "2024-05-01")) == ["c"]
@@ -64,6 +65,23 @@ def test_latest_reads_one_day_only(spark, tmp_path):
     assert files and all("ingest_date=2024-05-02" in f for f in files)
 
 
+def test_days_stored_as_single_files(spark, tmp_path):
+    folder = tmp_path / "t"
+    folder.mkdir()
+    for day, key in (("2024-05-01", "a"), ("2024-05-03", "b")):
+        rows = pd.DataFrame({"id": [key]})
+        rows["loaded_at"] = pd.Timestamp.now()
+        rows.to_parquet(folder / f"t_{day}.parquet", index=False)
+    (folder / "notes_2024-05-09.parquet").write_text("not a snapshot")
+    raw = str(tmp_path)
+    assert ids(read_snapshot(spark, raw, "t")) == ["b"]
+    assert ids(read_snapshot(spark, raw, "t", "all")) == ["a", "b"]
+    assert read_snapshot(spark, raw, "t").columns == ["id"]
+    write_snapshot(frame(spark, "c"), raw, "t", DAY_2)
+    assert ids(read_snapshot(spark, raw, "t", "2024-05-02")) == ["c"]
+    assert ids(read_snapshot(spark, raw, "t", "all")) == ["a", "b", "c"]
+
+
 def test_missing_table(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="no snapshot of t"):
         read_snapshot(spark, str(tmp_path), "t")
@@ -120,7 +138,7 @@ def test_failing_table_is_skipped_after_retries(spark, tmp_path):
     assert (report["good"].status, report["bad"].status) == ("landed", "skipped")
     assert (report["bad"].attempts, report["bad"].rows) == (2, None)
     assert "more fields" in report["bad"].error
-    assert snapshot_days(spark, raw, "bad") == []
+    assert snapshots(spark, raw, "bad") == {}
     with pytest.raises(MissingTables, match=r"absent \(no such file\), bad \("):
         ingest(spark, folder, raw, DAY_1, max_retries=1, required=["good", "bad", "absent"])
 

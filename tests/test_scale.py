@@ -180,4 +180,5 @@ def test_limits_follow_the_input_size(spark, conf, monkeypatch):
 def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first.startswith(f"{shared}/x-") and first != second
+    assert first.startswith(f"{shared}/{spark.sparkContext.applicationId}/x-")
+    assert first != second
