@@ -25,11 +25,22 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+def outside_quotes(line: Column) -> Column:
+    """A line of CSV without its complete quoted fields.
+
+    A quote opens a field only at the field's start and ``""`` inside one is a literal quote.
+    """
+    return F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
+
+
 def ends_inside_quotes(line: Column) -> Column:
-    """Whether a quoted CSV field is still open at the end of a line that starts outside quotes.
+    """Whether a quoted field is still open at the end of a line that starts outside quotes.
 
-    A quote opens a field only at the field's start and ``""`` inside one is a literal quote. After
-    all closed fields are cut out, a quote left at a field's start belongs to the open one.
+    A quote left at a field's start when all complete fields are cut out belongs to an open one.
     """
-    rest = F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
-    return F.contains(line, F.lit('"')) & rest.rlike(r'(^|,)"')
+    return F.contains(line, F.lit('"')) & outside_quotes(line).rlike(r'(^|,)"')
+
+
+def holds_carriage_return(line: Column) -> Column:
+    """Whether a line holds a carriage return that does not belong to its line end."""
+    return line.rlike(r"\r[\s\S]")

@@ -13,7 +13,12 @@ import csv
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import ends_inside_quotes, missing_to_null
+from orderloom.functions.text import (
+    ends_inside_quotes,
+    holds_carriage_return,
+    missing_to_null,
+    outside_quotes,
+)
 
 QUOTING = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_malformed"}
 RECORD_OPTIONS = {**QUOTING, "multiLine": "true"}
@@ -27,7 +32,8 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     names = _header_names(lines)
     schema = _string_columns([*names, "_malformed"])
-    if lines.where(ends_inside_quotes(F.col("value"))).isEmpty():
+    line = F.col("value")
+    if lines.where(ends_inside_quotes(line) | holds_carriage_return(line)).isEmpty():
         rows = spark.read.csv(path, schema=schema, header=True, **QUOTING)
     else:
         parsed = F.from_csv(F.col("record"), schema, RECORD_OPTIONS)
@@ -70,6 +76,9 @@ def records(lines: DataFrame) -> DataFrame:
     (``stays``). A split does not know how its own first line begins, so it is followed under both
     assumptions; one small row per split then settles, file by file, which of them holds. Each line
     that begins outside quotes begins a record. The first record of a file is its header.
+
+    A file that ends inside quotes is an error, raised before the rest of it is gathered into one
+    record. So is a carriage return alone outside quotes, which could be meant as a line end.
     """
     lines = lines.select(
         F.col("value").alias("line"),
@@ -100,8 +109,15 @@ def records(lines: DataFrame) -> DataFrame:
     in_file = Window.partitionBy("path").orderBy("split")
     splits = _follow(splits, in_file).withColumn("split_inside", _inside(False))
     begun = F.sum(_settled("begun")).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    splits = splits.select(
-        "path", "split", "split_inside", F.coalesce(begun, F.lit(0)).alias("begun_before")
+    is_open_at_end = _ends_inside("split_inside") & F.lead("split").over(in_file).isNull()
+    unclosed = F.concat(F.lit("quoted field without end in "), F.col("path"))
+    splits = splits.withColumns({"begun_before": begun, "is_open_at_end": is_open_at_end}).select(
+        "path",
+        "split",
+        "split_inside",
+        F.when(F.col("is_open_at_end"), F.raise_error(unclosed).cast("long"))
+        .otherwise(F.coalesce("begun_before", F.lit(0)))
+        .alias("begun_before"),
     )
 
     pieces = F.sort_array(F.collect_list(F.struct("split", "seq", "line")))
@@ -112,7 +128,14 @@ def records(lines: DataFrame) -> DataFrame:
         .groupBy("path", "number")
         .agg(F.regexp_replace(record, r"\r$", "").alias("record"))
         .where((F.col("number") > 1) & F.col("record").rlike(r"\S"))
-        .select("record")
+        .select(
+            F.when(
+                holds_carriage_return(outside_quotes(F.col("record"))),
+                F.raise_error(F.lit("carriage return without line feed outside quotes")),
+            )
+            .otherwise(F.col("record"))
+            .alias("record")
+        )
     )
 
 

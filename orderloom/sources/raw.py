@@ -20,6 +20,13 @@ STAMP = "loaded_at"
 DAY = "ingest_date"
 SUFFIX = ".csv"
 
+# What a column's values must look like to give it a type other than string, first match first.
+VALUE_PATTERNS = {
+    "boolean": r"^(True|TRUE|true|False|FALSE|false)$",
+    "long": r"^[+-]?(0|[1-9]\d{0,17})$",
+    "double": r"^[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?$",
+}
+
 
 @dataclass(frozen=True)
 class Landed:
@@ -102,7 +109,7 @@ def _with_retries(
 
 
 def with_inferred_types(rows: DataFrame) -> DataFrame:
-    """Turn string columns that hold only numbers into long or double.
+    """Turn string columns that hold only truth values or numbers into boolean, long or double.
 
     One aggregate over the table decides for all columns. Codes with leading zeros stay strings, and
     so do columns without any value.
@@ -112,21 +119,17 @@ def with_inferred_types(rows: DataFrame) -> DataFrame:
     def holds_only(name: str, pattern: str) -> Column:
         return F.coalesce(F.bool_and(F.col(f"`{name}`").rlike(pattern)), F.lit(False))
 
-    whole = r"^[+-]?(0|[1-9]\d{0,17})$"
-    number = r"^[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
     checks = [
-        F.struct(holds_only(n, whole).alias("long"), holds_only(n, number).alias("double")).alias(n)
+        F.struct(*[holds_only(n, p).alias(kind) for kind, p in VALUE_PATTERNS.items()]).alias(n)
         for n in names
     ]
     found = rows.agg(*checks).first().asDict() if names else {}
 
     def as_found(name: str) -> Column:
-        col = F.col(f"`{name}`")
-        if name in found and found[name]["long"]:
-            return col.cast("long").alias(name)
-        if name in found and found[name]["double"]:
-            return col.cast("double").alias(name)
-        return col
+        for kind in VALUE_PATTERNS:
+            if name in found and found[name][kind]:
+                return F.col(f"`{name}`").cast(kind).alias(name)
+        return F.col(f"`{name}`")
 
     return rows.select(*[as_found(name) for name in rows.columns])
 

@@ -28,7 +28,7 @@ def ordered(rows):
 
 
 def random_text(rng):
-    parts = ["a", "b c", ",", '"', '""', "\n", "\r\n", "NA", "é", '5" x', " ", "\n\n", '",', ',"']
+    parts = ["a", "b c", ",", '"', '""', "\n", "\r\n", "\r", "NA", "é", '5" x', " ", "\n\n", '",', ',"']
     return "".join(rng.choice(parts) for _ in range(rng.randint(0, 10)))
 
 
@@ -124,6 +124,26 @@ def test_literal_quote_inside_an_unquoted_field(spark, tmp_path):
     assert got == {"1": '5" pipe', "2": "a\nb", "3": '6" pipe "'}
 
 
+@pytest.mark.parametrize("split_bytes", ["128MB", "20b"])
+def test_quotes_that_never_close(spark, conf, tmp_path, split_bytes):
+    path = tmp_path / "t.csv"
+    path.write_text('id,text\n1,"a\nb"\n2,"open\n' + "3,x\n" * 50)
+    conf(files__maxPartitionBytes=split_bytes, files__openCostInBytes="1b")
+    with pytest.raises(Exception, match="quoted field without end"):
+        read_csv(spark, str(path)).collect()
+
+
+def test_carriage_returns(spark, tmp_path):
+    quoted = tmp_path / "q.csv"
+    quoted.write_bytes(b'id,text\r\n1,"a\rb"\r\n2,c\r\n')
+    got = {r.id: r.text for r in read_csv(spark, str(quoted)).collect()}
+    assert got == {"1": "a\rb", "2": "c"}
+    bare = tmp_path / "b.csv"
+    bare.write_bytes(b"id,text\n1,a\r2,b\n")
+    with pytest.raises(Exception, match="carriage return"):
+        read_csv(spark, str(bare)).collect()
+
+
 def test_header_only_and_empty_files(spark, tmp_path):
     header_only = tmp_path / "t.csv"
     header_only.write_text("id,text\n")

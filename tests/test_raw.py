@@ -178,10 +178,11 @@ def test_empty_folder(spark, tmp_path):
 def test_inferred_types(spark):
     df = spark.createDataFrame(
         [
-            ("1", "1.5", "01037", "a", None, "-3", "1"),
-            ("20", "2", "01038", "b", None, None, "99999999999999999999"),
+            ("1", "1.5", "01037", "a", None, "-3", "1", "True"),
+            ("20", "2", "01038", "b", None, None, "99999999999999999999", "False"),
         ],
-        "n STRING, x STRING, zip STRING, s STRING, empty STRING, gaps STRING, big STRING",
+        "n STRING, x STRING, zip STRING, s STRING, empty STRING, gaps STRING, big STRING, "
+        "flag STRING",
     )
     out = with_inferred_types(df)
     assert dict(out.dtypes) == {
@@ -192,5 +193,6 @@ def test_inferred_types(spark):
         "empty": "string",
         "gaps": "bigint",
         "big": "double",
+        "flag": "boolean",
     }
     assert [r.gaps for r in out.collect()] == [-3, None]
