@@ -19,12 +19,15 @@ def days_from(start: str, end: str) -> Column:
 def money_sum(name: str, scale: int | None = None) -> Column:
     """Sum of a double column.
 
-    With ``scale`` the values are added as decimals, so the result does not depend on the order in
-    which rows arrive from a shuffle.
+    With ``scale`` the values are rounded to that many decimals and added as whole numbers, so the
+    result does not depend on the order in which rows arrive from a shuffle. The whole numbers are
+    added as decimals, whose 28 digits leave room for any number of rows.
     """
     if scale is None:
         return F.sum(name)
-    return F.sum(F.col(name).cast(f"decimal(18,{scale})")).cast("double")
+    units = 10.0**scale
+    whole = F.rint(F.col(name) * units).cast("bigint").cast("decimal(18,0)")
+    return F.sum(whole).cast("double") / units
 
 
 def money_avg(name: str, scale: int | None = None) -> Column:
