@@ -18,9 +18,10 @@ def keys(n):
     return F.concat(F.lit("k"), n)
 
 
-def one_third(seed, n):
+def one_third(seed, n, hot="k0"):
     """One key holds a third of all rows, the others are even."""
-    return F.when(F.rand(seed) < 0.34, "k0").otherwise(keys((F.rand(seed + 50) * n).cast("long")))
+    other = keys((F.rand(seed + 50) * n).cast("long"))
+    return F.when(F.rand(seed) < 0.34, F.lit(hot)).otherwise(other)
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,7 @@ def hot(spark, tmp_path_factory):
             one_third(1, orders).alias("order_id"),
             (F.col("id") % 7).alias("order_item_id"),
             one_third(2, 3000).alias("product_id"),
-            one_third(3, 300).alias("seller_id"),
+            one_third(3, 300, hot=None).alias("seller_id"),
             ts.alias("shipping_limit_date"),
             F.round(F.rand(4) * 100, 2).alias("price"),
             F.round(F.rand(5) * 10, 2).alias("freight_value"),
