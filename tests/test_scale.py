@@ -183,3 +183,13 @@ def test_scratch_folder_is_the_shared_one(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(f"{shared}/{spark.sparkContext.applicationId}/x-")
     assert first != second
+
+
+def test_order_fact_shuffles_the_items_once(spark, hot, small_limits):
+    payments = spark.createDataFrame([("k1", 1.0)], "order_id STRING, payment_value DOUBLE")
+    reviews = spark.createDataFrame([("k1", 5)], "order_id STRING, review_score INT")
+    fact = marts.fct_orders(details(hot, ORDER_ITEM_COLUMNS), payments, reviews)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    # Items, orders with customers on either side and joined, payments, reviews.
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert plan.count("Exchange hashpartitioning(order_id#") == 4
