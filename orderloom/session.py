@@ -20,9 +20,14 @@ RUNTIME_CONF = {
 }
 
 MB = 1024 * 1024
-BYTES_PER_SHUFFLE_PARTITION = 128 * MB
+# Scans: splits of this size, larger ones once the input would give more than so many.
+MIN_SPLIT = 128 * MB
+MAX_SPLIT = 512 * MB
+SPLITS = 200_000
+# Shuffles: a partition per so many bytes of input.
+SHUFFLE_PARTITION = 128 * MB
 MAX_SHUFFLE_PARTITIONS = 50_000
-# A side is broadcast up to this share of the input, within these bounds.
+# Broadcasts: a side up to this share of the input, within these bounds.
 BROADCAST_SHARE = 1024
 MIN_BROADCAST = 4 * MB
 MAX_BROADCAST = 128 * MB
@@ -43,20 +48,25 @@ def get_session(app_name: str = "orderloom", master: str | None = None) -> Spark
 
 
 def size_for_input(spark: SparkSession, *paths: str) -> int:
-    """Fit shuffles and broadcasts to the stored size of the input, and return that size.
+    """Fit scans, shuffles and broadcasts to the stored size of the input, and return that size.
 
-    Shuffles start with one partition per 128 MB, at least ``spark.sql.shuffle.partitions``; AQE
-    merges small ones. The more there is to shuffle, the larger a table it is worth broadcasting
-    instead, so that limit grows with the input. It is checked against file sizes when a join is
-    planned and against measured sizes after a shuffle.
+    Shuffles start with at least ``spark.sql.shuffle.partitions``; AQE merges small ones. The more
+    there is to shuffle, the larger a table it is worth broadcasting instead, so that limit grows
+    with the input. It is checked against file sizes when a join is planned and against measured
+    sizes after a shuffle.
     """
     size = total_bytes(spark, *paths)
+    split = max(MIN_SPLIT, min(size // SPLITS, MAX_SPLIT))
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(floor, min(size // BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    partitions = max(floor, min(size // SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS))
     broadcast = max(MIN_BROADCAST, min(size // BROADCAST_SHARE, MAX_BROADCAST))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(broadcast))
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(broadcast))
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        "spark.sql.autoBroadcastJoinThreshold": broadcast,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast,
+    }.items():
+        spark.conf.set(key, str(value))
     return size
 
 

@@ -26,3 +26,8 @@ def total_bytes(spark: SparkSession, *paths: str) -> int:
         if fs.exists(hadoop_path):
             total += fs.getContentSummary(hadoop_path).getLength()
     return total
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)

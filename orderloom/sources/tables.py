@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.schemas import SILVER, in_table_order, silver_ddl
+from orderloom.sources.files import delete_folder
 
 
 def write_parquet(df: DataFrame, path: str, output_files: int | None = None) -> None:
@@ -46,9 +49,9 @@ def load(
 def load_rows(rows: DataFrame, schema: str, table: str, append: bool = False) -> None:
     """Load rows into a silver table.
 
-    Columns are matched by name. The default replaces the table's content: the new rows go to a
-    table next to it that takes its place when all are written, so a load that fails changes
-    nothing.
+    Columns are matched by name. The default replaces the table's content: the new rows are written
+    to a folder of their own, and when all are there the table is pointed to it. That moves no data,
+    readers see the old rows or the new ones, and a load that fails changes nothing.
     """
     spark = rows.sparkSession
     rows = in_table_order(rows, table)
@@ -56,12 +59,25 @@ def load_rows(rows: DataFrame, schema: str, table: str, append: bool = False) ->
     if append:
         rows.write.insertInto(target)
         return
+    old = table_location(spark, target)
+    new = f"{old.rsplit('/', 1)[0]}/{table}-{uuid.uuid4().hex}"
     loading = f"{target}_loading"
     spark.sql(f"DROP TABLE IF EXISTS {loading}")
-    spark.sql(f"CREATE TABLE {loading} LIKE {target}")
-    rows.write.insertInto(loading)
-    spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"ALTER TABLE {loading} RENAME TO {target}")
+    spark.sql(f"CREATE TABLE {loading} LIKE {target} USING parquet LOCATION '{new}'")
+    try:
+        rows.write.insertInto(loading)
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{new}'")
+    except Exception:
+        delete_folder(spark, new)
+        raise
+    finally:
+        spark.sql(f"DROP TABLE {loading}")
+    delete_folder(spark, old)
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
 
 
 def save_table(df: DataFrame, schema: str, table: str) -> None:

@@ -8,7 +8,7 @@ from orderloom.parity.queries import CUSTOMER_COLUMNS, ORDER_ITEM_COLUMNS, PRODU
 from orderloom.operators.aggregates import items_per_order
 from orderloom.plans import marts
 from orderloom.plans.silver import order_details
-from orderloom.session import MAX_BROADCAST, MIN_BROADCAST, scratch_dir
+from orderloom.session import MAX_BROADCAST, MAX_SPLIT, MIN_BROADCAST, MIN_SPLIT, scratch_dir
 
 N = 400_000
 KEYS = ("products", "category_translation", "sellers")
@@ -159,6 +159,7 @@ def test_no_python_in_the_plans(hot):
 
 def test_limits_follow_the_input_size(spark, conf, monkeypatch):
     conf(
+        files__maxPartitionBytes="128MB",
         autoBroadcastJoinThreshold="1",
         adaptive__autoBroadcastJoinThreshold="1",
         adaptive__coalescePartitions__initialPartitionNum="8",
@@ -168,14 +169,17 @@ def test_limits_follow_the_input_size(spark, conf, monkeypatch):
     def limits(size):
         monkeypatch.setattr("orderloom.session.total_bytes", lambda *_: size)
         size_for_input(spark, "anywhere")
-        return (
-            int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")),
-            int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")),
-        )
-
-    assert limits(0) == (8, MIN_BROADCAST)
-    assert limits(32 * gib) == (256, 32 * gib // 1024)
-    assert limits(100 * tib) == (50_000, MAX_BROADCAST)
+        names = [
+            "files.maxPartitionBytes",
+            "adaptive.coalescePartitions.initialPartitionNum",
+            "autoBroadcastJoinThreshold",
+            "adaptive.autoBroadcastJoinThreshold",
+        ]
+        return tuple(int(spark.conf.get(f"spark.sql.{n}").rstrip("b")) for n in names)
+
+    assert limits(0) == (MIN_SPLIT, 8, MIN_BROADCAST, MIN_BROADCAST)
+    assert limits(32 * gib) == (MIN_SPLIT, 256, 32 * gib // 1024, 32 * gib // 1024)
+    assert limits(100 * tib) == (MAX_SPLIT, 50_000, MAX_BROADCAST, MAX_BROADCAST)
 
 
 def test_scratch_folder_is_the_shared_one(spark):

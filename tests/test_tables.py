@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 
@@ -8,6 +9,7 @@ from orderloom.sources.tables import (
     create_silver_tables,
     load,
     save_table,
+    table_location,
     truncate,
     write_parquet,
 )
@@ -28,6 +30,13 @@ def stored(tmp_path, tables):
     return str(tmp_path)
 
 
+def folders(spark, schema):
+    """How many folders hold order details, of this load or one before."""
+    location = table_location(spark, f"{schema}.order_details")
+    root = Path(location.removeprefix("file:")).parent
+    return len(list(root.glob("order_details*")))
+
+
 def test_create(spark, schema):
     for table, columns in SILVER.items():
         assert spark.table(f"{schema}.{table}").columns == list(columns)
@@ -47,6 +56,16 @@ def test_load_replaces_append_adds_truncate_empties(spark, schema, build, tmp_pa
         assert spark.table(name).count() == 2
         truncate(spark, schema, table)
         assert spark.table(name).count() == 0
+        load(spark, f"{folder}/{table}", schema, table)
+        assert spark.table(name).count() == 1
+
+
+def test_a_view_follows_the_load(spark, schema, build, tmp_path):
+    spark.sql(f"CREATE VIEW {schema}.states AS SELECT customer_state FROM {schema}.order_details")
+    for state in ("SP", "RJ"):
+        folder = stored(tmp_path / state, build(customers=[{"customer_state": state}]))
+        load(spark, f"{folder}/order_details", schema, "order_details")
+        assert [r[0] for r in spark.table(f"{schema}.states").collect()] == [state]
 
 
 def test_load_matches_columns_by_name(spark, schema, build, tmp_path):
@@ -66,11 +85,13 @@ def test_text_longer_than_its_column_fails_and_keeps_the_table(spark, schema, bu
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         load(spark, f"{folder}/order_details", schema, "order_details")
     assert [r.customer_state for r in spark.table(f"{schema}.order_details").collect()] == ["SP"]
+    assert folders(spark, schema) == 1
     fixed = stored(tmp_path / "c", build(customers=[{"customer_state": "RJ"}]))
     load(spark, f"{fixed}/order_details", schema, "order_details")
     assert [r.customer_state for r in spark.table(f"{schema}.order_details").collect()] == ["RJ"]
     tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()]
     assert sorted(tables) == sorted(SILVER)
+    assert folders(spark, schema) == 1
 
 
 def test_output_files(spark, tmp_path):
