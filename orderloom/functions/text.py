@@ -30,7 +30,7 @@ def outside_quotes(line: Column) -> Column:
 
     A quote opens a field only at the field's start and ``""`` inside one is a literal quote.
     """
-    return F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
+    return F.regexp_replace(line, r'"(?<=(?:^|,)")[^"]*+(?:""[^"]*+)*+"', "")
 
 
 def ends_inside_quotes(line: Column) -> Column:
@@ -38,9 +38,16 @@ def ends_inside_quotes(line: Column) -> Column:
 
     A quote left at a field's start when all complete fields are cut out belongs to an open one.
     """
-    return F.contains(line, F.lit('"')) & outside_quotes(line).rlike(r'(^|,)"')
+    rest = outside_quotes(line)
+    is_open = F.startswith(rest, F.lit('"')) | F.contains(rest, F.lit(',"'))
+    return F.contains(line, F.lit('"')) & is_open
 
 
 def holds_carriage_return(line: Column) -> Column:
     """Whether a line holds a carriage return that does not belong to its line end."""
-    return line.rlike(r"\r[\s\S]")
+    return F.contains(line, F.lit("\r")) & line.rlike(r"\r[\s\S]")
+
+
+def without_line_end(line: Column) -> Column:
+    """A line without the carriage return that precedes its line feed."""
+    return F.when(F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)).otherwise(line)

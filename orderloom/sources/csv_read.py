@@ -18,6 +18,7 @@ from orderloom.functions.text import (
     holds_carriage_return,
     missing_to_null,
     outside_quotes,
+    without_line_end,
 )
 
 QUOTING = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_malformed"}
@@ -50,8 +51,8 @@ def _string_columns(names: list[str]) -> str:
 
 def _header_names(lines: DataFrame) -> list[str]:
     first = lines.first()
-    if first is None:
-        raise ValueError("the CSV input is empty: no header line")
+    if first is None or not first.value.strip():
+        raise ValueError("the CSV input does not begin with a header line")
     if first.value.count('"') % 2:
         raise ValueError("column names with line breaks are not supported")
     return next(csv.reader([first.value.rstrip("\r")]))
@@ -80,13 +81,16 @@ def records(lines: DataFrame) -> DataFrame:
     A file that ends inside quotes is an error, raised before the rest of it is gathered into one
     record. So is a carriage return alone outside quotes, which could be meant as a line end.
     """
+    has_quote = F.contains("value", F.lit('"'))
     lines = lines.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("seq"),
         ends_inside_quotes(F.col("value")).alias("opens"),
-        ends_inside_quotes(F.concat(F.lit('"'), F.col("value"))).alias("stays"),
+        F.when(has_quote, ends_inside_quotes(F.concat(F.lit('"'), F.col("value"))))
+        .otherwise(True)
+        .alias("stays"),
     )
     in_split = Window.partitionBy("path", "split").orderBy("seq")
     so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,11 +130,14 @@ def records(lines: DataFrame) -> DataFrame:
         followed.join(splits, ["path", "split"])
         .withColumn("number", F.col("begun_before") + _settled("begun"))
         .groupBy("path", "number")
-        .agg(F.regexp_replace(record, r"\r$", "").alias("record"))
-        .where((F.col("number") > 1) & F.col("record").rlike(r"\S"))
+        .agg(record.alias("record"))
+        .where(F.col("number") > 1)
+        .select(without_line_end(F.col("record")).alias("record"))
+        .where(F.btrim("record", F.lit(" \t")) != "")
         .select(
             F.when(
-                holds_carriage_return(outside_quotes(F.col("record"))),
+                holds_carriage_return(F.col("record"))
+                & holds_carriage_return(outside_quotes(F.col("record"))),
                 F.raise_error(F.lit("carriage return without line feed outside quotes")),
             )
             .otherwise(F.col("record"))

@@ -150,9 +150,10 @@ def test_header_only_and_empty_files(spark, tmp_path):
     df = read_csv(spark, str(header_only))
     assert (df.columns, df.count()) == (["id", "text"], 0)
     empty = tmp_path / "e.csv"
-    empty.write_text("")
-    with pytest.raises(ValueError, match="no header"):
-        read_csv(spark, str(empty))
+    for text in ("", "\nid\n1\n"):
+        empty.write_text(text)
+        with pytest.raises(ValueError, match="header line"):
+            read_csv(spark, str(empty))
 
 
 @pytest.mark.parametrize(
