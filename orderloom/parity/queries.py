@@ -24,6 +24,7 @@ from orderloom.plans.staging import build_staging
 from orderloom.plans.suite import pipeline_suite
 from orderloom.schemas import RAW, schema_of
 from orderloom.session import configure, scratch_dir, size_for_input
+from orderloom.sources.files import delete_folder
 from orderloom.sources.raw import ingest, read_snapshot, write_snapshot
 from orderloom.sources.tables import create_schema, create_silver_tables, load, write_parquet
 
@@ -398,6 +399,7 @@ def csv_ingest(spark, sf_dir):
     folder = scratch_dir(spark, "csv")
     _write_csv(relations(spark, sf_dir)["order_items"], f"{folder}/csv/order_items.csv")
     ingest(spark, f"{folder}/csv", f"{folder}/raw", DAY_1, required=["order_items"])
+    delete_folder(spark, f"{folder}/csv")
     return typed(read_snapshot(spark, f"{folder}/raw", "order_items"), RAW["order_items"])
 
 
@@ -408,6 +410,7 @@ def csv_ingest_free_text(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     _write_csv(documents.select("doc_id", "text", "source"), f"{folder}/csv/documents.csv")
     ingest(spark, f"{folder}/csv", f"{folder}/raw", DAY_1, required=["documents"])
+    delete_folder(spark, f"{folder}/csv")
     return read_snapshot(spark, f"{folder}/raw", "documents")
 
 
@@ -420,6 +423,7 @@ def csv_ingest_inferred(spark, sf_dir):
     ingest(
         spark, f"{folder}/csv", f"{folder}/raw", DAY_1, required=["customer"], infer=["customer"]
     )
+    delete_folder(spark, f"{folder}/csv")
     return read_snapshot(spark, f"{folder}/raw", "customer")
 
 
@@ -428,13 +432,9 @@ def daily_run(spark, sf_dir):
     """The daily run from CSV files to the order fact, tests included."""
     folder = scratch_dir(spark, "run")
     source = relations(spark, sf_dir)
-    # State codes, because the silver table holds at most five characters.
-    source["customers"] = source["customers"].withColumn(
-        "customer_state", F.substring("customer_state", 1, 2)
-    )
-    source["sellers"] = source["sellers"].withColumn(
-        "seller_state", F.substring("seller_state", 1, 2)
-    )
+    # Codes instead of names, because the silver table holds states of at most five characters.
+    for name, state in (("customers", "customer_state"), ("sellers", "seller_state")):
+        source[name] = source[name].withColumn(state, F.soundex(state))
     for name, df in source.items():
         _write_csv(df, f"{folder}/csv/{name}.csv")
     tag = uuid.uuid4().hex
@@ -454,4 +454,6 @@ def daily_run(spark, sf_dir):
         money_scale=MONEY_SCALE,
         order_statuses=ORDER_STATUSES,
     )
+    for stage in ("csv", "raw", "silver"):
+        delete_folder(spark, f"{folder}/{stage}")
     return spark.table(f"{layout.marts_schema}.fct_orders")

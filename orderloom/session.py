@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from orderloom.sources.files import total_bytes
+from orderloom.sources.files import create_until_exit, total_bytes
 
 # Read at run time by Spark SQL, so they can be set on a session that already exists.
 RUNTIME_CONF = {
@@ -71,12 +71,16 @@ def size_for_input(spark: SparkSession, *paths: str) -> int:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name for written intermediate tables, below the cluster's checkpoint folder."""
+    """A new folder for written intermediate tables, below the cluster's checkpoint folder.
+
+    It is deleted when the driver ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="orderloom-")
         spark.sparkContext.setCheckpointDir(root)
-    application = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    application = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    create_until_exit(spark, application)
+    return f"{application}/{label}-{uuid.uuid4().hex}"

@@ -31,3 +31,10 @@ def total_bytes(spark: SparkSession, *paths: str) -> int:
 def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _file_system(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def create_until_exit(spark: SparkSession, path: str) -> None:
+    """Create a folder that is deleted with its content when the driver ends."""
+    hadoop_path, fs = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
