@@ -7,20 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StringType, StructType
 
 
-def lenient_cast(col: Column, have: DataType, want: DataType) -> Column:
+def lenient_cast(name: str, have: DataType, want: DataType) -> Column | str:
     if have == want or isinstance(want, StringType):
-        return col
+        return name
+    col = F.col(name)
     if isinstance(have, StringType) and isinstance(want, IntegerType):
         # Text such as '12.0' counts as the integer 12.
         col = F.regexp_replace(col, r"(?<=\d)\.\d*\s*$", "")
-    return col.try_cast(want)
+    return col.try_cast(want).alias(name)
 
 
 def typed(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``, cast to its types; string columns keep their type."""
-    return df.select(
-        *[
-            lenient_cast(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema}
+    return df.select(*[lenient_cast(f.name, have[f.name], f.dataType) for f in schema])

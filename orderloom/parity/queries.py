@@ -20,7 +20,7 @@ from orderloom.operators.latest import latest_address
 from orderloom.parity.starschema import ORDER_STATUSES, relations
 from orderloom.plans import marts, pipeline
 from orderloom.plans.silver import build_silver, order_details, order_payments, order_reviews
-from orderloom.plans.staging import build_staging
+from orderloom.plans.staging import build_staging, stage
 from orderloom.plans.suite import pipeline_suite
 from orderloom.schemas import RAW, schema_of
 from orderloom.session import configure, scratch_dir, size_for_input
@@ -64,12 +64,21 @@ def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_silver(relations(spark, sf_dir))
 
 
-def _staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_staging(_silver(spark, sf_dir))
+def _order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = relations(spark, sf_dir)
+    return order_payments(raw["payments"], raw["orders"])
+
+
+def _order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = relations(spark, sf_dir)
+    return order_reviews(raw["reviews"], raw["orders"])
+
 
+def _details(raw: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """Order items, in full or with what a mart reads.
 
-def _details(raw: dict[str, DataFrame], columns: list[str]) -> DataFrame:
-    """Order items with what a mart reads. The test tables' keys are unique by construction."""
+    The test tables' keys are unique by construction.
+    """
     return order_details(
         raw["order_items"],
         raw["orders"],
@@ -181,32 +190,32 @@ def delivery_day_metrics(spark, sf_dir):
 
 @query
 def silver_order_details(spark, sf_dir):
-    return _silver(spark, sf_dir)["order_details"]
+    return _details(relations(spark, sf_dir))
 
 
 @query
 def silver_order_payments(spark, sf_dir):
-    return _silver(spark, sf_dir)["order_payments"]
+    return _order_payments(spark, sf_dir)
 
 
 @query
 def silver_order_reviews(spark, sf_dir):
-    return _silver(spark, sf_dir)["order_reviews"]
+    return _order_reviews(spark, sf_dir)
 
 
 @query
 def stg_order_details(spark, sf_dir):
-    return _staging(spark, sf_dir)["stg_order_details"]
+    return stage(_details(relations(spark, sf_dir)), "stg_order_details")
 
 
 @query
 def stg_order_payments(spark, sf_dir):
-    return _staging(spark, sf_dir)["stg_order_payments"]
+    return stage(_order_payments(spark, sf_dir), "stg_order_payments")
 
 
 @query
 def stg_order_reviews(spark, sf_dir):
-    return _staging(spark, sf_dir)["stg_order_reviews"]
+    return stage(_order_reviews(spark, sf_dir), "stg_order_reviews")
 
 
 # Aggregates, window, marts
@@ -219,14 +228,12 @@ def agg_items_per_order(spark, sf_dir):
 
 @query
 def agg_payments_per_order(spark, sf_dir):
-    return aggregates.payments_per_order(
-        _staging(spark, sf_dir)["stg_order_payments"], MONEY_SCALE
-    )
+    return aggregates.payments_per_order(_order_payments(spark, sf_dir), MONEY_SCALE)
 
 
 @query
 def agg_reviews_per_order(spark, sf_dir):
-    return aggregates.reviews_per_order(_staging(spark, sf_dir)["stg_order_reviews"])
+    return aggregates.reviews_per_order(_order_reviews(spark, sf_dir))
 
 
 @query
@@ -287,7 +294,7 @@ ACCEPTED_VALUES_TESTS = [
 
 @query
 def dq_not_null(spark, sf_dir):
-    return run_suite(_silver(spark, sf_dir), NOT_NULL_TESTS)
+    return run_suite({"order_details": _details(relations(spark, sf_dir))}, NOT_NULL_TESTS)
 
 
 @query
@@ -364,7 +371,7 @@ def raw_roundtrip(spark, sf_dir):
 def _loaded_payments(spark, sf_dir, append: bool) -> DataFrame:
     folder = scratch_dir(spark, "load")
     schema = f"silver_{uuid.uuid4().hex}"
-    write_parquet(_silver(spark, sf_dir)["order_payments"], f"{folder}/order_payments")
+    write_parquet(_order_payments(spark, sf_dir), f"{folder}/order_payments")
     create_schema(spark, schema, f"{folder}/{schema}")
     create_silver_tables(spark, schema)
     for _ in range(2):
