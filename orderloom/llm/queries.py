@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import mixing
+from orderloom.llm import mixing, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,8 @@ def query(fn: Query) -> Query:
 @query
 def op5_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_classifier(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
