@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import mixing, quality
+from orderloom.llm import lm, mixing, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +27,8 @@ def op5_mix_sources(spark, sf_dir):
 @query
 def op2_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_lm_scoring(spark, sf_dir):
+    return lm.score_documents(table(spark, sf_dir, "documents"))
