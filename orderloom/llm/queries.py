@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import lm, mixing, quality
+from orderloom.llm import jaccard, lm, mixing, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,8 @@ def op2_quality_classifier(spark, sf_dir):
 @query
 def op7_lm_scoring(spark, sf_dir):
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
