@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import jaccard, lm, mixing, quality
+from orderloom.llm import fingerprints, jaccard, lm, mixing, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,8 @@ def op7_lm_scoring(spark, sf_dir):
 @query
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+@query
+def op1_document_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
