@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, lm, mixing, quality
+from orderloom.llm import fingerprints, jaccard, lm, mixing, pieces, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,9 @@ def op3_ngram_jaccard_join(spark, sf_dir):
 @query
 def op1_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_documents(docs).drop("text")
