@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, lm, mixing, pieces, quality
+from orderloom.llm import fingerprints, jaccard, lm, mixing, neighbours, pieces, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op1_document_fingerprints(spark, sf_dir):
 def op9_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_documents(docs).drop("text")
+
+
+@query
+def op10_embedding_dedup(spark, sf_dir):
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
