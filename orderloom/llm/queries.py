@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, lm, mixing, neighbours, pieces, quality
+from orderloom.llm import fingerprints, jaccard, language, lm, mixing, neighbours, pieces, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op9_sentencepiece(spark, sf_dir):
 @query
 def op10_embedding_dedup(spark, sf_dir):
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
