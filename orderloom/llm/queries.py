@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, language, lm, mixing, neighbours, pieces, quality
+from orderloom.llm import fingerprints, jaccard, language, licenses, lm, mixing, neighbours, pieces, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,11 @@ def op10_embedding_dedup(spark, sf_dir):
 @query
 def op6_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scans(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op4_license_scans"] = licenses.oracle()
