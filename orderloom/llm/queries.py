@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, language, licenses, lm, mixing, neighbours, pieces, quality
+from orderloom.llm import fingerprints, jaccard, language, licenses, lm, mixing, neighbours, personal, pieces, quality
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op4_license_scans(spark, sf_dir):
 
 
 LLM_ORACLE["op4_license_scans"] = licenses.oracle()
+
+
+@query
+def op8_personal_data(spark, sf_dir):
+    return personal.scan(table(spark, sf_dir, "documents"))
