@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import SPACE, fresh
+from orderloom.llm.common import SPACE, fresh, saved
 
 # The knapsack's table covers a remaining budget of at most so many words.
 TABLE_WORDS = 1 << 15
@@ -146,7 +146,10 @@ def mix(
         F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias(key),
         F.xxhash64(F.col(id_col), F.lit(seed)).alias(rank_hash),
     ).withColumn(salt, F.pmod(rank_hash, F.lit(SALTS)))
-    counts = sized.groupBy(key, "size", salt).agg(F.count(F.lit(1)).alias(count))
+    # Texts are read once, or once more where columns are carried along.
+    if not carry:
+        sized = saved(sized, "sizes")
+    counts = saved(sized.groupBy(key, "size", salt).agg(F.count(F.lit(1)).alias(count)), "counts")
     per_source = counts.groupBy(key).agg(F.sum(F.col("size") * F.col(count)).alias("words"))
     rows = per_source.limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
