@@ -97,6 +97,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def numbered(df: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """``df`` and a column that tells its rows apart.
+
+    That is the id, if no row lacks one and none repeats. Otherwise a row number is added to a copy
+    in the scratch folder, so that it stays the same however often it is read.
+    """
+    rows, ids = df.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    if rows == ids:
+        return df, id_col
+    (number,) = fresh(df, "row")
+    return saved(df.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
+
+
 def groups_of(total: int, each: int) -> int:
     return max(1, math.ceil(total / each))
 

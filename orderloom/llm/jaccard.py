@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import checked_broadcast, components, saved
+from orderloom.llm.common import checked_broadcast, components, numbered, saved
 from orderloom.llm.hashing import batches_of, mix, shingle_hashes, word_hashes
 
 # Hashed counts: slices of counts, each summed up by one group.
@@ -359,3 +359,19 @@ def join(
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
     )
+
+
+def distinct_documents(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+    num: int = 80, den: int = 100,
+) -> DataFrame:
+    """``docs`` with one document of each group that links join: the one with the smallest id.
+
+    Texts without words stay. Where ids are missing or repeat, rows are told apart by their number
+    and the first row of a group stays.
+    """
+    rows, row = numbered(docs, id_col)
+    found = join(rows, id_col=row, text_col=text_col, width=width, num=num, den=den)
+    gone = saved(found.where("component_id <> doc_id").select(F.col("doc_id").alias(row)), "copies")
+    few = checked_broadcast(gone, gone.count(), BROADCAST_ROWS)
+    return rows.join(few, row, "left_anti").select(docs.columns)

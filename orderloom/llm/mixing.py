@@ -120,12 +120,13 @@ def mix(
     """Words of every document that a mix of the sources takes.
 
     Returns the id, ``carry`` columns and ``size`` (words), ``source_size``, ``target`` (double, of
-    the document's source), ``taken`` (words taken, repeats counted: a multiple of ``size``), long.
+    the document's source), ``taken`` (words taken, repeats counted), long, and ``times``: how often
+    the document itself is taken.
 
     A source takes all its documents as often as its target allows in full; documents chosen by
     ``fit`` on the counts per exact length are taken once more. Which documents of a length are
     chosen depends on a seeded hash of the id, so runs agree. No document is taken more than
-    ``most`` times. Empty and null texts have size 0 and are taken 0 times; null sources form one
+    ``most`` times. Empty and null texts have size 0 and give no words; null sources form one
     source, the last; null ids and repeated rows are documents like others (of rows that agree in
     id, source and size, any may be chosen); an empty table gives an empty result. Given columns
     named like the results are replaced.
@@ -134,7 +135,7 @@ def mix(
     many rows as it has different lengths, not documents.
     """
     spark = docs.sparkSession
-    results = ("size", "source_size", "target", "taken")
+    results = ("size", "source_size", "target", "taken", "times")
     carry = [c for c in carry if c not in (*results, id_col)]
     key, salt, rank_hash, count, before, at = fresh(
         docs, "source", "salt", "hash", "count", "before", "rank"
@@ -196,5 +197,6 @@ def mix(
     )
     times = F.col("copies") + (F.col(at) + F.col(before) <= F.col("chosen")).cast("long")
     return ranked.join(quotas, [key, "size", salt]).select(
-        id_col, *carry, "size", "source_size", "target", (F.col("size") * times).alias("taken")
-    )
+        id_col, *carry, "size", "source_size", "target", (F.col("size") * times).alias("taken"),
+        times.alias("times"),
+    )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import fresh, let, saved
+from orderloom.llm.common import fresh, let, numbered, saved
 
 # Kinds in the order of the result; spans that start together are listed in this order.
 KINDS = ["email", "ip", "card", "phone", "national_id"]
@@ -355,15 +355,15 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def mask(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+def mask(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its texts replaced by its kind in brackets, ``[EMAIL]``.
 
     Overlapping spans become one, named after the first. Null texts stay null; other rows and
-    columns stay as they are.
+    columns, null ids and repeated rows too, stay as they are.
     """
-    row, cover = fresh(docs, "row", "cover")
-    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "to-mask")
-    proposed = proposals(rows.select(F.col(row).alias("row"), F.col(text_col).alias("text")), "text", ["row"])
+    rows, row = numbered(docs, id_col)
+    (cover,) = fresh(rows, "cover")
+    proposed = proposals(rows.select(F.col(row).alias("row"), text_col), text_col, ["row"])
     proposed = saved(proposed.where(F.size("proposed") > 0), "proposals")
     by_start = Window.partitionBy("row").orderBy("start", "end")
     before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
@@ -394,4 +394,4 @@ def mask(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
         return F.concat(F.array_join(parts, ""), rest)
 
     masked = F.when(F.col(cover).isNull(), F.col(text_col)).otherwise(pieces(F.col(cover)))
-    return rows.join(merged, row, "left").withColumn(text_col, masked).drop(row, cover)
+    return rows.join(merged, row, "left").withColumn(text_col, masked).select(docs.columns)
