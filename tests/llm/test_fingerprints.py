@@ -1,0 +1,78 @@
+import hashlib
+import statistics
+
+from orderloom.llm import fingerprints as fp
+
+
+def shingles(text, width=5):
+    words = (text or "").lower().split()
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_edits_and_likeness(spark, documents, small_docs):
+    got = {r.doc_id: r for r in fp.edited_fingerprints(documents).collect()}
+    ordered = sorted(small_docs)
+    errors, by_text = [], {}
+    for k, (i, text, _, _) in enumerate(ordered):
+        after = ordered[(k + 1) % len(ordered)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        r = got[i]
+        assert r.n_chars == len(text)
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert by_text.setdefault(text, r.fingerprint) == r.fingerprint
+        errors.append(r.near_edited - jaccard(shingles(text), shingles(edited)))
+        errors.append(r.near_next - jaccard(shingles(text), shingles(after)))
+    assert abs(statistics.mean(errors)) < 0.01 and max(map(abs, errors)) < 0.15
+
+
+def test_short_texts_are_compared_without_bias(spark):
+    """Densified bins of few shingles still agree as often as the sets do."""
+    pairs = []
+    for k in range(300):
+        a = [f"a{k}x{j}" for j in range(12)]
+        b = a[:8] + [f"b{k}x{j}" for j in range(4)]
+        pairs.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    codes = df.select(fp.codes(df.a).alias("a"), fp.codes(df.b).alias("b"))
+    likeness = [r[0] for r in codes.select(fp.likeness(codes.a, codes.b)).collect()]
+    assert abs(statistics.mean(likeness) - jaccard(shingles(pairs[0][0]), shingles(pairs[0][1]))) < 0.03
+
+
+def test_odd_rows(make, odd_rows):
+    got = fp.edited_fingerprints(make(odd_rows)).collect()
+    assert len(got) == len(odd_rows)
+    assert sorted(r.n_chars for r in got) == sorted(len(r[1] or "") for r in odd_rows)
+    for r in got:
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert len(r.fingerprint) in (0, 512)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].fingerprint == by_id[2].fingerprint == by_id[3].fingerprint == ""
+    assert by_id[4].fingerprint == by_id[5].fingerprint != ""
+    # The last id is followed by the first row: a null id comes before all others.
+    assert by_id[-5].n_chars == len(next(r[1] for r in odd_rows if r[0] == -5))
+    plain = fp.fingerprint(make(odd_rows))
+    assert {r.doc_id: r.fingerprint for r in plain.collect()}[7] == by_id[7].fingerprint
+
+
+def test_one_document_and_none(make):
+    (r,) = fp.edited_fingerprints(make([(3, "abcd", "en", "a")])).collect()
+    assert r.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and r.near_next == 1.0
+    assert fp.edited_fingerprints(make([])).collect() == []
+
+
+def test_an_id_with_many_rows(make):
+    rows = [(5, f"text number {k} of many", "en", "a") for k in range(300)] + [(6, "z", "en", "a")]
+    got = fp.edited_fingerprints(make(rows)).collect()
+    assert len(got) == 301 and {r.doc_id for r in got} == {5, 6}
+
+
+def test_no_python_in_the_plan(make, odd_rows):
+    plan = fp.edited_fingerprints(make(odd_rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -1,0 +1,99 @@
+import random
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderloom.llm import mixing
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(1, 60), st.integers(1, 4)), min_size=1, max_size=8),
+    st.integers(0, 900),
+)
+def test_fit_is_the_best_below_the_budget(groups, budget):
+    by = dict(groups)
+    lengths, counts = np.array([*by]), np.array([*by.values()])
+    taken = mixing.fit(lengths, counts, budget)
+    assert (taken >= 0).all() and (taken <= counts).all()
+    # The proportional share is fixed; the rest is exact.
+    total = int((lengths * counts).sum())
+    room = min(budget, total)
+    base = counts * room // total
+    sums = {int((lengths * base).sum())}
+    for length, left in zip(lengths.tolist(), (counts - base).tolist(), strict=True):
+        sums = {s + length * k for s in sums for k in range(left + 1) if s + length * k <= room}
+    assert int((lengths * taken).sum()) == max(sums)
+
+
+def test_fit_of_a_large_budget():
+    lengths, counts = np.arange(1, 3000), np.full(2999, 10**6)
+    total = int((lengths * counts).sum())
+    for budget in (total // 3, total - 1, total, total + 5):
+        taken = mixing.fit(lengths, counts, budget)
+        assert int((lengths * taken).sum()) == min(budget, total)
+
+
+def test_targets_stop_at_three_times_the_size():
+    sizes = [("b", 10), ("a", 1000), (None, 5)]
+    goals = mixing.targets(sizes, (1, 2, 3), 3)
+    assert goals == {"b": 30, None: 15, "a": Fraction(970)}
+    assert mixing.targets([("a", 0), (None, 0)], (1, 2, 3), 3) == {"a": 0, None: 0}
+    assert mixing.targets([], (1,), 3) == {}
+
+
+def check(rows, out):
+    sizes = defaultdict(int)
+    for _, text, _, source in rows:
+        sizes[source] += size(text)
+    goals = mixing.targets(list(sizes.items()), (1, 2, 3), 3)
+    source_of = defaultdict(set)
+    for i, text, _, source in rows:
+        source_of[i, size(text)].add(source)
+    assert Counter((r.doc_id, r["size"]) for r in out) == Counter((r[0], size(r[1])) for r in rows)
+    taken = defaultdict(int)
+    for r in out:
+        assert r.taken == r.times * r["size"] and 0 <= r.taken <= 3 * r["size"]
+        (source,) = [
+            s for s in source_of[r.doc_id, r["size"]]
+            if sizes[s] == r.source_size and float(goals[s]) == r.target
+        ][:1]
+        taken[source] += r.taken
+    return taken, goals
+
+
+def test_odd_rows(make, odd_rows):
+    out = mixing.mix(make(odd_rows)).collect()
+    taken, goals = check(odd_rows, out)
+    assert abs(taken["e"] - goals["e"]) <= 1
+    again = mixing.mix(make(odd_rows[::-1])).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+
+
+def test_every_source_meets_its_target(make, small_docs):
+    taken, goals = check(small_docs, mixing.mix(make(small_docs)).collect())
+    lengths = defaultdict(list)
+    for _, text, _, source in small_docs:
+        lengths[source].append(size(text))
+    for source, goal in goals.items():
+        assert abs(taken[source] - goal) <= max(lengths[source])
+
+
+def test_ties_are_split_between_salts(make):
+    rows = [(k, "a b c", "en", "s" if k % 3 else "t") for k in range(500)]
+    rng = random.Random(1)
+    rng.shuffle(rows)
+    taken, goals = check(rows, mixing.mix(make(rows)).collect())
+    assert all(abs(taken[s] - goals[s]) <= 3 for s in goals)
+
+
+def test_empty_table(make):
+    assert mixing.mix(make([])).collect() == []
