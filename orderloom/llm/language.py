@@ -234,8 +234,13 @@ def identify(
                     }
                 )
 
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).alias("text"),
-        held_out(id_col, 3, 1).alias("held_out"),
-    ).mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    # Ids travel as text: a column of numbers with nulls would become floating point.
+    return (
+        docs.select(
+            F.col(id_col).cast("string").alias("doc_id"),
+            F.col(text_col).alias("text"),
+            held_out(id_col, 3, 1).alias("held_out"),
+        )
+        .mapInPandas(run, "doc_id string, held_out boolean, lang_pred string, score double")
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    )

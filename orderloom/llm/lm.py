@@ -197,8 +197,9 @@ def score_documents(
     for the last digits of the sums.
     """
     spark = docs.sparkSession
+    # Ids travel as text: a column of numbers with nulls would become floating point.
     texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).cast("string").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         held_out(id_col, modulus, remainder).alias("held_out"),
     )
@@ -224,7 +225,8 @@ def score_documents(
         .cogroup(answers.select("block", "part", "words", "pairs").groupBy("block"))
         .applyInPandas(
             _score(strength, int(n or 0), int(v or 0)),
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+            "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double",
         )
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )
