@@ -77,7 +77,7 @@ COPYRIGHT = "copyright"
 HINT = r"(?i)licen[sc]|copyright|rights reserved|permission|warrant|redistribution|public domain"
 # Patterns that Java and RE2 read alike.
 LEADER = r"(?m)^[ \t]*(?://+|#+|\*+|--+|;+)[ \t]*"
-WRAP = r"([^.!?\n])[ \t]*\r?\n[ \t]*([a-z])"
+WRAP = r"([^.!?\n])[ \t]*\r?\n[ \t]*([a-z]|[A-Z][A-Z])"
 END = r"([.!?]\"?)[ \t\r\n]+"
 OTHER = r"[^a-z0-9]+"
 BETWEEN = "((?:<[a-z0-9-]+>){0,2}?)"
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     ``n_sentences`` counts the known sentences of the whole text; ``sentence_ids`` names them and
     ``licenses`` the licenses by the rules, in order of their place, repeated where they repeat,
     joined by commas. Sentences end at a stop or line break; a line that goes on in lower case
-    belongs to the one before, and comment signs at the start of lines do not count. Null and empty
+    or capitals belongs to the one before, and comment signs at the start of lines do not count. Null and empty
     texts have none. Rows are independent: null ids and repeated rows come back as they are, an
     empty table gives no rows, other columns are ignored.
     """
