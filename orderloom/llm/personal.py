@@ -141,7 +141,7 @@ def _votes(spans: DataFrame) -> DataFrame:
     def vote(yes: Column, no: Column) -> Column:
         return F.when(yes, 1).when(no, -1).otherwise(0)
 
-    domain = F.lower(F.regexp_extract(match, r"([A-Za-z0-9-]+)$", 1))
+    domain = F.lower(F.substring_index(match, ".", -1))
     first = F.substring(_digits(match), 1, 1)
     check = (
         F.when(F.col("kind") == "email", vote(domain.rlike("^[a-z]{2,}$"), domain.rlike("[0-9]")))

@@ -1,0 +1,154 @@
+import hashlib
+import random
+import re
+
+from orderloom.llm import personal
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def strict(text):
+    out = []
+    for order, (kind, pattern) in enumerate(BASE.items()):
+        if {"email": "@", "ip": ".", "phone": "+"}.get(kind, "") not in (text or ""):
+            continue  # the plain patterns take very long on long words
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if kind == "card" and not (14 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), order, m.end(), kind))
+    return sorted(out)
+
+
+def check(df, rows):
+    got = df.collect()
+    assert len(got) == len(rows)
+    want = []
+    for i, text, *_ in rows:
+        spans = strict(text)
+        named = ",".join(f"{k}:{a}:{e}" for a, _, e, k in spans)
+        want.append(
+            (i, *(sum(s[3] == k for s in spans) for k in BASE), hashlib.sha256(named.encode()).hexdigest())
+        )
+    assert sorted(map(str, want)) == sorted(
+        str((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256)) for r in got
+    )
+    return {r.doc_id: r.spans.split(",") if r.spans else [] for r in got}
+
+
+def card(rng, size):
+    digits = [rng.randint(0, 9) for _ in range(size - 1)]
+    for last in range(10):
+        if luhn("".join(map(str, [*digits, last]))):
+            return "".join(map(str, [*digits, last]))
+
+
+def test_random_texts_against_plain_patterns(make):
+    rng = random.Random(9)
+    parts = [
+        "a.b@c.de", "x@y", "@", "a@b.c.", "q+r@s-t.u_v@w.x", "é@b.com", "1.2.3.4", "999.1.1.1", "01.2.3.255",
+        "1.2.3.4.5.6.7.8", "+1 (743) 555-3824", "+49-30-123456", "+1+2", "+123 456", "12 34", "5", "-", " ", ".",
+        "4111 1111 1111 1111", "4111-1111-1111-1112", "0" * 14, "1" * 25, "555-382-4444", "078-05-1120", "😀",
+        "call me", "\n", "x (at) y (dot) com", "4111  1111",
+    ]
+    rows = []
+    for k in range(400):
+        some = [rng.choice([*parts, card(rng, rng.randint(13, 20))]) for _ in range(rng.randint(0, 14))]
+        rows.append((k, rng.choice(["", " ", " "]).join(some), "en", "a"))
+    spans = check(personal.scan(make(rows)), rows)
+    for i, text, *_ in rows:
+        base = [f"{k}:{a}:{e}" for a, _, e, k in strict(text)]
+        assert set(base) <= set(spans[i])
+        # What the method adds does not overlap what was there.
+        for extra in set(spans[i]) - set(base):
+            _, a, e = extra.split(":")
+            assert all(int(e) <= s or int(a) >= t for s, _, t, _ in strict(text))
+        starts = [int(s.split(":")[1]) for s in spans[i]]
+        assert starts == sorted(starts)
+
+
+def test_small_table(documents, small_docs):
+    check(personal.scan(documents), small_docs)
+
+
+def test_odd_rows_and_long_texts(make, odd_rows):
+    rows = [
+        *odd_rows,
+        (600, "a@b" + ".c" * 60_000, "en", "a"), (601, "9" * 100_000, "en", "a"),
+        (602, "a" * 100_000 + "@" + "b" * 10 + ".de", "en", "a"), (603, "1.2.3.4 " * 3_000, "en", "a"),
+        (604, "+1" * 40_000, "en", "a"), (605, "12 " * 50_000, "en", "a"), (None, "x@y.org", None, None),
+    ]
+    check(personal.scan(make(rows)), rows)
+    assert personal.scan(make([])).collect() == []
+
+
+def test_loose_spans_are_added_where_votes_agree(make):
+    rng = random.Random(2)
+    rows = []
+    for k in range(300):
+        number = f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        rows.append((k, f"please call +1 {number} today, or mail u{k}@v.com", "en", "a"))
+    rows += [(1000 + k, f"please call phone 743-555-{1000 + k} today", "en", "a") for k in range(40)]
+    rows += [(2000 + k, f"order no. {k}4785380592391138 of version 1.2.3.{k + 300}", "en", "a") for k in range(40)]
+    spans = check(personal.scan(make(rows)), rows)
+    assert all([s.split(":")[0] for s in spans[1000 + k]] == ["phone"] for k in range(40))
+    clean = [spans[2000 + k] for k in range(40) if not strict(rows[340 + k][1])]
+    assert clean and not any(clean)
+
+
+def test_estimation_tells_reliable_labelers():
+    rng = random.Random(5)
+    counts, truth = {}, {}
+    for _ in range(4000):
+        y = rng.random() < 0.4
+        votes = {v: (1 if (rng.random() < r) == y else -1) for v, r in
+                 zip(personal.VOTES, (0.95, 0.9, 0.55, 0.7, 0.85), strict=True)}
+        key = tuple(votes.values())
+        counts[key] = counts.get(key, 0) + 1
+        truth.setdefault(key, []).append(y)
+    patterns = [
+        ({"kind": "card", "digits": 16, **dict(zip(personal.VOTES, k, strict=True))}, n)
+        for k, n in sorted(counts.items())
+    ]
+    likely = personal.estimate(patterns)
+    right = sum(
+        sum(y == (q >= 0.5) for y in truth[tuple(p[v] for v in personal.VOTES)])
+        for (p, _), q in zip(patterns, likely, strict=True)
+    )
+    assert right / 4000 > 0.95
+
+
+def test_masks(make, odd_rows):
+    rows = [*odd_rows, (700, "é a@b.de and +1 (743) 555-3824, 1.2.3.4!", "en", "a"), (701, "x@y.de", "en", "b")]
+    df = make(rows)
+    out = personal.mask(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got[700] == "é [EMAIL] and [PHONE], [IP]!" and got[701] == "[EMAIL]"
+    assert sorted(map(str, (r.text for r in out.collect()))) == sorted(
+        str({700: got[700], 701: got[701]}.get(r[0], r[1])) for r in rows
+    )
+    assert personal.mask(make([])).collect() == []
+
+
+def test_no_python_in_the_plan(make, odd_rows):
+    for df in (personal.scan(make(odd_rows)), personal.mask(make(odd_rows))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
