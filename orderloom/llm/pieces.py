@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -430,7 +431,7 @@ def decode_documents(
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary))
 
     @F.pandas_udf("string")
-    def text_of(ids: "pd.Series") -> "pd.Series":
+    def text_of(ids: pd.Series) -> pd.Series:
         return ids.map(lambda x: None if x is None else decode(shared.value, x.tolist()))
 
     return docs.withColumn(out, text_of(F.col(ids_col)))
