@@ -1,0 +1,92 @@
+import math
+
+import numpy as np
+import pytest
+
+from orderloom.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, label int, n_links string, node string, kept string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, g, "x", "x", "x") for i, v, g in rows], SCHEMA).repartition(3)
+
+
+def expected(rows, cosine=0.98):
+    def fine(v):
+        return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = [0] * len(rows)
+    for a, (_, v, g) in enumerate(rows):
+        for b, (_, w, h) in enumerate(rows[:a]):
+            if g is not None and g == h and fine(v) and fine(w) and len(v) == len(w):
+                x, y = np.float32(v).astype(float), np.float32(w).astype(float)
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= cosine:
+                    links[a] += 1
+                    links[b] += 1
+                    parent[find(a)] = find(b)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    out = []
+    for k, (i, _, _) in enumerate(rows):
+        c = least.get(find(k))
+        out.append((i, links[k], c, i is not None and i == c))
+    return sorted(out, key=str)
+
+
+def check(spark, rows):
+    got = neighbours.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == expected(rows)
+
+
+def planted(seed, size, groups=30):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        base = rng.standard_normal(size)
+        for _ in range(rng.integers(1, 9)):
+            # Cosines around the threshold.
+            noise = rng.standard_normal(size) * rng.choice([0.05, 0.12, 0.15, 0.2])
+            vector = ((base + noise) * rng.choice([0.01, 1, 100])).tolist()
+            for _ in range(rng.choice([1, 1, 1, 3])):
+                rows.append((len(rows), vector, int(rng.integers(0, 2))))
+    return rows
+
+
+@pytest.mark.parametrize("size", [64, 7, 1, 20])
+def test_planted_groups(spark, size):
+    check(spark, planted(size, size, 30 if size > 1 else 4))
+
+
+def test_large_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART", 5)
+    monkeypatch.setattr(neighbours, "MEMBERS", 2)
+    check(spark, planted(1, 16))
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    one = [1.0, 2.0, 3.0]
+    rows = [
+        (1, one, 1), (2, one, 1), (3, one, None), (4, None, 1), (5, [], 1), (6, [0.0, 0.0, -0.0], 1),
+        (7, [nan, 1.0, 1.0], 1), (8, [inf, 1.0, 1.0], 1), (9, [None, 1.0, 1.0], 1), (10, [1.0, 2.0], 1),
+        (11, [2.0, 4.0, 6.0], 1), (12, [-1.0, -2.0, -3.0], 1), (13, [0.0, 1.0, 0.0], 1), (14, [-0.0, 1.0, 0.0], 1),
+        (None, one, 1), (None, [5.0, 5.0, -9.0], 1), (None, None, None), (2, one, 1), (15, [1e-30, 2e-30, 3e-30], 1),
+        (16, [1e30, 2e30, 3e30], 1), (17, one, 2),
+    ]
+    check(spark, rows)
+    assert neighbours.near_duplicates(frame(spark, [])).collect() == []
+
+
+def test_rotation_keeps_distances():
+    q = neighbours.rotation(16)
+    assert np.allclose(q @ q.T, np.eye(16))
