@@ -9,10 +9,11 @@ must share the smaller of both numbers; then the whole sets are compared.
   documents have a shingle. It only sets the order, so its errors cost time, never links.
 - **Copies.** Equal sets are one node, known by a 64-bit hash of the set (among m different sets a
   mix-up has a chance of m^2 / 2^65), so copies give neither candidates nor pairs.
-- **Buckets.** Prefix rows with the same shingle pair up inside small buckets. Nodes of large
-  buckets (groups of near copies) form clusters. A cluster's members are first compared with one
-  centre; what it links needs no comparison among itself. The others meet all members in blocks, and
-  a block returns a spanning forest of its links. No bucket or cluster is gathered whole.
+- **Candidates.** Prefix rows with the same shingle pair up inside small buckets; a large bucket (of
+  a group of near copies) joins its nodes without pairs. Candidates that are connected form a
+  cluster, and each set travels to its cluster once. A large cluster is compared with one centre
+  first; what that links needs no comparison among itself, the others meet all members in blocks.
+  Clusters and blocks return a spanning forest of their links. No bucket or cluster is gathered whole.
 """
 
 from __future__ import annotations
@@ -21,27 +22,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import checked_broadcast, components, numbered, saved
-from orderloom.llm.hashing import batches_of, mix, shingle_hashes, word_hashes
+from orderloom.llm.common import checked_broadcast, components, groups_of, numbered, saved
+from orderloom.llm.hashing import mix, shingle_hashes, word_hashes
 
 # Hashed counts: slices of counts, each summed up by one group.
 SLICES, SLICE = 64, 1 << 14
 # Buckets above this size are compared by cluster; members of a block.
 BUCKET, BLOCK = 48, 256
-MOST_MATCHES = 4
-# Cost of verifying a candidate, in prefix rows.
-VERIFY = 8.0
-PIECE = 4 << 20
+MOST_MATCHES = 7
+# Other documents that a shingle meets by chance, at least: the table cannot tell one from two.
+CHANCE = 0.05
+# Cost of a prefix row in shingles of a candidate's set that have to be sent for comparison.
+ROW = 8.0
+PIECE = 1 << 20
 BROADCAST_ROWS = 1_000_000
 
 
-def shingle_sets(texts: list, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Index and sorted distinct shingle hashes of every text; shorter texts have one shingle."""
-    for start, stop in batches_of(texts, PIECE):
-        words, offsets = word_hashes(texts[start:stop])
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Index and sorted distinct shingle hashes of every text; shorter texts have one shingle.
+
+    Texts are taken from the batch a piece at a time, so little of it is in memory twice.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(texts):
+        reach = PIECE + (int(ends[start - 1]) if start else 0)
+        stop = max(start + 1, int(np.searchsorted(ends, reach, side="right")))
+        words, offsets = word_hashes(texts.slice(start, stop - start).to_pylist())
         every = shingle_hashes(words, width) if len(words) >= width else words[:0]
         for k in range(stop - start):
             a, b = offsets[k], offsets[k + 1]
@@ -49,6 +62,7 @@ def shingle_sets(texts: list, width: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield start + k, np.unique(every[a : b - width + 1])
             else:
                 yield start + k, np.unique(shingle_hashes(words[a:b], width))
+        start = stop
 
 
 def _bucket(shingles: np.ndarray) -> np.ndarray:
@@ -58,15 +72,15 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 def frequency_table(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     """How many documents have a shingle of each hash bucket: a million counts, whatever the input."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(SLICES * SLICE, dtype=np.int64)
-        for frame in frames:
-            for _, shingles in shingle_sets(frame.iloc[:, 0].tolist(), width):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(SLICES * SLICE, dtype=np.uint32)
+        for batch in batches:
+            for _, shingles in shingle_sets(batch.column(0), width):
                 np.add.at(table, _bucket(shingles), 1)
         if table.any():
-            parts = table.reshape(SLICES, SLICE)
-            yield pd.DataFrame(
-                {"slice": range(SLICES), "counts": [p.astype("<u4").tobytes() for p in parts]}
+            parts = [part.tobytes() for part in table.reshape(SLICES, SLICE)]
+            yield pa.RecordBatch.from_pydict(
+                {"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array(parts)}
             )
 
     def add(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +90,7 @@ def frequency_table(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
                 total += np.frombuffer(counts, "<u4")
         yield pd.DataFrame({"slice": [key[0]], "counts": [total.astype("<u8").tobytes()]})
 
-    parts = docs.select(text_col).mapInPandas(count, "slice int, counts binary")
+    parts = docs.select(text_col).mapInArrow(count, "slice int, counts binary")
     rows = parts.groupBy("slice").applyInPandas(add, "slice int, counts binary")
     table = np.zeros((SLICES, SLICE), dtype=np.int64)
     for row in rows.collect():  # at most SLICES rows
@@ -90,12 +104,12 @@ def prefix(shingles: np.ndarray, df: np.ndarray, num: int, den: int) -> tuple[in
     n = len(shingles)
     need = -(-n * num // den)
     order = np.lexsort((shingles, df))
-    cost = np.cumsum(df[order].astype(float) - 1)
+    met = np.cumsum(np.maximum(df[order].astype(float) - 1, CHANCE))
     best = None
     for matches in range(1, min(MOST_MATCHES, need) + 1):
         length = n - need + matches
-        # Each candidate has to be met by so many shingles, so a larger number leaves fewer.
-        price = length + cost[length - 1] + VERIFY * cost[length - 1] / matches**2
+        # A candidate has to be met so many times, and chance seldom meets one twice.
+        price = length + met[length - 1] / matches**2 * n / ROW
         if best is None or price < best[0]:
             best = (price, matches, length)
     return best[1], shingles[order[: best[2]]]
@@ -113,100 +127,150 @@ def describe(docs: DataFrame, text_col: str, width: int, num: int, den: int) ->
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequency_table(docs, text_col, width))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
-        for frame in frames:
-            ids, texts = frame.iloc[:, 0], frame.iloc[:, 1].tolist()
-            rows = []
-            for _, shingles in shingle_sets(texts, width):
+        for batch in batches:
+            sizes, sets, asked, prefixes = [], [], [], []
+            for _, shingles in shingle_sets(batch.column(1), width):
+                sizes.append(len(shingles))
+                sets.append(_set_id(shingles))
                 if len(shingles):
                     matches, first = prefix(shingles, counts[_bucket(shingles)], num, den)
-                    rows.append((len(shingles), _set_id(shingles), matches, first.view(np.int64)))
                 else:
-                    rows.append((0, None, 0, np.zeros(0, np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "matches", "prefix"])
-            out["set_id"] = out["set_id"].astype("Int64")
-            out.insert(0, "doc_id", ids.to_numpy() if ids.notna().all() else ids.astype("Int64"))
-            yield out
+                    matches, first = 0, shingles
+                asked.append(matches)
+                prefixes.append(first.view(np.int64))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column(0),
+                    "n_shingles": pa.array(sizes, pa.int64()),
+                    "set_id": pa.array(sets, pa.int64()),
+                    "matches": pa.array(asked, pa.int32()),
+                    "prefix": _lists(prefixes),
+                }
+            )
 
     return saved(
-        docs.mapInPandas(
+        docs.mapInArrow(
             run, "doc_id long, n_shingles long, set_id long, matches int, prefix array<long>"
         ),
         "prefixes",
     )
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
+
+
 def _link(num: int, den: int, common, n_a, n_b):
     return common * den >= (n_a + n_b - common) * num
 
 
-def _in_blocks(num: int, den: int):
-    """Links inside one pair of blocks, as a spanning forest."""
+def _forest(sets: list[np.ndarray], inner: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links among sets as a spanning forest; pairs of inner sets are left out."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = df[place] >= 2
+    _, place = np.unique(place[shared], return_inverse=True)
+    owner = owner[shared]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for start in range(0, int(place.max(initial=-1)) + 1, 4096):
+        part = (place >= start) & (place < start + 4096)
+        dense = np.zeros((len(sets), 4096), dtype=np.float32)
+        dense[owner[part], place[part] - start] = 1
+        common += dense @ dense.T
+    linked = _link(num, den, np.rint(common).astype(np.int64), sizes[:, None], sizes[None, :])
+    linked &= ~(inner[:, None] & inner[None, :])
+    parent = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        x, y = find(int(a)), find(int(b))
+        if x != y:
+            parent[x] = y
+            out.append((int(a), int(b)))
+    return out
+
+
+def _compare(num: int, den: int):
+    """Links of the clusters, or of the two blocks of one cluster, that a group holds."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("set_id").reset_index(drop=True)
-        sizes = np.array([len(s) for s in frame["shingles"]], dtype=np.int64)
-        entries = np.concatenate(frame["shingles"].tolist())
-        owner = np.repeat(np.arange(len(frame)), sizes)
-        _, place, df = np.unique(entries, return_inverse=True, return_counts=True)
-        shared = df[place] >= 2
-        _, place = np.unique(place[shared], return_inverse=True)
-        owner = owner[shared]
-        common = np.zeros((len(frame), len(frame)), dtype=np.float32)
-        for start in range(0, int(place.max(initial=-1)) + 1, 4096):
-            part = (place >= start) & (place < start + 4096)
-            dense = np.zeros((len(frame), 4096), dtype=np.float32)
-            dense[owner[part], place[part] - start] = 1
-            common += dense @ dense.T
-        common = np.rint(common).astype(np.int64)
-        linked = _link(num, den, common, sizes[:, None], sizes[None, :])
-        inner = frame["inner"].to_numpy(dtype=bool)
-        linked &= ~(inner[:, None] & inner[None, :])
-        parent = np.arange(len(frame))
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out, ids = [], frame["set_id"].to_numpy()
-        for a, b in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-            x, y = find(a), find(b)
-            if x != y:
-                parent[x] = y
-                out.append((ids[a], ids[b]))
+        out = []
+        for _, part in frame.drop_duplicates("set_id").groupby("root"):
+            ids, sets = part["set_id"].tolist(), part["shingles"].tolist()
+            inner = part["inner"].to_numpy(dtype=bool)
+            if len(ids) == 2:
+                common = len(np.intersect1d(*sets, assume_unique=True))
+                found = [(0, 1)] * bool(_link(num, den, common, len(sets[0]), len(sets[1])))
+            else:
+                found = _forest(sets, inner, num, den) if len(ids) > 1 else []
+            out += [(ids[a], ids[b]) for a, b in found]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return compare
 
 
-def links(docs: DataFrame, facts: DataFrame, text_col: str, width: int, num: int, den: int):
+def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``set_id, root, shingles`` of the wanted sets, each from the document named for it."""
+    rows_wanted = wanted.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked, ids, sets = batch.column(0).to_pylist(), [], []
+            for k, shingles in shingle_sets(batch.column(1), width):
+                own = _set_id(shingles)
+                # Equal ids may have other texts: only the row with the wanted set counts.
+                if own is not None and asked[k] in (None, own):
+                    ids.append(own)
+                    sets.append(shingles.view(np.int64))
+            yield pa.RecordBatch.from_pydict(
+                {"set_id": pa.array(ids, pa.int64()), "shingles": _lists(sets)}
+            )
+
+    def few(df: DataFrame) -> DataFrame:
+        return checked_broadcast(df, rows_wanted, BROADCAST_ROWS)
+
+    named = texts.join(few(wanted.select("doc_id", "set_id")), "doc_id").select("set_id", "text")
+    nameless = texts.where("doc_id is null").select(F.lit(None).cast("long"), "text")
+    return (
+        named.union(nameless)
+        .mapInArrow(run, "set_id long, shingles array<long>")
+        .join(few(wanted.select("set_id", "root")), "set_id")
+    )
+
+
+def links(docs: DataFrame, facts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Links between different sets (``a, b``) that join all that are connected."""
-    id_col = docs.columns[0]
+    # The number of matches and of shingles travel as one number.
     rows = facts.where("set_id is not null").select(
-        "set_id", "matches", "n_shingles", F.explode("prefix").alias("shingle")
+        F.explode("prefix").alias("shingle"),
+        "set_id",
+        (F.col("n_shingles") * 8 + F.col("matches")).alias("facts"),
     )
-    buckets = (
-        rows.groupBy("shingle")
-        .agg(
-            F.min("set_id").alias("low"), F.max("set_id").alias("high"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .where("low < high")
-    )
-    # Copies are counted out here: a bucket has more rows than nodes only if sets are equal.
+    buckets = rows.groupBy("shingle").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    # Copies are counted out here: what is left has a row per shingle and node.
     shared = saved(
-        rows.join(buckets, "shingle")
+        rows.join(buckets.where("low < high").select("shingle", "low"), "shingle")
         .groupBy("shingle", "set_id")
-        .agg(F.first("matches").alias("matches"), F.first("n_shingles").alias("n"),
-             F.first("low").alias("low")),
+        .agg(F.min("facts").alias("facts"), F.min("low").alias("low")),
         "buckets",
-    )
+    )
     sizes = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("members"))
     placed = shared.join(sizes, "shingle")
-    small = placed.where(F.col("members") <= BUCKET).select("shingle", "set_id", "matches", "n")
+    small = placed.where(F.col("members") <= BUCKET).select(
+        "shingle", "set_id", F.floor(F.col("facts") / 8).alias("n"),
+        F.pmod("facts", F.lit(8)).alias("matches"),
+    )
     other = small.select("shingle", *[F.col(c).alias(f"{c}_b") for c in small.columns[1:]])
     fits = F.least("n", "n_b") * den >= F.greatest("n", "n_b") * num
     pairs = (
@@ -214,89 +278,57 @@ def links(docs: DataFrame, facts: DataFrame, text_col: str, width: int, num: int
         .where((F.col("set_id") < F.col("set_id_b")) & fits)
         .groupBy(F.col("set_id").alias("a"), F.col("set_id_b").alias("b"))
         .agg(
-            F.count(F.lit(1)).alias("met"),
-            F.least(F.first("matches"), F.first("matches_b")).alias("needed"),
+            F.count(F.lit(1)).alias("met"), F.min(F.least("matches", "matches_b")).alias("needed")
         )
         .where("met >= needed")
         .select("a", "b")
+    )
+    large = placed.where(F.col("members") > BUCKET).select(
+        F.col("set_id").alias("a"), F.col("low").alias("b")
     )
-    pairs = saved(pairs, "pairs")
-    clusters = saved(
-        components(placed.where(F.col("members") > BUCKET).select("set_id", "low"), "set_id", "low"),
-        "clusters",
-    )
-
-    # The sets of all that is to be compared, from one document of each.
-    nodes = (
-        pairs.select(F.col("a").alias("set_id"))
-        .union(pairs.select("b"))
-        .union(clusters.select("node"))
-        .distinct()
-    )
+    clusters = components(pairs.union(large), "a", "b")
+    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     wanted = saved(
-        facts.select("doc_id", "set_id").join(nodes, "set_id").groupBy("set_id")
+        facts.select("doc_id", "set_id")
+        .join(clusters.withColumnRenamed("node", "set_id"), "set_id")
+        .join(sizes, "root")
+        .groupBy("set_id", "root", "members")
         .agg(F.min("doc_id").alias("doc_id")),
         "wanted",
-    )
-    rows_wanted = wanted.count()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows, asked = [], frame["set_id"].tolist()
-            for k, shingles in shingle_sets(frame["text"].tolist(), width):
-                own = _set_id(shingles)
-                # Equal ids may have other texts: only the row with the wanted set counts.
-                if own is not None and (pd.isna(asked[k]) or asked[k] == own):
-                    rows.append((own, shingles.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["set_id", "shingles"])
-
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    chosen = texts.join(checked_broadcast(wanted, rows_wanted, BROADCAST_ROWS), "doc_id")
-    nameless = texts.where("doc_id is null").withColumn("set_id", F.lit(None).cast("long"))
-    sets = saved(
-        chosen.select("set_id", "text")
-        .union(nameless.select("set_id", "text"))
-        .mapInPandas(run, "set_id long, shingles array<long>")
-        .join(checked_broadcast(wanted.select("set_id"), rows_wanted, BROADCAST_ROWS), "set_id"),
-        "sets",
     )
-    if sets.count() > rows_wanted:  # repeated rows
-        sets = saved(sets.dropDuplicates(["set_id"]), "distinct-sets")
-
-    def with_set(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.join(
-            sets.select(F.col("set_id").alias(column), F.col("shingles").alias(name)), column
-        )
-
-    def verified(df: DataFrame) -> DataFrame:
-        common = F.size(F.array_intersect("of_a", "of_b"))
-        return with_set(with_set(df, "a", "of_a"), "b", "of_b").where(
-            _link(num, den, common, F.size("of_a"), F.size("of_b"))
-        )
-
-    found = verified(pairs).select("a", "b")
-    if not clusters.isEmpty():
-        star = saved(
-            verified(clusters.where("node <> root").select(F.col("node").alias("a"),
-                                                          F.col("root").alias("b")))
-            .select("a", "b"),
-            "star",
-        )
-        members = (
-            clusters.join(star.select(F.col("a").alias("node"), F.lit(True).alias("in_star")),
-                          "node", "left")
-            .select(
-                F.col("node").alias("set_id"), "root",
-                (F.coalesce("in_star", F.lit(False)) | (F.col("node") == F.col("root")))
-                .alias("inner"),
-            )
-        )
-        found = found.union(star).union(_cluster_links(members, sets, num, den))
-    return found
+    compare, found = _compare(num, den), "a long, b long"
+    few = wanted.where(F.col("members") <= BLOCK)
+    bins = groups_of(few.count(), 4 * BLOCK)
+    near = (
+        _sets(docs, few, width)
+        .select("set_id", "root", "shingles", F.lit(False).alias("inner"))
+        .groupBy(F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"))
+        .applyInPandas(compare, found)
+    )
+    many = wanted.where(F.col("members") > BLOCK)
+    if many.isEmpty():
+        return near
+    sets = saved(_sets(docs, many, width), "sets")
+    centre = sets.where("set_id = root").select("root", F.col("shingles").alias("centre"))
+    common = F.size(F.array_intersect("shingles", "centre"))
+    star = saved(
+        sets.join(centre, "root")
+        .where(_link(num, den, common, F.size("shingles"), F.size("centre")))
+        .select("set_id", "root")
+        .distinct(),
+        "star",
+    )
+    dealt = _dealt(many.select("set_id", "root"), star)
+    across = (
+        dealt.join(sets.drop("root"), "set_id").groupBy("root", "i", "j").applyInPandas(compare, found)
+    )
+    return near.union(star.where("set_id <> root")).union(across)
 
 
-def _cluster_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of clusters, by pairs of blocks; two blocks linked to the centre are left out."""
+def _dealt(members: DataFrame, star: DataFrame) -> DataFrame:
+    """Members by pairs of blocks (``i, j``); two blocks linked to the centre need no comparison."""
+    members = members.join(star.select("set_id", F.lit(True).alias("inner")), "set_id", "left")
+    members = members.withColumn("inner", F.coalesce("inner", F.lit(False)))
     counts = members.groupBy("root", "inner").agg(F.count(F.lit(1)).alias("n"))
     blocks = counts.groupBy("root").agg(
         F.sum(F.when(F.col("inner"), F.ceil(F.col("n") / BLOCK))).alias("inner_blocks"),
@@ -314,7 +346,7 @@ def _cluster_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> D
     partners = F.when(
         F.col("own") < F.col("inner_blocks"), F.sequence(F.col("inner_blocks"), last)
     ).otherwise(F.sequence(F.lit(0).cast("long"), last))
-    dealt = (
+    return (
         members.join(blocks, "root")
         .withColumn("own", own)
         .withColumn("partner", F.explode(partners))
@@ -323,11 +355,6 @@ def _cluster_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> D
             F.greatest("own", "partner").alias("j"),
         )
     )
-    return (
-        dealt.join(sets, "set_id")
-        .groupBy("root", "i", "j")
-        .applyInPandas(_in_blocks(num, den), "a long, b long")
-    )
 
 
 def join(
@@ -345,7 +372,7 @@ def join(
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     facts = describe(docs, "text", width, num, den)
-    groups = components(links(docs, facts, "text", width, num, den), "a", "b")
+    groups = components(links(docs, facts, width, num, den), "a", "b")
     classes = (
         facts.where("set_id is not null").groupBy("set_id")
         .agg(F.min("doc_id").alias("first"))
