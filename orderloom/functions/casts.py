@@ -6,14 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StringType, StructType
 
+# A suffix such as the d of '12d', which Java reads as a double, does not count.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def lenient_cast(name: str, have: DataType, want: DataType) -> Column | str:
     if have == want or isinstance(want, StringType):
         return name
     col = F.col(name)
     if isinstance(have, StringType) and isinstance(want, IntegerType):
-        # Text such as '12.0' counts as the integer 12.
-        col = F.regexp_replace(col, r"(?<=\d)\.\d*\s*$", "")
+        # Text such as '12.0' counts as the integer 12. What only a double reads ('1e3', '.5') is
+        # cut as one.
+        exact = F.regexp_replace(col, r"(?<=\d)\.\d*\s*$", "").try_cast(want)
+        cut = F.when(col.rlike(NUMBER), col.try_cast("double").try_cast(want))
+        return F.coalesce(exact, cut).alias(name)
     return col.try_cast(want).alias(name)
 
 

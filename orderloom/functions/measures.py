@@ -19,15 +19,24 @@ def days_from(start: str, end: str) -> Column:
 def money_sum(name: str, scale: int | None = None) -> Column:
     """Sum of a double column.
 
-    With ``scale`` the values are rounded to that many decimals and added as whole numbers, so the
-    result does not depend on the order in which rows arrive from a shuffle. The whole numbers are
-    added as decimals, whose 28 digits leave room for any number of rows.
+    With ``scale`` the values are rounded to that many decimals and added as decimals of 28 digits,
+    so the result does not depend on the order in which rows arrive from a shuffle. A value that
+    does not fit is an error, with ANSI mode on or off. NaN and infinity make the sum what they make
+    of a sum of doubles.
     """
     if scale is None:
         return F.sum(name)
-    units = 10.0**scale
-    whole = F.rint(F.col(name) * units).cast("bigint").cast("decimal(18,0)")
-    return F.sum(whole).cast("double") / units
+    value = F.col(name)
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    too_large = F.raise_error(F.concat(F.lit("amount out of range: "), value.cast("string")))
+    amount = (
+        F.when(value.isNull() | odd, None)
+        .when(F.abs(value) < 10.0 ** (28 - scale), value.cast(f"decimal(28,{scale})"))
+        .otherwise(too_large.cast(f"decimal(28,{scale})"))
+    )
+    return F.when(F.count_if(odd) > 0, F.sum(F.when(odd, value))).otherwise(
+        F.sum(amount).cast("double")
+    )
 
 
 def money_avg(name: str, scale: int | None = None) -> Column:

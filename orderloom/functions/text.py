@@ -15,11 +15,12 @@ MISSING_TOKENS = [
 
 def missing_to_null(df: DataFrame) -> DataFrame:
     """Replace missing-value tokens in every string column by NULL."""
+    columns = {f.name: F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema}
     return df.select(
         *[
-            F.when(~F.col(f.name).isin(MISSING_TOKENS), F.col(f.name)).alias(f.name)
+            F.when(~columns[f.name].isin(MISSING_TOKENS), columns[f.name]).alias(f.name)
             if isinstance(f.dataType, StringType)
-            else F.col(f.name)
+            else columns[f.name]
             for f in df.schema
         ]
     )

@@ -103,6 +103,6 @@ def build_marts(
         "fct_orders": fct_orders(
             details, staging["stg_order_payments"], staging["stg_order_reviews"], money_scale
         ),
-        "dim_customers": dim_customers(details, money_scale),
+        "dim_customers": dim_customers_one_pass(details, money_scale),
         "dim_products": dim_products(details, money_scale),
     }

@@ -13,6 +13,7 @@ import csv
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderloom.sources.files import data_files, first_line
 from orderloom.functions.text import (
     ends_inside_quotes,
     holds_carriage_return,
@@ -28,23 +29,50 @@ RECORD_OPTIONS = {**QUOTING, "multiLine": "true"}
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as strings, named by the header; missing-value tokens become NULL.
 
-    A row with fewer fields than the header is filled with NULL. One with more is an error.
+    A folder may hold files whose headers list the same columns in another order: each file is read
+    by its own header. Other columns are an error. A name that repeats gets a number (``a``,
+    ``a.1``). A row with fewer fields than the header is filled with NULL; one with more is an
+    error, whichever columns are asked for.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
+    files = data_files(spark, path)
+    by_header: dict[str, list[str]] = {}
+    if len(files) > 1:
+        for file in files:
+            by_header.setdefault(first_line(spark, file), []).append(file)
+    if len(by_header) <= 1:
+        return _read_alike(spark, [path])
+    parts = [_read_alike(spark, group) for group in by_header.values()]
+    for part, group in zip(parts, by_header.values(), strict=True):
+        if set(part.columns) != set(parts[0].columns):
+            raise ValueError(f"{group[0]} has other columns than {files[0]}")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def _read_alike(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files with the same header."""
+    lines = spark.read.option("lineSep", "\n").text(paths)
     names = _header_names(lines)
     schema = _string_columns([*names, "_malformed"])
     line = F.col("value")
     if lines.where(ends_inside_quotes(line) | holds_carriage_return(line)).isEmpty():
-        rows = spark.read.csv(path, schema=schema, header=True, **QUOTING)
+        rows = spark.read.csv(paths, schema=schema, header=True, enforceSchema=True, **QUOTING)
     else:
         parsed = F.from_csv(F.col("record"), schema, RECORD_OPTIONS)
         rows = records(lines).select(parsed.alias("row")).select("row.*")
-    # In a projection, because a filter would be pushed down to lines that are no records yet.
-    checked = F.when(F.col("_malformed").isNull() | _is_short(names), F.col(f"`{names[0]}`"))
-    rows = rows.withColumn(names[0], checked).drop("_malformed")
+    # The condition names every column, so that none is pruned: then Spark would not see a long row.
+    # It holds for all rows, or is an error.
+    whole = F.xxhash64(*[F.col(_quoted(n)) for n in names]) == 0
+    rows = rows.where(F.col("_malformed").isNull() | _is_short(names) | whole).drop("_malformed")
     return missing_to_null(rows)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _string_columns(names: list[str]) -> str:
     return ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
 
@@ -55,7 +83,14 @@ def _header_names(lines: DataFrame) -> list[str]:
         raise ValueError("the CSV input does not begin with a header line")
     if first.value.count('"') % 2:
         raise ValueError("column names with line breaks are not supported")
-    return next(csv.reader([first.value.rstrip("\r")]))
+    names = next(csv.reader([first.value.rstrip("\r")]))
+    taken: dict[str, int] = {}
+    out = []
+    for name in names:
+        number = taken.get(name.lower(), 0)
+        out.append(f"{name}.{number}" if number else name)
+        taken[name.lower()] = number + 1
+    return out
 
 
 def _is_short(names: list[str]) -> Column:

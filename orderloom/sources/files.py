@@ -38,3 +38,32 @@ def create_until_exit(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _file_system(spark, path)
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that Spark reads for a path: itself, or those of a folder that are not empty."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path) or not fs.getFileStatus(hadoop_path).isDirectory():
+        return [path]
+    found = []
+    for status in fs.listStatus(hadoop_path):
+        child = status.getPath()
+        if status.isFile() and status.getLen() and child.getName()[0] not in "._":
+            found.append(child.toString())
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, compressed or not; empty for a file without lines."""
+    hadoop_path, fs = _file_system(spark, path)
+    io = spark._jvm.java.io
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    )
+    codec = codecs.getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return io.BufferedReader(io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()

@@ -23,8 +23,10 @@ SUFFIX = ".csv"
 # What a column's values must look like to give it a type other than string, first match first.
 VALUE_PATTERNS = {
     "boolean": r"^(True|TRUE|true|False|FALSE|false)$",
-    "long": r"^[+-]?(0|[1-9]\d{0,17})$",
-    "double": r"^[+-]?((0|[1-9]\d*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?$",
+    "long": r"^[+-]?(0|[1-9]\d{0,18})$",
+    # Whole numbers only as far as a double keeps all their digits: longer ones may be ids.
+    "double": r"^[+-]?((0|[1-9]\d{0,14})|((0|[1-9]\d*)\.\d*|\.\d+)([eE][+-]?\d+)?"
+    r"|(0|[1-9]\d*)[eE][+-]?\d+)$",
 }
 
 
@@ -112,12 +114,16 @@ def with_inferred_types(rows: DataFrame) -> DataFrame:
     """Turn string columns that hold only truth values or numbers into boolean, long or double.
 
     One aggregate over the table decides for all columns. Codes with leading zeros stay strings, and
-    so do columns without any value.
+    so do columns without any value and whole numbers that neither type would keep exactly.
     """
     names = [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
 
     def holds_only(name: str, pattern: str) -> Column:
-        return F.coalesce(F.bool_and(F.col(f"`{name}`").rlike(pattern)), F.lit(False))
+        column = F.col(f"`{name}`")
+        fits = column.rlike(pattern)
+        if pattern == VALUE_PATTERNS["long"]:
+            fits = fits & (column.isNull() | column.try_cast("long").isNotNull())
+        return F.coalesce(F.bool_and(fits), F.lit(False))
 
     checks = [
         F.struct(*[holds_only(n, p).alias(kind) for kind, p in VALUE_PATTERNS.items()]).alias(n)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.schemas import SILVER, in_table_order, silver_ddl
-from orderloom.sources.files import delete_folder
+from orderloom.sources.files import child_names, delete_folder
 
 
 def write_parquet(df: DataFrame, path: str, output_files: int | None = None) -> None:
@@ -51,28 +52,42 @@ def load_rows(rows: DataFrame, schema: str, table: str, append: bool = False) ->
 
     Columns are matched by name. The default replaces the table's content: the new rows are written
     to a folder of their own, and when all are there the table is pointed to it. That moves no data,
-    readers see the old rows or the new ones, and a load that fails changes nothing.
+    and a load that fails changes nothing. The folder before stays until the next load, so that
+    readers that began before the switch can finish. Only folders that a load made are deleted, and
+    rows that are read from the table's own folder may be loaded into it.
     """
-    spark = rows.sparkSession
     rows = in_table_order(rows, table)
     target = f"{schema}.{table}"
     if append:
         rows.write.insertInto(target)
         return
+    _replace(rows.sparkSession, schema, table, lambda name: rows.write.insertInto(name))
+
+
+def _replace(spark: SparkSession, schema: str, table: str, write) -> None:
+    """Fill a new folder through a table of its own name, then point the table to it.
+
+    Folders of earlier loads go, but for the one that the table pointed to until now.
+    """
+    target = f"{schema}.{table}"
     old = table_location(spark, target)
-    new = f"{old.rsplit('/', 1)[0]}/{table}-{uuid.uuid4().hex}"
-    loading = f"{target}_loading"
-    spark.sql(f"DROP TABLE IF EXISTS {loading}")
+    parent = old.rsplit("/", 1)[0]
+    tag = uuid.uuid4().hex
+    new, loading = f"{parent}/{table}-{tag}", f"{schema}.{table}_loading_{tag}"
     spark.sql(f"CREATE TABLE {loading} LIKE {target} USING parquet LOCATION '{new}'")
     try:
-        rows.write.insertInto(loading)
+        write(loading)
         spark.sql(f"ALTER TABLE {target} SET LOCATION '{new}'")
     except Exception:
         delete_folder(spark, new)
         raise
     finally:
         spark.sql(f"DROP TABLE {loading}")
-    delete_folder(spark, old)
+    made = re.compile(rf"{re.escape(table)}-[0-9a-f]{{32}}")
+    keep = {new.rsplit("/", 1)[1], old.rsplit("/", 1)[1]}
+    for child in child_names(spark, parent):
+        if made.fullmatch(child) and child not in keep:
+            delete_folder(spark, f"{parent}/{child}")
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -81,6 +96,22 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 
 def save_table(df: DataFrame, schema: str, table: str) -> None:
-    """Rebuild a table in full."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"{schema}.{table}")
+    """Rebuild a table in full; a build that fails leaves the table as it was.
 
+    Rows go to a new folder first, then the table is pointed to it, or made anew where columns
+    changed.
+    """
+    spark = df.sparkSession
+    target = f"{schema}.{table}"
+    if not spark.catalog.tableExists(target):
+        df.write.format("parquet").saveAsTable(target)
+        return
+    if [(f.name, f.dataType) for f in spark.table(target).schema] == [
+        (f.name, f.dataType) for f in df.schema
+    ]:
+        _replace(spark, schema, table, lambda name: df.write.insertInto(name))
+        return
+    folder = f"{table_location(spark, target).rsplit('/', 1)[0]}/{table}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    spark.sql(f"DROP TABLE {target}")
+    spark.catalog.createTable(target, path=folder, source="parquet")

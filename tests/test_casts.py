@@ -1,8 +1,10 @@
+import math
 from datetime import datetime
 
 import pytest
 from pyspark.sql.types import DoubleType
 
+from orderloom.functions.measures import money_sum
 from orderloom.functions.casts import typed
 from orderloom.schemas import schema_of
 
@@ -18,7 +20,13 @@ from orderloom.schemas import schema_of
         ("int", " 4 ", 4),
         ("int", "x", None),
         ("int", "", None),
-        ("int", "1e3", None),
+        ("int", "1e3", 1000),
+        ("int", "1.5e1", 15),
+        ("int", ".5", 0),
+        ("int", "-2.9e0", -2),
+        ("int", "2147483647", 2147483647),
+        ("int", "1e10", None),
+        ("int", "NaN", None),
         ("int", "12d", None),
         ("int", "99999999999", None),
         ("int", None, None),
@@ -50,3 +58,19 @@ def test_typed_selects_only_the_schema(spark):
     assert out.columns == ["a", "b"]
     assert out.first() == (3, 1.0)
     assert out.schema["b"].dataType == DoubleType()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_sums_keep_every_value(spark, conf, ansi):
+    conf(ansi__enabled=ansi)
+
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+        return df.agg(money_sum("v", 4)).first()[0]
+
+    assert total(1e14, 1.0) == 1e14 + 1
+    assert total(1e18, 1.0, -1e18, 0.25) == 1.25
+    assert total(-0.0, None) == 0.0 and total(None) is None and total() is None
+    assert math.isnan(total(1.0, float("nan"))) and total(1.0, float("inf")) == float("inf")
+    with pytest.raises(Exception, match="out of range"):
+        total(1e24, 1.0)

@@ -180,3 +180,38 @@ def test_header_only_and_empty_files(spark, tmp_path):
 def test_ends_inside_quotes(spark, line, inside):
     df = spark.createDataFrame([(line,)], "line STRING")
     assert df.select(ends_inside_quotes(F.col("line"))).first()[0] is inside
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    write(folder / "a.csv", [("order_id", "price", "note"), ("o1", "1", "x"), ("o2", "2", None)])
+    write(folder / "b.csv", [("price", "note", "order_id"), ("7", "two\nlines", "o7")])
+    write(folder / "c.csv", [("order_id", "price", "note"), ("o3", "3", "z")])
+    (folder / "empty.csv").write_text("")
+    df = read_csv(spark, str(folder))
+    assert df.columns == ["order_id", "price", "note"]
+    assert ordered(map(tuple, df.collect())) == ordered(
+        [("o1", "1", "x"), ("o2", "2", None), ("o7", "7", "two\nlines"), ("o3", "3", "z")]
+    )
+    write(folder / "d.csv", [("order_id", "note"), ("o4", "n")])
+    with pytest.raises(ValueError, match="other columns"):
+        read_csv(spark, str(folder))
+
+
+def test_repeated_names_get_numbers(spark, tmp_path):
+    path = write(tmp_path / "t.csv", [("a", "b", "a", "a"), ("1", "2", "3", "4")])
+    df = read_csv(spark, path)
+    assert df.columns == ["a", "b", "a.1", "a.2"] == list(pd.read_csv(path).columns)
+    assert tuple(df.first()) == ("1", "2", "3", "4")
+
+
+@pytest.mark.parametrize("text", ["x", "two\nlines"])
+def test_a_long_row_is_an_error_whatever_is_asked_for(spark, tmp_path, text):
+    rows = [("a", "b"), ("1", text), ("2", "y", "surplus"), ("3",)]
+    df = read_csv(spark, write(tmp_path / "t.csv", rows))
+    for action in (df.collect, df.select("b").collect, df.select("a").collect, df.count):
+        with pytest.raises(Exception, match="more fields than the header"):
+            action()
+    good = read_csv(spark, write(tmp_path / "u.csv", [r[:2] for r in rows]))
+    assert good.count() == 3 and good.select("b").where("b is null").count() == 1

@@ -192,7 +192,22 @@ def test_inferred_types(spark):
         "s": "string",
         "empty": "string",
         "gaps": "bigint",
-        "big": "double",
+        "big": "string",
         "flag": "boolean",
     }
     assert [r.gaps for r in out.collect()] == [-3, None]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_long_ids_stay_distinct(spark, conf, ansi):
+    conf(ansi__enabled=ansi)
+    for digits, kind in ((15, "bigint"), (18, "bigint"), (19, "bigint"), (20, "string")):
+        for sign in ("", "-", "+"):
+            ids = [sign + ("1234567890123456789" + "0")[:digits], sign + "1" * digits]
+            out = with_inferred_types(spark.createDataFrame([(i,) for i in ids], "id STRING"))
+            assert out.dtypes == [("id", kind)]
+            assert out.distinct().count() == 2
+    mixed = spark.createDataFrame([("1.5",), ("1234567890123456789",)], "v STRING")
+    assert with_inferred_types(mixed).dtypes == [("v", "string")]
+    over = spark.createDataFrame([("9223372036854775808",)], "v STRING")
+    assert with_inferred_types(over).dtypes == [("v", "string")]

@@ -31,10 +31,10 @@ def stored(tmp_path, tables):
 
 
 def folders(spark, schema):
-    """How many folders hold order details, of this load or one before."""
+    """How many folders loads of order details have left."""
     location = table_location(spark, f"{schema}.order_details")
     root = Path(location.removeprefix("file:")).parent
-    return len(list(root.glob("order_details*")))
+    return len(list(root.glob("order_details-*")))
 
 
 def test_create(spark, schema):
@@ -91,7 +91,10 @@ def test_text_longer_than_its_column_fails_and_keeps_the_table(spark, schema, bu
     assert [r.customer_state for r in spark.table(f"{schema}.order_details").collect()] == ["RJ"]
     tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()]
     assert sorted(tables) == sorted(SILVER)
-    assert folders(spark, schema) == 1
+    # The folder before stays for readers that began before the switch.
+    assert folders(spark, schema) == 2
+    load(spark, f"{fixed}/order_details", schema, "order_details")
+    assert folders(spark, schema) == 2
 
 
 def test_output_files(spark, tmp_path):
@@ -107,3 +110,40 @@ def test_save_table_rebuilds(spark, schema):
     save_table(spark.range(2).withColumnRenamed("id", "other"), schema, "mart")
     assert spark.table(f"{schema}.mart").columns == ["other"]
     assert spark.table(f"{schema}.mart").count() == 2
+
+
+def test_a_failed_build_keeps_the_mart(spark, schema):
+    save_table(spark.range(3), schema, "mart")
+    save_table(spark.range(5), schema, "mart")
+    for rows in (
+        spark.range(4).selectExpr("raise_error('broken') AS id").selectExpr("cast(id AS bigint) id"),
+        spark.range(4).selectExpr("raise_error('broken') AS other"),
+    ):
+        with pytest.raises(Exception, match="broken"):
+            save_table(rows, schema, "mart")
+        assert spark.table(f"{schema}.mart").count() == 5
+    open_reader = spark.table(f"{schema}.mart")
+    save_table(spark.range(7), schema, "mart")
+    assert open_reader.count() in (5, 7)
+    save_table(spark.range(2).withColumnRenamed("id", "other"), schema, "mart")
+    save_table(spark.range(9).withColumnRenamed("id", "other"), schema, "mart")
+    assert spark.table(f"{schema}.mart").count() == 9
+
+
+def test_a_reader_that_began_before_the_load_finishes(spark, schema, build, tmp_path):
+    folder = stored(tmp_path, build())
+    load(spark, f"{folder}/order_details", schema, "order_details")
+    before = spark.table(f"{schema}.order_details")
+    before.explain()
+    load(spark, f"{folder}/order_details", schema, "order_details")
+    assert len(before.collect()) == 1
+
+
+def test_a_folder_of_the_caller_stays(spark, schema, build, tmp_path):
+    """A table may stand on the folder that is loaded into it."""
+    folder = stored(tmp_path, build())
+    spark.sql(f"ALTER TABLE {schema}.order_payments SET LOCATION '{folder}/order_payments'")
+    for _ in range(3):
+        load(spark, f"{folder}/order_payments", schema, "order_payments")
+    assert spark.read.parquet(f"{folder}/order_payments").count() == 1
+    assert spark.table(f"{schema}.order_payments").count() == 1
