@@ -26,9 +26,9 @@ from orderloom.llm.hashing import mix
 
 WIDTH = 8
 # A grid has so many coordinates that a cell of an even spread has about so many members.
-MEMBERS, CELLS_PER_AXIS = 512, 7
+MEMBERS, CELLS_PER_AXIS = 1_024, 7
 # Rows of a cell above which it is split into parts of this size.
-PART = 1_000
+PART = 1_500
 SLACK = 1e-6
 
 
@@ -100,15 +100,18 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
     for w in np.unique(width):  # other widths only where hashes of cells agree by chance
         at = np.flatnonzero(width == w)
         places = np.frombuffer(b"".join(frame["place"].iloc[at]), "<f4").reshape(len(at), -1)
-        places = places.astype(float)
-        squares = (places**2).sum(axis=1)
-        far = squares[:, None] + squares[None, :] - 2 * places @ places.T
-        near = far <= float(frame["reach"].iloc[at].max()) ** 2 + SLACK
-        near &= home[at][:, None] | home[at][None, :]
-        if i[0] != j[0]:
-            near &= own[at][:, None] != own[at][None, :]
-        a, b = np.nonzero(np.triu(near, 1))
-        a, b = nodes[at[a]], nodes[at[b]]
+        half = (places**2).sum(axis=1, keepdims=True) / 2
+        one = np.ones_like(half)
+        # The product of these rows is minus half of the squared distance.
+        left, right = np.hstack([places, -half, one]), np.hstack([places, one, -half])
+        limit = -(float(frame["reach"].iloc[at].max()) ** 2 + SLACK) / 2
+        first, second = (at, at) if i[0] == j[0] else (at[own[at] == i[0]], at[own[at] == j[0]])
+        spot = np.full(len(frame), -1)
+        spot[at] = np.arange(len(at))
+        near = np.flatnonzero((left[spot[first]] @ right[spot[second]].T).ravel() >= limit)
+        a, b = first[near // len(second)], second[near % len(second)]
+        fits = (home[a] | home[b]) & ((a < b) if i[0] == j[0] else True)
+        a, b = nodes[a[fits]], nodes[b[fits]]
         found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b])
     pairs = np.unique(np.concatenate(found), axis=0)
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
