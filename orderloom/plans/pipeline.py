@@ -14,7 +14,7 @@ from orderloom.plans.silver import build_silver
 from orderloom.plans.staging import STAGING_SOURCE, view_sql
 from orderloom.plans.suite import ORDER_STATUSES, pipeline_suite
 from orderloom.schemas import RAW, SILVER
-from orderloom.session import configure, size_for_input
+from orderloom.session import configure
 from orderloom.sources.raw import Landed, csv_tables, ingest, read_raw, require
 from orderloom.sources.tables import (
     create_schema,
@@ -60,7 +60,6 @@ def transform(
     spark: SparkSession, layout: Layout, snapshot: str = "latest", output_files: int | None = None
 ) -> None:
     """Raw snapshots to silver Parquet files, or to the silver tables."""
-    size_for_input(spark, layout.raw_path)
     raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
     if not layout.silver_path:
         _create_silver(spark, layout)
@@ -129,7 +128,6 @@ def run(
     which stay as they are.
     """
     configure(spark)
-    size_for_input(spark, csv_dir)
     known = [layout.raw_name(t) for t in RAW]
     others = set(csv_tables(spark, csv_dir)) - set(known)
     landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others)

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from orderloom.sources.files import create_until_exit, total_bytes
+from orderloom.sources.files import create_until_exit
 
 # Read at run time by Spark SQL, so they can be set on a session that already exists.
 RUNTIME_CONF = {
@@ -19,55 +19,41 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-MB = 1024 * 1024
-# Scans: splits of this size, larger ones once the input would give more than so many.
-MIN_SPLIT = 128 * MB
-MAX_SPLIT = 512 * MB
-SPLITS = 200_000
-# Shuffles: a partition per so many bytes of input.
-SHUFFLE_PARTITION = 128 * MB
-MAX_SHUFFLE_PARTITIONS = 50_000
-# Broadcasts: a side up to this share of the input, within these bounds.
-BROADCAST_SHARE = 1024
-MIN_BROADCAST = 4 * MB
-MAX_BROADCAST = 128 * MB
+# Shuffles: a partition per so many bytes of input, for sessions that are told the input's size.
+SHUFFLE_PARTITION = 128 * 1024 * 1024
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the plans rely on to an existing session."""
+    """Apply the settings the plans rely on to an existing session.
+
+    What the caller has set stays. Nothing depends on an input, so DataFrames that are built but not
+    yet run are not affected by later calls.
+    """
+    own = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 
-def get_session(app_name: str = "orderloom", master: str | None = None) -> SparkSession:
+def get_session(
+    app_name: str = "orderloom", master: str | None = None, input_bytes: int | None = None
+) -> SparkSession:
+    """A session; with the input's size its shuffles begin with enough partitions (AQE merges)."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
+    if input_bytes:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(shuffle_partitions(input_bytes)),
+        )
     return configure(builder.getOrCreate())
 
 
-def size_for_input(spark: SparkSession, *paths: str) -> int:
-    """Fit scans, shuffles and broadcasts to the stored size of the input, and return that size.
-
-    Shuffles start with at least ``spark.sql.shuffle.partitions``; AQE merges small ones. The more
-    there is to shuffle, the larger a table it is worth broadcasting instead, so that limit grows
-    with the input. It is checked against file sizes when a join is planned and against measured
-    sizes after a shuffle.
-    """
-    size = total_bytes(spark, *paths)
-    split = max(MIN_SPLIT, min(size // SPLITS, MAX_SPLIT))
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(floor, min(size // SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS))
-    broadcast = max(MIN_BROADCAST, min(size // BROADCAST_SHARE, MAX_BROADCAST))
-    for key, value in {
-        "spark.sql.files.maxPartitionBytes": split,
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
-        "spark.sql.autoBroadcastJoinThreshold": broadcast,
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast,
-    }.items():
-        spark.conf.set(key, str(value))
-    return size
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions for a shuffle of the whole input, at any size."""
+    return max(200, -(-input_bytes // SHUFFLE_PARTITION))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

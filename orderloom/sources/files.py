@@ -18,16 +18,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
-def total_bytes(spark: SparkSession, *paths: str) -> int:
-    """Stored size of files and folders; paths that do not exist count as empty."""
-    total = 0
-    for path in paths:
-        hadoop_path, fs = _file_system(spark, path)
-        if fs.exists(hadoop_path):
-            total += fs.getContentSummary(hadoop_path).getLength()
-    return total
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _file_system(spark, path)
     fs.delete(hadoop_path, True)

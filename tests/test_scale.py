@@ -3,12 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom import size_for_input
+from orderloom import configure, shuffle_partitions
 from orderloom.parity.queries import CUSTOMER_COLUMNS, ORDER_ITEM_COLUMNS, PRODUCT_COLUMNS
 from orderloom.operators.aggregates import items_per_order
 from orderloom.plans import marts
 from orderloom.plans.silver import order_details
-from orderloom.session import MAX_BROADCAST, MAX_SPLIT, MIN_BROADCAST, MIN_SPLIT, scratch_dir
+from orderloom.session import scratch_dir
 
 N = 400_000
 KEYS = ("products", "category_translation", "sellers")
@@ -157,29 +157,34 @@ def test_no_python_in_the_plans(hot):
     assert "Python" not in plan and "CartesianProduct" not in plan
 
 
-def test_limits_follow_the_input_size(spark, conf, monkeypatch):
+def test_settings_of_the_caller_stay(spark, conf):
     conf(
-        files__maxPartitionBytes="128MB",
-        autoBroadcastJoinThreshold="1",
+        autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="1",
-        adaptive__coalescePartitions__initialPartitionNum="8",
+        adaptive__skewJoin__enabled="false",
+        files__maxPartitionBytes="77MB",
     )
+    before = dict(spark.conf.getAll)
+    configure(spark)
+    assert dict(spark.conf.getAll) == before
+
+
+def test_shuffle_partitions_have_no_ceiling():
     gib, tib = 1024**3, 1024**4
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(100 * gib) == 800
+    assert shuffle_partitions(100 * tib) == 819_200
+
+
+@pytest.mark.parametrize("name", ["fct_orders", "dim_customers", "dim_products"])
+def test_results_do_not_depend_on_broadcasts(spark, conf, name):
+    from orderloom.parity.queries import QUERIES
 
-    def limits(size):
-        monkeypatch.setattr("orderloom.session.total_bytes", lambda *_: size)
-        size_for_input(spark, "anywhere")
-        names = [
-            "files.maxPartitionBytes",
-            "adaptive.coalescePartitions.initialPartitionNum",
-            "autoBroadcastJoinThreshold",
-            "adaptive.autoBroadcastJoinThreshold",
-        ]
-        return tuple(int(spark.conf.get(f"spark.sql.{n}").rstrip("b")) for n in names)
-
-    assert limits(0) == (MIN_SPLIT, 8, MIN_BROADCAST, MIN_BROADCAST)
-    assert limits(32 * gib) == (MIN_SPLIT, 256, 32 * gib // 1024, 32 * gib // 1024)
-    assert limits(100 * tib) == (MAX_SPLIT, 50_000, MAX_BROADCAST, MAX_BROADCAST)
+    results = []
+    for limit in ("-1", "10MB"):
+        conf(autoBroadcastJoinThreshold=limit, adaptive__autoBroadcastJoinThreshold=limit)
+        results.append(sorted(map(str, QUERIES[name](spark, "/root/testdata/sf0.001").collect())))
+    assert results[0] == results[1]
 
 
 def test_scratch_folder_is_the_shared_one(spark):
