@@ -107,14 +107,14 @@ def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         )
     )
     events = table("events")
-    payments = events.where(F.col("event_type").isin("purchase", "signup")).select(
+    payments = events.where(F.col("event_type").isin("purchase", "signup", "error")).select(
         _quarter("event_id").alias("order_id"),
         (F.col("event_id") % 4 + 1).cast("int").alias("payment_sequential"),
         F.col("event_type").alias("payment_type"),
         (F.col("user_id") % 12 + 1).cast("int").alias("payment_installments"),
         F.col("value").alias("payment_value"),
     )
-    reviews = events.where(F.col("event_type") == "click").select(
+    reviews = events.where(F.col("event_type").isin("click", "view")).select(
         _quarter("event_id").alias("order_id"),
         F.col("event_id").alias("review_id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("review_score"),
@@ -179,11 +179,11 @@ SQL: dict[str, str] = {
                event_type AS payment_type,
                CAST(user_id % 12 + 1 AS INTEGER) AS payment_installments,
                value AS payment_value
-        FROM events WHERE event_type IN ('purchase', 'signup')""",
+        FROM events WHERE event_type IN ('purchase', 'signup', 'error')""",
     "raw_reviews": """
         SELECT CAST(floor(event_id / 4.0) AS BIGINT) AS order_id, event_id AS review_id,
                CAST(event_id % 5 + 1 AS INTEGER) AS review_score,
                event_type AS review_comment_title, props AS review_comment_message,
                ts AS review_creation_date, ts + INTERVAL 1 DAY AS review_answer_timestamp
-        FROM events WHERE event_type = 'click'""",
+        FROM events WHERE event_type IN ('click', 'view')""",
 }

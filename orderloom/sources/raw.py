@@ -29,6 +29,9 @@ VALUE_PATTERNS = {
     r"|(0|[1-9]\d*)[eE][+-]?\d+)$",
 }
 
+# What Spark says when a check of the content has failed.
+CONTENT_ERRORS = ("USER_RAISED_EXCEPTION", "MALFORMED_CSV_RECORD")
+
 
 @dataclass(frozen=True)
 class Landed:
@@ -105,9 +108,11 @@ def _with_retries(
             return Landed(table, "landed", attempt, rows=action())
         except Exception as e:  # any failure of one table leaves the others unaffected
             error = f"{type(e).__name__}: {e}".splitlines()[0]
+            if isinstance(e, ValueError) or any(mark in str(e) for mark in CONTENT_ERRORS):
+                break  # malformed content stays malformed
             if attempt < max_retries:
                 time.sleep(retry_delay)
-    return Landed(table, "skipped", max_retries, error=error)
+    return Landed(table, "skipped", attempt, error=error)
 
 
 def with_inferred_types(rows: DataFrame) -> DataFrame:
