@@ -147,6 +147,10 @@ def run(
 
 
 def _schema(spark: SparkSession, layout: Layout, schema: str) -> None:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    on_cluster = not spark.sparkContext.master.startswith("local")
+    if on_cluster and not layout.schema_root and warehouse.startswith("file:"):
+        raise ValueError("set schema_root: the warehouse is a folder of the driver's machine")
     create_schema(
         spark, schema, f"{layout.schema_root}/{schema}" if layout.schema_root else None
     )
