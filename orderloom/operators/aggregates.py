@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.measures import money_avg, money_sum
 
+# The attributes that an order or product is grouped by.
 ORDER_ATTRIBUTES = [
     "order_id",
     "order_status",

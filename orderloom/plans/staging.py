@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+# The columns of the staging views, in their order.
 STAGING_COLUMNS: dict[str, list[str]] = {
     "stg_order_details": [
         "order_id", "order_item_id", "customer_unique_id", "product_id", "seller_id",

@@ -18,6 +18,7 @@ ORDER_STATUSES = (
 
 
 def pipeline_suite(order_statuses: tuple[str, ...] = ORDER_STATUSES) -> list[Expectation]:
+    # The tested tables and columns.
     not_null = [
         ("order_details", "order_id"),
         ("order_details", "order_item_id"),
