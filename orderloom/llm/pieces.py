@@ -22,6 +22,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 START = -2
 # Characters per batch text and per group of texts; units kept with their encoding in a task.
-BATCH, GROUP, KEPT = 1_000_000, 4_000_000, 600_000
+BATCH, GROUP, KEPT = 500_000, 2_000_000, 300_000
 
 
 @dataclass
@@ -235,6 +236,17 @@ class Encoder:
             self.follows[key] = known
         return known
 
+    def _possible(self, codes: np.ndarray) -> np.ndarray:
+        """Symbols whose characters, and first two of them in this order, the batch text has."""
+        symbols, lengths = self.vocabulary.matrix
+        there = np.isin(symbols + 1, np.unique(codes))
+        there |= np.arange(symbols.shape[1])[None, :] >= lengths[:, None]
+        fits = there.all(axis=1)
+        if symbols.shape[1] > 1:
+            first = np.unique(codes[:-1] << 21 | codes[1:])
+            fits &= (lengths < 2) | np.isin((symbols[:, 0] + 1) << 21 | (symbols[:, 1] + 1), first)
+        return np.flatnonzero(fits)
+
     def _learn(self, units: list[str]) -> None:
         """Encode units that are new, as one batch text."""
         v = self.vocabulary
@@ -247,23 +259,26 @@ class Encoder:
         codes = codes + 1
         codes[starts + lens] = 0
         suffixes, _ = suffix_ranks(codes, symbols.shape[1])
-        shown = np.where(np.arange(symbols.shape[1])[None, :] < lengths[:, None], symbols + 1, 0)
-        low, high = occurrences(codes, suffixes, shown, lengths)
+        possible = self._possible(codes)
+        wanted = lengths[possible]
+        shown = symbols[possible] + 1
+        shown[np.arange(symbols.shape[1])[None, :] >= wanted[:, None]] = 0
+        low, high = occurrences(codes, suffixes, shown, wanted)
         count = high - low
-        symbol = np.repeat(np.arange(len(count)), count)
+        symbol = np.repeat(possible, count)
         offset = np.arange(len(symbol)) - np.repeat(np.cumsum(count) - count, count)
-        begin = suffixes[np.repeat(low, count) + offset]
+        begin = suffixes.astype(np.int32)[np.repeat(low, count) + offset]
+        del offset, suffixes
         # A character that no symbol begins with and equals is an edge of its own, symbol -1.
         covered = np.zeros(len(codes), dtype=bool)
         covered[begin[lengths[symbol] == 1]] = True
-        alone = np.flatnonzero(~covered & (codes > 0))
+        alone = np.flatnonzero(~covered & (codes > 0)).astype(np.int32)
+        span = np.concatenate([lengths[symbol], np.ones(len(alone), np.int64)]).astype(np.int32)
         begin = np.concatenate([begin, alone])
-        symbol = np.concatenate([symbol, np.full(len(alone), -1)])
-        span = np.concatenate([lengths[symbol[: len(symbol) - len(alone)]],
-                               np.ones(len(alone), np.int64)])
+        symbol = np.concatenate([symbol.astype(np.int32), np.full(len(alone), -1, np.int32)])
         end = begin + span
-        unit = np.searchsorted(starts, begin, side="right") - 1
-        depth = end - starts[unit]
+        unit_of = np.repeat(starts, lens + 1).astype(np.int32)
+        depth = end - unit_of[begin]
         order = np.argsort(depth, kind="stable")
         begin, symbol, end, depth = begin[order], symbol[order], end[order], depth[order]
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(depth)) + 1, [len(depth)]))
@@ -275,7 +290,7 @@ class Encoder:
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 before = last[begin[a:b]]
                 # Unknown characters merge with nothing; behind one a unit begins anew.
-                keys = np.maximum(before, 0) * wide + symbol[a:b] + 1
+                keys = np.maximum(before, 0).astype(np.int64) * wide + symbol[a:b] + 1
                 some, which = np.unique(keys, return_inverse=True)
                 fits = np.array([self._may_follow(k) for k in some.tolist()], dtype=bool)[which]
                 fits &= before >= 0
@@ -373,12 +388,6 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     return out[1:] if out.startswith(" ") else out
 
 
-def _groups(texts: list) -> Iterator[tuple[int, int]]:
-    from orderloom.llm.hashing import batches_of
-
-    return batches_of(texts, GROUP)
-
-
 def encode_documents(
     docs: DataFrame, *, text_col: str = "text", vocabulary: str = VOCABULARY, out: str = "piece_ids"
 ) -> DataFrame:
@@ -406,12 +415,16 @@ def encode_documents(
         words = shared.value
         encoder = encoder_of(words, vocabulary)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
-            for start, stop in _groups(texts):
-                ids, bounds = encoder.encode(texts[start:stop])
+            whole = batch.column(batch.schema.get_field_index("__text"))
+            # Texts are taken from the batch a group at a time.
+            sizes = pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // GROUP)) + 1
+            for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(whole)], strict=True):
+                texts = whole.slice(start, stop - start).to_pylist()
+                ids, bounds = encoder.encode(texts)
                 same = [
                     decode(words, ids[a:b].tolist()) == (t or "")
-                    for t, a, b in zip(texts[start:stop], bounds[:-1], bounds[1:], strict=True)
+                    for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True)
                 ]
                 columns = [batch.column(n).slice(start, stop - start) for n in names]
                 columns += [
