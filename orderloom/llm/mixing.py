@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import SPACE, fresh, saved
+from orderloom.llm.common import SPACE, fresh, let, saved
 
 # The knapsack's table covers a remaining budget of at most so many words.
 TABLE_WORDS = 1 << 15
@@ -24,10 +24,13 @@ MAX_SOURCES = 100_000
 
 def n_words(text):
     """Words without ASCII white space; 0 for null."""
-    bare = F.regexp_replace(text, f"^{SPACE}", "")
-    parts = F.size(F.split(bare, SPACE, -1))
-    ends = F.when(F.substring(bare, -1, 1).rlike(SPACE), 1).otherwise(0)
-    return F.when(F.coalesce(F.length(bare), F.lit(0)) == 0, 0).otherwise(parts - ends).cast("long")
+
+    def count(bare):
+        ends = F.when(F.substring(bare, -1, 1).rlike(SPACE), 1).otherwise(0)
+        words = F.size(F.split(bare, SPACE, -1)) - ends
+        return F.when(F.length(bare) > 0, words).otherwise(0).cast("long")
+
+    return let(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}", ""), count)
 
 
 def targets(

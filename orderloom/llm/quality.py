@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import SPACE, checked_broadcast, fresh, held_out
+from orderloom.llm.common import SPACE, checked_broadcast, held_out, let
 from orderloom.llm.mixing import n_words
 
 # At most so many labelled documents train the model: those with the smallest seeded hash of the id.
@@ -22,32 +22,53 @@ TREES, DEPTH, BINS, RATE = 24, 3, 64, 0.3
 PENALTY, STEPS = 2e-3, 400
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text, all from built-in functions; a null text counts as empty."""
-    text = F.coalesce(text, F.lit(""))
-    n = F.length(text)
+# The statistics, in the order of the struct.
+STATISTICS = [
+    "words", "mean_word", "upper", "digits", "symbols", "sentence_marks", "distinct_words",
+    "distinct_lines",
+]
+
+
+def statistics(text: Column) -> Column:
+    """Statistics of a whole text as a struct of doubles; a null text counts as empty.
+
+    Built-in functions only. Everything that reads the text is bound once, so that the struct costs
+    the same wherever the optimiser moves it.
+    """
 
     def share(count: Column, of: Column) -> Column:
-        return F.when(of > 0, count / of).otherwise(F.lit(0.0))
-
-    def kept(pattern: str) -> Column:
-        return F.length(F.regexp_replace(text, pattern, ""))
-
-    words = n_words(text)
-    parts = F.split(F.lower(text), SPACE)
-    lines = F.split(text, "\n")
-    symbols = kept(r"[\p{L}\p{N}\s]+")
-    plain = kept(r"[^.,;:'\"()-]+")
-    return {
-        "words": words.cast("double"),
-        "mean_word": share((n - words + 1).cast("double"), words),
-        "upper": share(kept(r"\P{Lu}+").cast("double"), n),
-        "digits": share(kept(r"\P{N}+").cast("double"), n),
-        "symbols": share((symbols - plain).cast("double"), n),
-        "sentence_marks": share(plain.cast("double"), n),
-        "distinct_words": share(F.size(F.array_distinct(parts)).cast("double"), F.size(parts)),
-        "distinct_lines": share(F.size(F.array_distinct(lines)).cast("double"), F.size(lines)),
-    }
+        return F.when(of > 0, count.cast("double") / of).otherwise(F.lit(0.0))
+
+    def distinct(parts: Column) -> Column:
+        return let(
+            parts, lambda p: share(F.size(F.array_distinct(p)), F.size(p))
+        )
+
+    def ratios(c: Column) -> Column:
+        out = [
+            c["words"].cast("double"), share(c["n"] - c["words"] + 1, c["words"]),
+            share(c["upper"], c["n"]), share(c["digits"], c["n"]),
+            share(c["marks"] - c["plain"], c["n"]), share(c["plain"], c["n"]),
+            c["distinct_words"], c["distinct_lines"],
+        ]
+        return F.struct(*[o.alias(k) for k, o in zip(STATISTICS, out, strict=True)])
+
+    def counts(t: Column) -> Column:
+        def kept(pattern: str) -> Column:
+            return F.length(F.regexp_replace(t, pattern, ""))
+
+        return F.struct(
+            F.length(t).alias("n"),
+            n_words(t).alias("words"),
+            kept(r"\P{Lu}+").alias("upper"),
+            kept(r"\P{N}+").alias("digits"),
+            kept(r"[\p{L}\p{N}\s]+").alias("marks"),
+            kept(r"[^.,;:'\"()-]+").alias("plain"),
+            distinct(F.split(F.lower(t), SPACE)).alias("distinct_words"),
+            distinct(F.split(t, "\n")).alias("distinct_lines"),
+        )
+
+    return let(counts(F.coalesce(text, F.lit(""))), ratios)
 
 
 @dataclass(frozen=True)
@@ -187,17 +208,17 @@ def fit(
         .orderBy(F.xxhash64("_id", F.lit(seed)), "_id")
         .limit(sample)
     )
-    stats = statistics(F.col(text_col))
     rows = (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col))
         .join(checked_broadcast(ids, sample, SAMPLE), "_id")
-        .select("_label", *[c.alias(f"_{k}") for k, c in stats.items()])
-        .orderBy(F.xxhash64("_id", F.lit(seed)), "_id", *[f"_{k}" for k in stats])
+        .select("_id", "_label", statistics(F.col(text_col)).alias("_statistics"))
+        .orderBy(F.xxhash64("_id", F.lit(seed)), "_id", "_statistics")
         .limit(sample)
+        .select("_label", "_statistics.*")
         .collect()
     )
-    data = np.array([tuple(r) for r in rows], dtype=float).reshape(-1, len(stats) + 1)
-    return train({k: data[:, i + 1] for i, k in enumerate(stats)}, data[:, 0])
+    data = np.array([tuple(r) for r in rows], dtype=float).reshape(-1, len(STATISTICS) + 1)
+    return train({k: data[:, i + 1] for i, k in enumerate(STATISTICS)}, data[:, 0])
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -205,13 +226,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", out: str = "
 
     Null and empty texts are scored by the statistics of an empty text.
     """
-    (stats,) = fresh(docs, "statistics")
-    values = statistics(F.col(text_col))
-    return (
-        docs.withColumn(stats, F.struct(*[c.alias(k) for k, c in values.items()]))
-        .withColumn(out, model.score(F.col(stats)))
-        .drop(stats)
-    )
+    return docs.withColumn(out, let(statistics(F.col(text_col)), model.score))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id") -> DataFrame:

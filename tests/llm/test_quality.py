@@ -65,7 +65,7 @@ def test_odd_rows(spark, make, odd_rows):
 def test_statistics_of_a_text(spark):
     text = "Ab cd!!\nAb cd!!\nx1 $$"
     df = spark.createDataFrame([(text,), (None,)], "t string")
-    stats = df.select(*[c.alias(k) for k, c in quality.statistics(df.t).items()]).collect()
+    stats = df.select(quality.statistics(df.t).alias("s")).select("s.*").collect()
     assert stats[0]["words"] == 6 and stats[0]["upper"] == 2 / len(text)
     assert stats[0]["distinct_lines"] == 2 / 3 and stats[0]["distinct_words"] == 4 / 6
     assert stats[1]["words"] == 0 and stats[1]["mean_word"] == 0
@@ -75,7 +75,7 @@ def test_compiled_rules_agree_with_the_model(spark):
     rng = random.Random(3)
     rows = [(k, "w " * rng.randint(0, 40) + "! " * rng.randint(0, 40)) for k in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    stats = docs.select("doc_id", *[c.alias(k) for k, c in quality.statistics(docs.text).items()])
+    stats = docs.select("doc_id", quality.statistics(docs.text).alias("s")).select("doc_id", "s.*")
     data = stats.toPandas().set_index("doc_id").sort_index()
     x = {c: data[c].to_numpy(dtype=float) for c in data.columns}
     model = quality.train(x, (data["sentence_marks"] > 0.2).to_numpy(dtype=float) * 0 + (x["symbols"] < 0.2))
