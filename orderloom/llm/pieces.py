@@ -221,6 +221,21 @@ class Encoder:
         self.flat: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
 
+    def _keep(self, units: list[str]) -> None:
+        """Forget all units but these."""
+        if not self.flat or not units:
+            self._forget()
+            return
+        flat, sizes = np.concatenate(self.flat), np.concatenate(self.sizes)
+        codes = np.array([self.place[u] for u in units], dtype=np.int64)
+        count = sizes[codes]
+        ends = np.cumsum(count)
+        offset = np.arange(int(ends[-1])) - np.repeat(ends - count, count)
+        begins = np.cumsum(sizes) - sizes
+        self.flat = [flat[np.repeat(begins[codes], count) + offset]]
+        self.sizes = [count]
+        self.place = {u: k for k, u in enumerate(units)}
+
     def _may_follow(self, key: int) -> bool:
         known = self.follows.get(key)
         if known is None:
@@ -345,7 +360,7 @@ class Encoder:
         parts = [find(SPACE_MARK + t.replace(" ", SPACE_MARK)) if t else [] for t in texts]
         wanted = set().union(*parts)
         if len(self.place) + len(wanted) > KEPT:
-            self._forget()
+            self._keep([u for u in wanted if u in self.place])
         new, size = [], 0
         for unit in sorted(wanted - self.place.keys()):
             new.append(unit)
