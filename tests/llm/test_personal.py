@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from orderloom.llm import personal
 
 BASE = {
@@ -152,3 +154,30 @@ def test_no_python_in_the_plan(make, odd_rows):
     for df in (personal.scan(make(odd_rows)), personal.mask(make(odd_rows))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_no_hint_hides_a_match_of_its_pattern(make):
+    rng = random.Random(3)
+    parts = [
+        "a.b@c.de", "q+r@s-t.u", "1.2.3.4", "+1 (743) 555-3824", "+49-30-123456", "4111 1111 1111 1111", "0" * 14,
+        "555-382-4444", "(555) 382-4444", "555 382 4444", "078-05-1120", "x (at) y (dot) com", "x[at]y[dot]com",
+        "x [AT] y.org", "x (AT] y [DOT) com", "é", "(", "[", "mail", "\n",
+    ]
+    texts = [*parts, *(" ".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(200))]
+    df = make([(k, t, "en", "a") for k, t in enumerate(texts)])
+    for name, (_, pattern, _) in personal.GENERATORS.items():
+        every = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+        found = F.coalesce(F.size(personal._proposed(F.col("text"), name)["match"]), F.lit(0))
+        rows = df.select(F.size(every).alias("every"), found.alias("found")).collect()
+        assert sum(r.every for r in rows) > 10 and all(r.every == r.found for r in rows), name
+
+
+def test_spelt_addresses_in_any_brackets(make):
+    ways = [("[at]", "[dot]"), ("(at)", "(dot)"), ("[AT]", "."), ("[at]", "(DOT)")]
+    texts = [f"contact u{k}@v.com today" for k in range(300)]
+    texts += [f"contact jane.doe {at} example {dot} com today" for at, dot in ways * 20]
+    df = make([(k, t, "en", "a") for k, t in enumerate(texts)])
+    spans = {r.doc_id: r.spans for r in personal.scan(df).collect()}
+    ends = [len(t) - len(" today") for t in texts]
+    assert [spans[k] for k in range(len(texts))] == [f"email:8:{e}" for e in ends]
+    assert {r.text for r in personal.mask(df).collect()} == {"contact [EMAIL] today"}
