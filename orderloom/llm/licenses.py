@@ -12,8 +12,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import let
-
 # Sentences of public license texts and notices, as published.
 SENTENCES = {
     "mit-short": ["Released under the MIT License.", "Licensed under the MIT License.",
@@ -80,6 +78,10 @@ LEADER = r"(?m)^[ \t]*(?://+|#+|\*+|--+|;+)[ \t]*"
 WRAP = r"([^.!?\n])[ \t]*\r?\n[ \t]*([a-z]|[A-Z][A-Z])"
 END = r"([.!?]\"?)[ \t\r\n]+"
 OTHER = r"[^a-z0-9]+"
+# Java only: blank lines, and what is no word, line break or blank between two words.
+BLANK = r"\n[ \t\r]*\n[ \t\r\n]*"
+NO_WORD = r"[^a-z0-9\n]+"
+NOTICE = r"copyright(?: |\n(?:c[ \n]|[0-9]))[^\n]*+"
 BETWEEN = "((?:<[a-z0-9-]+>){0,2}?)"
 NAME = "=([A-Za-z0-9.-]+)="
 
@@ -105,24 +107,31 @@ def rewrites() -> list[tuple[str, str, int]]:
     ]
 
 
+def known_pattern() -> str:
+    """Whole known sentences, broken between any words, and copyright notices; longer ones first."""
+    known = sorted(known_sentences(), key=len, reverse=True)
+    either = "|".join([NOTICE, *(k.replace(" ", r"[ \n]") for k in known)])
+    return rf"(?<![^\n])(?:{either})(?![^\n])"
+
+
 def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     table = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
     cut = F.regexp_replace(text, LEADER, "")
+    # Sentences and paragraphs end in two line breaks; where a line ends in one, a sentence may end.
+    cut = F.regexp_replace(cut, BLANK, "\n\n")
     cut = F.regexp_replace(cut, WRAP, "$1 $2")
-    cut = F.regexp_replace(cut, END, "$1\n")
+    cut = F.regexp_replace(cut, END, "$1\n\n")
+    plain = F.regexp_replace(F.regexp_replace(F.lower(cut), NO_WORD, " "), " ?\n ?", "\n")
     named = F.transform(
-        F.split(F.lower(cut), "\n", -1),
-        lambda s: let(
-            F.trim(F.regexp_replace(s, OTHER, " ")),
-            lambda plain: F.when(plain.startswith("copyright "), F.lit(COPYRIGHT)).otherwise(
-                F.try_element_at(table, plain)
-            ),
+        F.regexp_extract_all(F.trim(plain), F.lit(known_pattern()), F.lit(0)),
+        lambda s: F.when(s.startswith("copyright"), F.lit(COPYRIGHT)).otherwise(
+            F.try_element_at(table, F.translate(s, "\n", " "))
         ),
     )
-    return F.when(
-        F.coalesce(text, F.lit("")).rlike(HINT), F.filter(named, lambda x: x.isNotNull())
-    ).otherwise(F.array().cast("array<string>"))
+    return F.when(F.coalesce(text, F.lit("")).rlike(HINT), named).otherwise(
+        F.array().cast("array<string>")
+    )
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,9 +139,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     ``n_sentences`` counts the known sentences of the whole text; ``sentence_ids`` names them and
     ``licenses`` the licenses by the rules, in order of their place, repeated where they repeat,
-    joined by commas. Sentences end at a stop or line break; a line that goes on in lower case
-    or capitals belongs to the one before, and comment signs at the start of lines do not count. Null and empty
-    texts have none. Rows are independent: null ids and repeated rows come back as they are, an
+    joined by commas. Sentences end at a stop or blank line, or at a line break unless the next
+    line goes on in lower case or capitals or the known sentence goes on there: it is found however
+    its lines are broken, the longest first. Comment signs at the start of lines do not count. Null
+    and empty texts have none. Rows are independent: null ids and repeated rows come back as they are, an
     empty table gives no rows, other columns are ignored.
     """
     found, licenses = "_ids", F.col("_marked")
@@ -155,7 +165,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def oracle() -> str:
-    """The same scan as SQL over ``documents``."""
+    """The scan as SQL over ``documents``, for sentences whose lines go on in lower case or capitals."""
 
     def quoted(value: str) -> str:
         return "'" + value.replace("'", "''") + "'"

@@ -91,3 +91,55 @@ def test_odd_rows_agree_with_sql(spark, make, odd_rows):
     con.executemany("insert into documents values (?, ?)", [r[:2] for r in rows])
     assert got == sorted(con.sql(licenses.oracle()).fetchall(), key=str)
     assert licenses.scan(make([])).collect() == []
+
+
+GPL2 = """/* This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+"""
+GPL3 = GPL2.replace("software;", "software:").replace("Foundation; either version 2", "Foundation, either version 3")
+
+
+def test_published_headers_and_breaks_before_any_sign(make):
+    got = scan(
+        make,
+        [
+            GPL2, GPL3, MIT.replace('files (the "Software"), to deal\nin', 'files (the\n"Software"), to deal in'),
+            "Licensed under the Apache\nLicense, Version 2.0.", "Copyright\n(c) 2020 Some One\n\nProse",
+            'Licensed under the Apache License, Version 2.0\n(the "License"); you may not use this file except in compliance with the License.',
+            "Licensed under the\n\nMIT License.", "Licensed under the\n#\n# MIT License.", "It is not\nlicensed under the MIT License.",
+            "Licensed under the MIT License\n(All rights reserved)\nProse", "Licensed under the \n \nMIT License.",
+        ],
+    )
+    assert got[0][1:] == ("gpl2-grant,gpl-asis", "GPL-2.0-or-later")
+    assert got[1][1:] == ("gpl3-grant,gpl-asis", "GPL-3.0-or-later")
+    assert got[2] == (4, "copyright,mit-grant,mit-notice,mit-asis", "MIT")
+    assert got[3] == (1, "apache-short", "Apache-2.0")
+    assert got[4] == (1, "copyright", "")
+    assert got[5] == (1, "apache-grant", "Apache-2.0")
+    assert got[6:9] == [(0, "", "")] * 3
+    assert got[9] == (2, "mit-short,reserved", "MIT,Proprietary")
+    assert got[10] == (0, "", "")
+
+
+def broken_sentences():
+    """Known sentences broken at each word in turn and at all words, and their identifiers."""
+    for identifier, variants in licenses.SENTENCES.items():
+        for words in (v.split(" ") for v in variants):
+            for k in range(1, len(words)):
+                yield " ".join(words[:k]) + "\n" + " ".join(words[k:]), identifier
+            for gap in ("\n", "\r\n", " \n  ", "\n# ", "\n// "):
+                yield gap.join(words), identifier
+
+
+def test_sentences_broken_at_any_word(make):
+    broken = list(broken_sentences())
+    got = scan(make, [f"On licences.\n\n{text}\nMore prose" for text, _ in broken])
+    assert [(*g[:2], t) for g, (t, _) in zip(got, broken, strict=True)] == [(1, i, t) for t, i in broken]
