@@ -71,7 +71,9 @@ RULES = [
 ]
 
 COPYRIGHT = "copyright"
-# Every known sentence has one of these; texts without any are not cut at all.
+# Known sentences and notices have one of these words; texts without any are not cut at all.
+WORDS = r"(?i)licen[sc]|copyright|reserved|permission|warrant|redistribution|domain"
+# The SQL's own choice of texts, which misses phrases broken between words.
 HINT = r"(?i)licen[sc]|copyright|rights reserved|permission|warrant|redistribution|public domain"
 # Patterns that Java and RE2 read alike.
 LEADER = r"(?m)^[ \t]*(?://+|#+|\*+|--+|;+)[ \t]*"
@@ -129,7 +131,7 @@ def identifiers(text: Column) -> Column:
             F.try_element_at(table, F.translate(s, "\n", " "))
         ),
     )
-    return F.when(F.coalesce(text, F.lit("")).rlike(HINT), named).otherwise(
+    return F.when(F.coalesce(text, F.lit("")).rlike(WORDS), named).otherwise(
         F.array().cast("array<string>")
     )
 

@@ -143,3 +143,10 @@ def test_sentences_broken_at_any_word(make):
     broken = list(broken_sentences())
     got = scan(make, [f"On licences.\n\n{text}\nMore prose" for text, _ in broken])
     assert [(*g[:2], t) for g, (t, _) in zip(got, broken, strict=True)] == [(1, i, t) for t, i in broken]
+
+
+def test_broken_sentences_without_another_hint(make):
+    assert all(re.search(licenses.WORDS, key) for key in licenses.known_sentences())
+    broken = [*broken_sentences(), ("All rights  reserved.", "reserved"), ("All\trights\treserved", "reserved")]
+    got = scan(make, [f"Prose.\n\n{text}\nMore prose" for text, _ in broken])
+    assert [(*g[:2], t) for g, (t, _) in zip(got, broken, strict=True)] == [(1, i, t) for t, i in broken]
