@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
@@ -14,7 +15,7 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.common import SPACE, fresh, let, saved
 
-# The knapsack's table covers a remaining budget of at most so many words.
+# The knapsack's table covers a remaining budget of so many words at first, and more if that leaves a gap.
 TABLE_WORDS = 1 << 15
 # Documents of one source and length are ranked in so many parts, so no length is one task's work.
 SALTS = 64
@@ -62,10 +63,10 @@ def targets(
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length, at most ``counts``, add up closest below ``budget``.
 
-    First every length gives its proportional share, then the longest lengths fill up until the
-    remaining budget fits the table; a bounded knapsack settles that rest: ``via`` keeps the length
-    that first reached each sum, from longer to shorter lengths, so a walk back never repeats one
-    more often than it is there.
+    First every length gives its proportional share, which stays; no choice of the other documents
+    comes closer. To find one, the longest lengths fill up until the remaining budget fits the
+    table and a bounded knapsack settles that rest. Where this leaves a gap, the table grows until
+    there is none or the knapsack covers all that the shares left.
     """
     lengths = lengths.astype(object)
     counts = counts.astype(object)
@@ -74,39 +75,60 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     if total == 0 or budget <= 0:
         return np.zeros(len(lengths), dtype=np.int64)
     taken = counts * budget // total
-    rest = budget - int((lengths * taken).sum())
+    rest, left = budget - int((lengths * taken).sum()), counts - taken
     order = np.argsort(-lengths.astype(np.int64), kind="stable")
+    order = [int(i) for i in order if left[i] and 0 < lengths[i] <= rest]
+    # Sums are multiples of the lengths' common divisor, so tables count in it.
+    unit = math.gcd(*(int(lengths[i]) for i in order)) or 1
+    steps, room, table = [int(x) // unit for x in lengths], rest // unit, TABLE_WORDS
+    while order and room:
+        more, gap = _fill(steps, left, room, order, table)
+        if not gap or table >= room:
+            return (taken + more).astype(np.int64)
+        table *= 4
+    return taken.astype(np.int64)
+
+
+def _fill(
+    steps: list[int], left: np.ndarray, rest: int, order: list[int], table: int
+) -> tuple[np.ndarray, int]:
+    """How many of each length, at most ``left``, fill ``rest``, and what they leave of it.
+
+    Exact for a rest within the table. ``via`` keeps the length that first reached each sum, from
+    longer to shorter lengths, so a walk back never repeats one more often than it is there.
+    """
+    taken = np.zeros(len(steps), dtype=object)
     for i in order:
-        if rest <= TABLE_WORDS:
+        if rest <= table:
             break
-        more = min(counts[i] - taken[i], rest // lengths[i] if lengths[i] else 0)
-        taken[i] += more
-        rest -= more * int(lengths[i])
-    if 0 < rest <= TABLE_WORDS:
-        via = np.full(rest + 1, -1, dtype=np.int64)
-        reached = np.zeros(rest + 1, dtype=bool)
-        reached[0] = True
-        for i in order:
-            step, left = int(lengths[i]), int(counts[i] - taken[i])
-            if not 0 < step <= rest or not left:
-                continue
-            last = reached
-            for _ in range(min(left, rest // step)):
-                new = np.zeros_like(reached)
-                new[step:] = last[:-step]
-                new &= ~reached
-                if not new.any():
-                    break
-                via[new] = i
-                reached = reached | new
-                last = new
-            if reached[rest]:
+        taken[i] = min(left[i], rest // steps[i])
+        rest -= taken[i] * steps[i]
+    if not 0 < rest <= table:
+        return taken, rest
+    via = np.full(rest + 1, -1, dtype=np.int32)
+    reached = np.zeros(rest + 1, dtype=bool)
+    reached[0] = True
+    for i in order:
+        step, more = steps[i], int(left[i] - taken[i])
+        if step > rest or not more:
+            continue
+        last = reached
+        for _ in range(min(more, rest // step)):
+            new = np.zeros_like(reached)
+            new[step:] = last[:-step]
+            new &= ~reached
+            if not new.any():
                 break
-        at = int(np.flatnonzero(reached)[-1])
-        while at:
-            taken[via[at]] += 1
-            at -= int(lengths[via[at]])
-    return taken.astype(np.int64)
+            via[new] = i
+            reached |= new
+            last = new
+        if reached[rest]:
+            break
+    at = best = int(np.flatnonzero(reached)[-1])
+    while at:
+        taken[via[at]] += 1
+        at -= steps[via[at]]
+    return taken, rest - best
 
 
 def mix(

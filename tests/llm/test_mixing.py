@@ -42,6 +42,27 @@ def test_fit_of_a_large_budget():
         assert int((lengths * taken).sum()) == min(budget, total)
 
 
+def test_fit_goes_back_on_long_documents():
+    def filled(lengths, counts, budget):
+        taken = mixing.fit(np.array(lengths), np.array(counts), budget)
+        assert (taken >= 0).all() and (taken <= counts).all()
+        return int((np.array(lengths) * taken).sum())
+
+    assert filled([50_000, 41_000, 39_000], [1, 1, 1], 80_000) == 80_000
+    assert filled([50_000, 41_000, 39_000], [1, 1, 1], 79_999) == 50_000
+    assert filled([700_000, 410_000, 390_000], [1, 1, 1], 809_999) == 800_000
+    assert filled([10**9, 6 * 10**8, 4 * 10**8 + 10**3], [1, 1, 1], 10**9 + 10**4) == 10**9 + 10**3
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(20_000, 200_000), st.integers(1, 3)), min_size=1, max_size=6),
+    st.integers(0, 1_500_000),
+)
+def test_fit_above_the_table_is_the_best_below_the_budget(groups, budget):
+    test_fit_is_the_best_below_the_budget.hypothesis.inner_test(groups, budget)
+
+
 def test_targets_stop_at_three_times_the_size():
     sizes = [("b", 10), ("a", 1000), (None, 5)]
     goals = mixing.targets(sizes, (1, 2, 3), 3)
