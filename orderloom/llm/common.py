@@ -6,7 +6,7 @@ import math
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.session import scratch_dir
@@ -14,6 +14,8 @@ from orderloom.session import scratch_dir
 # Words of the contracts: maximal runs without ASCII white space (Java and Python syntax alike).
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+# A key's rows are ranked in so many parts first.
+PARTS = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,3 +125,18 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
             name = f"_{stem}_{uuid.uuid4().hex[:8]}"
         out.append(name)
     return out
+
+
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int, spread: Column) -> DataFrame:
+    """The first ``limit`` rows of every key with their ``rank``.
+
+    Keys are first dealt into parts by ``spread``, so a key with many rows is not one task's work.
+    """
+    (part,) = fresh(df, "part")
+
+    def first(rows: DataFrame, by: list[str], out: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn(out, place).where(F.col(out) <= limit)
+
+    parts = first(df.withColumn(part, F.pmod(F.xxhash64(spread), F.lit(PARTS))), [*keys, part], "rank")
+    return first(parts.drop("rank"), keys, "rank").drop(part)

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import fingerprints, jaccard, language, licenses, lm, mixing, neighbours, personal, pieces, quality
+from orderloom.llm import (
+    fingerprints,
+    jaccard,
+    language,
+    licenses,
+    lm,
+    mixing,
+    nearest,
+    neighbours,
+    personal,
+    pieces,
+    quality,
+    ranked,
+    spelling,
+)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +85,27 @@ LLM_ORACLE["op4_license_scans"] = licenses.oracle()
 @query
 def op8_personal_data(spark, sf_dir):
     return personal.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op11_spelling_variants"] = spelling.oracle()
+
+
+@query
+def op12_exact_top_k(spark, sf_dir):
+    return nearest.top_k(table(spark, sf_dir, "embeddings"))
+
+
+LLM_ORACLE["op12_exact_top_k"] = nearest.ORACLE
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+LLM_ORACLE["op13_ranked_search"] = ranked.ORACLE
