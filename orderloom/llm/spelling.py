@@ -9,7 +9,8 @@ belongs to the prefix of s: pivots are looked up in prefixes, not bigrams in big
 
 Position limits: the edit lies on one side of the surviving pivot. What is on the other side is the
 same in both words, so the pivot's distance from the word's start, or from its end, is the same too.
-The text from there to the pivot is the join key, which leaves few candidates for the exact check.
+On the side of the edit the first or the last code point stays, unless little is left there. The
+same text and that code point are the join key, which leaves few candidates for the exact check.
 """
 
 from __future__ import annotations
@@ -99,8 +100,20 @@ def pivots(grams: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return history[-1][PIVOTS][1]
 
 
+def side_keys(same: str, edited: str) -> list[tuple[str, str]]:
+    """Keys of a word by the text that stays, and a code point of the other side that may stay.
+
+    Two sides of at least two code points agree in the first or in the last one after an edit; where
+    one is shorter, both have at most two.
+    """
+    out = [(same, "")] if len(edited) <= 2 else []
+    if len(edited) >= 2:
+        out += [(same, "<" + edited[0]), (same, ">" + edited[-1])]
+    return out
+
+
 def _keys(ranks: dict[str, int]):
-    """Rows of a word: its pivots and its prefix, each with the text before and after them."""
+    """Rows of a word: its prefix, pivots marked, each by the text before and after it."""
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -110,32 +123,38 @@ def _keys(ranks: dict[str, int]):
                 last = max(rank for _, rank in grams)
                 chosen = set(pivots(grams))
                 for gram in grams:
-                    head, tail = word[: gram[0] + GRAM], word[gram[0] :]
-                    out += [(head, True, gram in chosen, last, word, n), (tail, False, gram in chosen, last, word, n)]
-            yield pd.DataFrame(out, columns=["key", "head", "pivot", "last", "word", "n"])
+                    start, end = gram[0], gram[0] + GRAM
+                    for head, found in (
+                        (True, side_keys(word[:end], word[end:])),
+                        (False, side_keys(word[start:], word[:start])),
+                    ):
+                        out += [(same, point, head, gram in chosen, last, word, n) for same, point in found]
+            yield pd.DataFrame(out, columns=["same", "point", "head", "pivot", "last", "word", "n"])
 
     return keys
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """Pairs of words (``a < b``) that one edit apart, with their counts."""
+    """Pairs of words (``a < b``) that are one edit apart, with their counts."""
     rows = saved(
         words.mapInPandas(
             _keys(gram_ranks(words)),
-            "key string, head boolean, pivot boolean, last int, word string, n long",
+            "same string, point string, head boolean, pivot boolean, last int, word string, n long",
         ),
         "grams",
     )
-    pivot = rows.where("pivot").select(
-        "key", "head", F.col("last").alias("last_a"), F.col("word").alias("a"), F.col("n").alias("n_a")
-    )
-    prefix = rows.select("key", "head", F.col("last").alias("last_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
+    key = ["same", "point", "head"]
+
+    def side(df: DataFrame, end: str) -> DataFrame:
+        return df.select(*key, *[F.col(c).alias(f"{c}_{end}") for c in ("last", "word", "n")])
+
     found = (
-        pivot.join(prefix, ["key", "head"])
+        side(rows.where("pivot"), "a").join(side(rows, "b"), key)
+        .withColumnsRenamed({"word_a": "a", "word_b": "b"})
         .where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")))
         .where(F.abs(F.length("a") - F.length("b")) <= 1)
         .where(F.levenshtein("a", "b", 1) == 1)
-    )
+    )
     first = F.col("a") < F.col("b")
 
     def end(yes: str, no: str) -> Column:
