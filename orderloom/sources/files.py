@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -57,3 +60,83 @@ def first_line(spark: SparkSession, path: str) -> str:
         return io.BufferedReader(io.InputStreamReader(plain, "UTF-8")).readLine() or ""
     finally:
         stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing what is there."""
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        raise FileNotFoundError(path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds of the store's clock."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        raise FileNotFoundError(path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file; False if it is gone. Of several callers only one succeeds."""
+    hadoop_path, fs = _file_system(spark, source)
+    try:
+        return fs.exists(hadoop_path) and fs.rename(hadoop_path, _file_system(spark, target)[0])
+    except Py4JJavaError as error:
+        if _java_class(error) == "FileNotFoundException":
+            return False
+        raise
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its content in one step; False if there is one already.
+
+    The content is written under another name first. On a local disk it is then linked, elsewhere
+    renamed without overwriting; both fail if the name is taken. A store needs an atomic rename for
+    this (HDFS and its like).
+    """
+    waiting = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp"
+    write_text(spark, waiting, text)
+    jvm = spark._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (waiting, path))
+    conf = spark._jsc.hadoopConfiguration()
+    scheme = source.getFileSystem(conf).getUri().getScheme()
+    try:
+        if scheme == "file":
+            places = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), _strings(spark)) for p in (target, source)]
+            jvm.java.nio.file.Files.createLink(*places)
+        else:
+            hadoop = jvm.org.apache.hadoop.fs
+            no_overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+            context = hadoop.FileContext.getFileContext(source.getFileSystem(conf).getUri(), conf)
+            context.rename(source, target, no_overwrite)
+    except Py4JJavaError as error:
+        if _java_class(error) == "FileAlreadyExistsException":
+            return False
+        raise
+    finally:
+        delete_folder(spark, waiting)
+    return True
+
+
+def _strings(spark: SparkSession):
+    return spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 0)
+
+
+def _java_class(error: Py4JJavaError) -> str:
+    return error.java_exception.getClass().getSimpleName()

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.schemas import SILVER, in_table_order, silver_ddl
-from orderloom.sources.files import child_names, delete_folder
+from orderloom.sources.files import data_files, delete_folder
+from orderloom.sources.versions import Version, VersionLog
+
+SETTLE_ATTEMPTS = 20
+# What Spark says when an entry of the catalog has changed under it.
+CATALOG_RACES = ("TABLE_OR_VIEW_NOT_FOUND", "TABLE_OR_VIEW_ALREADY_EXISTS", "NoSuchTable", "TableAlreadyExists")
 
 
 def write_parquet(df: DataFrame, path: str, output_files: int | None = None) -> None:
@@ -41,77 +45,165 @@ def truncate(spark: SparkSession, schema: str, table: str) -> None:
 
 
 def load(
-    spark: SparkSession, path: str, schema: str, table: str, append: bool = False
+    spark: SparkSession, path: str, schema: str, table: str, append: bool = False,
+    load_id: str | None = None,
 ) -> None:
     """Load a silver Parquet folder into its table."""
-    load_rows(spark.read.parquet(path), schema, table, append)
+    load_rows(spark.read.parquet(path), schema, table, append, load_id)
 
 
-def load_rows(rows: DataFrame, schema: str, table: str, append: bool = False) -> None:
+def load_rows(
+    rows: DataFrame, schema: str, table: str, append: bool = False, load_id: str | None = None
+) -> None:
     """Load rows into a silver table.
 
     Columns are matched by name. The default replaces the table's content: the new rows are written
-    to a folder of their own, and when all are there the table is pointed to it. That moves no data,
-    and a load that fails changes nothing. The folder before stays until the next load, so that
-    readers that began before the switch can finish. Only folders that a load made are deleted, and
-    rows that are read from the table's own folder may be loaded into it.
-    """
+    to a folder of their own, which becomes the table's next version when all are there. That moves
+    no data, and a load that fails or dies changes nothing. The version before stays, so that readers
+    that began before the switch can finish. Loads may run at once: the one that ends last wins, and
+    none takes another's files. Rows that are read from the table's own folder may be loaded into it.
+
+    With ``append`` the rows are added to the current version, all of them or none. An append with a
+    ``load_id`` that was loaded before adds nothing. A replacement that ends while an append is under
+    way replaces the appended rows too.
+    """
     rows = in_table_order(rows, table)
-    target = f"{schema}.{table}"
-    if append:
-        rows.write.insertInto(target)
+    spark, target = rows.sparkSession, f"{schema}.{table}"
+    settle(spark, schema, table)
+    log = _log(spark, schema, table)
+    current = table_location(spark, target)
+    folder = f"{log.parent}/{table}-{uuid.uuid4().hex}"
+    loading = f"{schema}.{table}_loading_{uuid.uuid4().hex}"
+    lease = log.lease(folder)
+    # The table's folder is leased too while files are added to it.
+    held = log.lease(current, own=False) if append else None
+    try:
+        spark.sql(f"CREATE TABLE {loading} LIKE {target} USING parquet LOCATION '{folder}'")
+        rows.write.insertInto(loading)
+    except Exception:
+        log.abort(lease, folder)
+        if held:
+            log.release(held)
+        raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {loading}")
+    if not held:
+        _switch(spark, schema, table, log, lease, folder, current, _ddl(spark.table(target)))
         return
-    _replace(rows.sparkSession, schema, table, lambda name: rows.write.insertInto(name))
+    names = [file.rsplit("/", 1)[1] for file in data_files(spark, folder)]
+    if not log.record_append(load_id or uuid.uuid4().hex, folder, current, names):
+        delete_folder(spark, folder)
+    log.finish_appends()
+    log.release(held)
+    log.release(lease)
+    spark.catalog.refreshTable(target)
 
 
-def _replace(spark: SparkSession, schema: str, table: str, write) -> None:
-    """Fill a new folder through a table of its own name, then point the table to it.
+def save_table(df: DataFrame, schema: str, table: str) -> None:
+    """Rebuild a table in full, whatever its columns were; it comes into being at the first build.
 
-    Folders of earlier loads go, but for the one that the table pointed to until now.
+    Rows go to a folder of their own that becomes the table's next version: a build that fails or
+    dies leaves the table as it was, and builds may run at once, as in ``load_rows``. The files are
+    never the catalog's to delete.
     """
+    spark = df.sparkSession
+    settle(spark, schema, table)
+    log = _log(spark, schema, table)
     target = f"{schema}.{table}"
-    old = table_location(spark, target)
-    parent = old.rsplit("/", 1)[0]
-    tag = uuid.uuid4().hex
-    new, loading = f"{parent}/{table}-{tag}", f"{schema}.{table}_loading_{tag}"
-    spark.sql(f"CREATE TABLE {loading} LIKE {target} USING parquet LOCATION '{new}'")
+    current = table_location(spark, target) if spark.catalog.tableExists(target) else None
+    folder = f"{log.parent}/{table}-{uuid.uuid4().hex}"
+    lease = log.lease(folder)
     try:
-        write(loading)
-        spark.sql(f"ALTER TABLE {target} SET LOCATION '{new}'")
+        df.write.parquet(folder)
     except Exception:
-        delete_folder(spark, new)
+        log.abort(lease, folder)
         raise
-    finally:
-        spark.sql(f"DROP TABLE {loading}")
-    made = re.compile(rf"{re.escape(table)}-[0-9a-f]{{32}}")
-    keep = {new.rsplit("/", 1)[1], old.rsplit("/", 1)[1]}
-    for child in child_names(spark, parent):
-        if made.fullmatch(child) and child not in keep:
-            delete_folder(spark, f"{parent}/{child}")
+    _switch(spark, schema, table, log, lease, folder, current, _ddl(df))
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+def _switch(
+    spark: SparkSession, schema: str, table: str, log: VersionLog, lease: str, folder: str,
+    current: str | None, columns: str,
+) -> None:
+    if current and log.latest() is None:
+        log.publish(current, columns)
+    log.commit(lease, folder, columns)
+    try:
+        settle(spark, schema, table)
+        log.clean()
+    except Exception as error:
+        # The version stands; the next load, build or call of settle brings the table forward.
+        raise TableBehind(f"{schema}.{table} does not show its newest version yet") from error
 
 
-def save_table(df: DataFrame, schema: str, table: str) -> None:
-    """Rebuild a table in full; a build that fails leaves the table as it was.
+class TableBehind(Exception):
+    """A version was committed, but the catalog could not be pointed to it."""
+
 
-    Rows go to a new folder first, then the table is pointed to it, or made anew where columns
-    changed.
+def settle(spark: SparkSession, schema: str, table: str) -> None:
+    """Make the catalog show the table's newest version, and finish appends of loads that died.
+
+    Checked again after every change: of several loads that end together, the last to look sees the
+    newest version. A table without versions is left alone.
     """
-    spark = df.sparkSession
-    target = f"{schema}.{table}"
+    log, target = _log(spark, schema, table), f"{schema}.{table}"
+    log.finish_appends()
+    for _ in range(SETTLE_ATTEMPTS):
+        version = log.latest()
+        if version is None or _shows(spark, target, version):
+            return
+        try:
+            _show(spark, schema, table, log, version)
+        except Exception as error:
+            # Another load may be changing the entry at this moment.
+            if not any(mark in str(error) for mark in CATALOG_RACES):
+                raise
+    if not _shows(spark, target, log.latest()):
+        raise RuntimeError(f"{target} could not be pointed to its newest version")
+
+
+def _shows(spark: SparkSession, target: str, version: Version) -> bool:
     if not spark.catalog.tableExists(target):
-        df.write.format("parquet").saveAsTable(target)
-        return
-    if [(f.name, f.dataType) for f in spark.table(target).schema] == [
-        (f.name, f.dataType) for f in df.schema
-    ]:
-        _replace(spark, schema, table, lambda name: df.write.insertInto(name))
+        return False
+    return (table_location(spark, target), _ddl(spark.table(target))) == (version.folder, version.columns)
+
+
+def _show(spark: SparkSession, schema: str, table: str, log: VersionLog, version: Version) -> None:
+    target = f"{schema}.{table}"
+    exists = spark.catalog.tableExists(target)
+    if exists and _ddl(spark.table(target)) == version.columns:
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{version.folder}'")
         return
-    folder = f"{table_location(spark, target).rsplit('/', 1)[0]}/{table}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    spark.sql(f"DROP TABLE {target}")
-    spark.catalog.createTable(target, path=folder, source="parquet")
+    # Other columns: an entry of its own is made first, so that only names change hands at the end.
+    staged = f"{schema}.{table}_next_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {staged} ({version.columns}) USING parquet LOCATION '{version.folder}'")
+    try:
+        if exists:
+            # Dropping a managed table would delete its files, which readers may have open.
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{log.root}/none'")
+            spark.sql(f"DROP TABLE {target}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+
+
+def _log(spark: SparkSession, schema: str, table: str) -> VersionLog:
+    """Versions and their folders lie in the schema's folder."""
+    return VersionLog(spark, _home(spark, schema), table)
+
+
+def _home(spark: SparkSession, schema: str) -> str:
+    described = spark.sql(f"DESCRIBE DATABASE {schema}")
+    return described.where("info_name = 'Location'").first()["info_value"].rstrip("/")
+
+
+def _ddl(df: DataFrame) -> str:
+    names = [f.name.replace("`", "``") for f in df.schema]
+    kinds = [f.dataType.simpleString() for f in df.schema]
+    return ", ".join(f"`{name}` {kind}" for name, kind in zip(names, kinds, strict=True))
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
