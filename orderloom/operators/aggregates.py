@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.measures import money_avg, money_sum
+from orderloom.functions.measures import money_avg, money_sum, split_amounts
 
 # The attributes that an order or product is grouped by.
 ORDER_ATTRIBUTES = [
@@ -39,6 +39,7 @@ def items_per_order(details: DataFrame, money_scale: int | None = None) -> DataF
 
     An order whose attributes differ between its items gives one row per variant.
     """
+    details = split_amounts(details, ["price", "freight_value", "total_item_value"], money_scale)
     return details.groupBy(*ORDER_ATTRIBUTES).agg(
         F.count("*").alias("item_count"),
         money_sum("price", money_scale).alias("total_price"),
@@ -48,6 +49,7 @@ def items_per_order(details: DataFrame, money_scale: int | None = None) -> DataF
 
 
 def payments_per_order(payments: DataFrame, money_scale: int | None = None) -> DataFrame:
+    payments = split_amounts(payments, ["payment_value"], money_scale)
     return payments.groupBy("order_id").agg(
         F.count("*").alias("payment_count"),
         money_sum("payment_value", money_scale).alias("total_payment_value"),
@@ -59,6 +61,7 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
 
 
 def customer_metrics(details: DataFrame, money_scale: int | None = None) -> DataFrame:
+    details = split_amounts(details, ["total_item_value"], money_scale)
     return details.groupBy("customer_unique_id").agg(
         F.countDistinct("order_id").alias("total_orders"),
         money_sum("total_item_value", money_scale).alias("lifetime_value"),
@@ -69,7 +72,7 @@ def customer_metrics(details: DataFrame, money_scale: int | None = None) -> Data
 
 def product_sales(details: DataFrame, money_scale: int | None = None) -> DataFrame:
     return (
-        details.where(F.col("product_id").isNotNull())
+        split_amounts(details.where(F.col("product_id").isNotNull()), ["price"], money_scale)
         .groupBy(*PRODUCT_ATTRIBUTES)
         .agg(
             F.countDistinct("order_id").alias("times_ordered"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.casts import typed
-from orderloom.functions.measures import days_from, item_value, money_sum
+from orderloom.functions.measures import days_from, item_value, money_sum, split_amounts
 from orderloom.operators import aggregates, joins
 from orderloom.operators.expectations import Expectation, run_suite
 from orderloom.operators.latest import latest_address
@@ -26,7 +26,7 @@ from orderloom.plans.suite import pipeline_suite
 from orderloom.schemas import RAW, schema_of
 from orderloom.session import configure, scratch_dir
 from orderloom.sources.files import delete_folder
-from orderloom.sources.raw import ingest, read_snapshot, write_snapshot
+from orderloom.sources.raw import ingest, missing_tables, read_snapshot, write_snapshot
 from orderloom.sources.tables import (
     create_schema,
     create_silver_tables,
@@ -63,8 +63,10 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: typed(df, RAW[name]) for name, df in relations(spark, sf_dir).items()}
+def _raw(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """These raw tables with the silver types."""
+    source = relations(spark, sf_dir)
+    return {name: typed(source[name], RAW[name]) for name in names}
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -103,7 +105,7 @@ def _details(raw: dict[str, DataFrame], columns: list[str] | None = None) -> Dat
 
 @query
 def join_items_orders_inner(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, "order_items", "orders")
     return joins.with_orders(raw["order_items"], raw["orders"]).select(
         "order_id", "order_item_id", "price", "customer_id", "order_status",
         "order_purchase_timestamp",
@@ -112,7 +114,7 @@ def join_items_orders_inner(spark, sf_dir):
 
 @query
 def join_orders_customers_inner(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, "orders", "customers")
     return joins.with_customers(raw["orders"], raw["customers"]).select(
         "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
@@ -120,7 +122,7 @@ def join_orders_customers_inner(spark, sf_dir):
 
 @query
 def join_products_left(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, "order_items", "products")
     return joins.with_products(raw["order_items"], raw["products"]).select(
         "order_id", "order_item_id", "product_id", "product_category_name", "product_weight_g"
     )
@@ -128,7 +130,7 @@ def join_products_left(spark, sf_dir):
 
 @query
 def join_translation_left(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, "products", "category_translation")
     return joins.with_translation(raw["products"], raw["category_translation"]).select(
         "product_id", "product_category_name", "product_category_name_english"
     )
@@ -136,7 +138,7 @@ def join_translation_left(spark, sf_dir):
 
 @query
 def join_sellers_left(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, "order_items", "sellers")
     return joins.with_sellers(raw["order_items"], raw["sellers"]).select(
         "order_id", "order_item_id", "seller_id", "seller_city", "seller_state"
     )
@@ -175,7 +177,7 @@ def cast_columns(spark, sf_dir):
 
 @query
 def computed_item_value(spark, sf_dir):
-    items = _raw(spark, sf_dir)["order_items"]
+    items = _raw(spark, sf_dir, "order_items")["order_items"]
     return items.select(
         "order_id", "order_item_id", "price", "freight_value",
         item_value().alias("total_item_value"),
@@ -185,7 +187,7 @@ def computed_item_value(spark, sf_dir):
 @query
 def delivery_day_metrics(spark, sf_dir):
     purchase, delivered = "order_purchase_timestamp", "order_delivered_customer_date"
-    return _raw(spark, sf_dir)["orders"].select(
+    return _raw(spark, sf_dir, "orders")["orders"].select(
         "order_id",
         days_from(purchase, delivered).alias("delivery_days"),
         days_from(delivered, "order_estimated_delivery_date").alias("estimated_vs_actual_days"),
@@ -323,12 +325,12 @@ def dq_not_null(spark, sf_dir):
 
 @query
 def dq_unique(spark, sf_dir):
-    return run_suite(_raw(spark, sf_dir), UNIQUE_TESTS)
+    return run_suite(_raw(spark, sf_dir, "orders", "order_items", "customers", "products"), UNIQUE_TESTS)
 
 
 @query
 def dq_accepted_values(spark, sf_dir):
-    return run_suite(_raw(spark, sf_dir), ACCEPTED_VALUES_TESTS)
+    return run_suite(_raw(spark, sf_dir, "orders", "products"), ACCEPTED_VALUES_TESTS)
 
 
 @query
@@ -392,6 +394,43 @@ def raw_roundtrip(spark, sf_dir):
     return read_snapshot(spark, folder, "order_items")
 
 
+@query
+def raw_sellers(spark, sf_dir):
+    """Sellers landed and read back."""
+    folder = scratch_dir(spark, "raw")
+    write_snapshot(relations(spark, sf_dir)["sellers"], folder, "sellers", DAY_1)
+    return read_snapshot(spark, folder, "sellers")
+
+
+@query
+def raw_stamped(spark, sf_dir):
+    """Two days of orders as they are stored: every row has the moment and the day of its run."""
+    folder = scratch_dir(spark, "raw")
+    orders = relations(spark, sf_dir)["orders"].select("order_id", "order_status")
+    write_snapshot(orders.where("order_status = 'F'"), folder, "orders", DAY_1)
+    write_snapshot(orders, folder, "orders", DAY_2)
+    return spark.read.parquet(f"{folder}/orders")
+
+
+@query
+def ingest_report(spark, sf_dir):
+    """A run over a good table, one whose files disagree, and one that is not there."""
+    folder = scratch_dir(spark, "csv")
+    source = relations(spark, sf_dir)
+    _write_csv(source["payments"], f"{folder}/csv/payments.csv")
+    for column in ("order_status", "customer_id"):
+        part = source["orders"].select("order_id", column)
+        part.write.mode("append").csv(f"{folder}/csv/orders.csv", header=True)
+    landed = ingest(spark, f"{folder}/csv", f"{folder}/raw", DAY_1, retry_delay=0)
+    missing = missing_tables(landed, ["payments", "orders", "sellers"])
+    delete_folder(spark, f"{folder}/csv")
+    lines = [(r.table, r.status, r.attempts, r.rows, r.table in missing) for r in landed]
+    lines += [(t, "absent", 0, None, True) for t in missing if t not in {r.table for r in landed}]
+    return spark.createDataFrame(
+        lines, "table_name STRING, status STRING, attempts INT, landed_rows BIGINT, is_missing BOOLEAN"
+    )
+
+
 def _loaded_payments(spark, sf_dir, append: bool) -> DataFrame:
     folder = scratch_dir(spark, "load")
     schema = f"silver_{uuid.uuid4().hex}"
@@ -508,8 +547,9 @@ def money_limits(spark, sf_dir):
     amount = F.floor("l_extendedprice").cast("double") * F.pow(F.lit(10.0), F.col("l_linenumber") + 3)
     odd = (F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 7)
     total = money_sum("amount", MONEY_SCALE)
+    items = items.withColumn("amount", F.when(odd, F.lit(float("nan"))).otherwise(amount))
     return (
-        items.withColumn("amount", F.when(odd, F.lit(float("nan"))).otherwise(amount))
+        split_amounts(items, ["amount"], MONEY_SCALE)
         .groupBy("l_returnflag")
         .agg(total.alias("total"))
         .select(
@@ -556,10 +596,8 @@ def mart_rebuild(spark, sf_dir):
 def _daily_run(spark, sf_dir):
     """The daily run from CSV files to the marts, tests included: layout and test report."""
     folder = scratch_dir(spark, "run")
-    source = relations(spark, sf_dir)
-    # The silver table holds states of at most five characters, which tell the names apart.
-    for name, state in (("customers", "customer_state"), ("sellers", "seller_state")):
-        source[name] = source[name].withColumn(state, F.left(state, F.lit(5)))
+    # The silver tables hold codes of states, not their names.
+    source = relations(spark, sf_dir, state="concat('R', r_regionkey)")
     for name, df in source.items():
         _write_csv(df, f"{folder}/csv/{name}.csv")
     tag = uuid.uuid4().hex

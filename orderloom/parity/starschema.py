@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The states that occur in this data, for accepted_values.
@@ -28,111 +30,124 @@ TABLES = {
 }
 
 
-def _days(n: int) -> Column:
-    return F.expr(f"INTERVAL '{n}' DAY")
-
-
-def _quarter(name: str) -> Column:
-    return F.floor(F.col(name) / 4.0).cast("bigint")
-
-
-def relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-    places = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    lineitem = table("lineitem")
-    part = table("part")
-    shipped = lineitem.groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
-    )
-    order_date = F.col("o_orderdate")
-    orders = (
-        table("orders")
-        .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderstatus").alias("order_status"),
-            order_date.alias("order_purchase_timestamp"),
-            (order_date + _days(1)).alias("order_approved_at"),
-            F.col("first_ship").alias("order_delivered_carrier_date"),
-            F.when(F.col("o_orderstatus") == "F", F.col("last_ship")).alias(
-                "order_delivered_customer_date"
-            ),
-            (order_date + _days(30)).alias("order_estimated_delivery_date"),
+class Relations(Mapping):
+    """The raw relations by name, each put together when it is asked for first.
+
+    Expressions are SQL text: building the same columns one by one took longer than many queries.
+    """
+
+    NAMES = (
+        "orders", "order_items", "products", "sellers", "customers", "payments", "reviews",
+        "category_translation",
+    )
+
+    def __init__(self, spark: SparkSession, sf_dir: str, state: str):
+        self.spark, self.sf_dir, self.state = spark, sf_dir, state
+        self.made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return self._once(name, getattr(self, f"_{name}"))
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = make()
+        return self.made[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self):
+        return len(self.NAMES)
+
+    def _table(self, name: str) -> DataFrame:
+        path = f"{self.sf_dir}/{name}.parquet"
+        return self._once(path, lambda: self.spark.read.schema(TABLES[name]).parquet(path))
+
+    def _places(self) -> DataFrame:
+        nation, region = self._table("nation"), self._table("region")
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def _orders(self) -> DataFrame:
+        shipped = self._table("lineitem").groupBy("l_orderkey").agg(
+            F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
+        )
+        orders = self._table("orders")
+        return orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "o_orderstatus AS order_status",
+            "o_orderdate AS order_purchase_timestamp",
+            "o_orderdate + INTERVAL '1' DAY AS order_approved_at",
+            "first_ship AS order_delivered_carrier_date",
+            "CASE WHEN o_orderstatus = 'F' THEN last_ship END AS order_delivered_customer_date",
+            "o_orderdate + INTERVAL '30' DAY AS order_estimated_delivery_date",
+        )
+
+    def _order_items(self) -> DataFrame:
+        return self._table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_linenumber AS order_item_id",
+            "l_partkey AS product_id",
+            "l_suppkey AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            "l_extendedprice AS price",
+            "l_extendedprice * l_tax AS freight_value",
+        )
+
+    def _products(self) -> DataFrame:
+        return self._table("part").selectExpr(
+            "p_partkey AS product_id",
+            "CASE WHEN p_brand <> 'Brand#1' THEN p_type END AS product_category_name",
+            "p_size AS product_weight_g",
+            "p_size + 1 AS product_length_cm",
+            "p_size + 2 AS product_height_cm",
+            "p_size + 3 AS product_width_cm",
+        )
+
+    def _category_translation(self) -> DataFrame:
+        names = self._table("part").where("p_type <> 'PROMO'").selectExpr("p_type AS product_category_name")
+        return names.distinct().selectExpr("*", "lower(product_category_name) AS product_category_name_english")
+
+    def _customers(self) -> DataFrame:
+        customers = self._table("customer").join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
+        return customers.selectExpr(
+            "c_custkey AS customer_id",
+            "CAST(floor(c_custkey / 3.0D) AS BIGINT) AS customer_unique_id",
+            "n_name AS customer_city",
+            f"{self.state} AS customer_state",
         )
-    )
-    order_items = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
-    )
-    size = F.col("p_size")
-    products = part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_brand") != "Brand#1", F.col("p_type")).alias("product_category_name"),
-        size.alias("product_weight_g"),
-        (size + 1).alias("product_length_cm"),
-        (size + 2).alias("product_height_cm"),
-        (size + 3).alias("product_width_cm"),
-    )
-    category_translation = (
-        part.where(F.col("p_type") != "PROMO")
-        .select(F.col("p_type").alias("product_category_name"))
-        .distinct()
-        .withColumn("product_category_name_english", F.lower("product_category_name"))
-    )
-    customers = (
-        table("customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.floor(F.col("c_custkey") / 3.0).cast("bigint").alias("customer_unique_id"),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
+
+    def _sellers(self) -> DataFrame:
+        sellers = self._table("supplier").join(self._places(), F.col("s_nationkey") == F.col("n_nationkey"))
+        return sellers.selectExpr("s_suppkey AS seller_id", "n_name AS seller_city", f"{self.state} AS seller_state")
+
+    def _payments(self) -> DataFrame:
+        events = self._table("events").where("event_type IN ('purchase', 'signup', 'error')")
+        return events.selectExpr(
+            "CAST(floor(event_id / 4.0D) AS BIGINT) AS order_id",
+            "CAST(event_id % 4 + 1 AS INT) AS payment_sequential",
+            "event_type AS payment_type",
+            "CAST(user_id % 12 + 1 AS INT) AS payment_installments",
+            "value AS payment_value",
         )
-    )
-    sellers = (
-        table("supplier")
-        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("seller_id"),
-            F.col("n_name").alias("seller_city"),
-            F.col("r_name").alias("seller_state"),
+
+    def _reviews(self) -> DataFrame:
+        return self._table("events").where("event_type IN ('click', 'view')").selectExpr(
+            "CAST(floor(event_id / 4.0D) AS BIGINT) AS order_id",
+            "event_id AS review_id",
+            "CAST(event_id % 5 + 1 AS INT) AS review_score",
+            "event_type AS review_comment_title",
+            "props AS review_comment_message",
+            "ts AS review_creation_date",
+            "ts + INTERVAL '1' DAY AS review_answer_timestamp",
         )
-    )
-    events = table("events")
-    payments = events.where(F.col("event_type").isin("purchase", "signup", "error")).select(
-        _quarter("event_id").alias("order_id"),
-        (F.col("event_id") % 4 + 1).cast("int").alias("payment_sequential"),
-        F.col("event_type").alias("payment_type"),
-        (F.col("user_id") % 12 + 1).cast("int").alias("payment_installments"),
-        F.col("value").alias("payment_value"),
-    )
-    reviews = events.where(F.col("event_type").isin("click", "view")).select(
-        _quarter("event_id").alias("order_id"),
-        F.col("event_id").alias("review_id"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("review_score"),
-        F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
-        F.col("ts").alias("review_creation_date"),
-        (F.col("ts") + _days(1)).alias("review_answer_timestamp"),
-    )
-    return {
-        "orders": orders,
-        "order_items": order_items,
-        "products": products,
-        "sellers": sellers,
-        "customers": customers,
-        "payments": payments,
-        "reviews": reviews,
-        "category_translation": category_translation,
-    }
+
+
+def relations(spark: SparkSession, sf_dir: str, state: str = "r_name") -> Relations:
+    """``state`` says how a region becomes a customer's or seller's state."""
+    return Relations(spark, sf_dir, state)
 
 
 # Common table expressions, named like the relations with the prefix raw_.

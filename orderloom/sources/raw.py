@@ -91,11 +91,14 @@ def ingest(
     return report
 
 
+def missing_tables(report: list[Landed], tables: Iterable[str]) -> list[str]:
+    """Those of the tables that were not landed."""
+    return sorted(set(tables) - {r.table for r in report if r.status == "landed"})
+
+
 def require(report: list[Landed], tables: Iterable[str]) -> None:
     """Raise unless all of these tables were landed."""
-    landed = {r.table for r in report if r.status == "landed"}
-    missing = sorted(set(tables) - landed)
-    if missing:
+    if missing := missing_tables(report, tables):
         errors = {r.table: r.error for r in report if r.error}
         raise MissingTables(", ".join(f"{t} ({errors.get(t, 'no such file')})" for t in missing))
 

@@ -1,10 +1,13 @@
 import math
+import random
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from orderloom.functions.measures import money_sum
+from orderloom.functions.measures import money_sum, split_amounts
 from orderloom.functions.casts import typed
 from orderloom.schemas import schema_of
 
@@ -66,11 +69,42 @@ def test_money_sums_keep_every_value(spark, conf, ansi):
 
     def total(*values):
         df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
-        return df.agg(money_sum("v", 4)).first()[0]
+        return split_amounts(df, ["v"], 4).agg(money_sum("v", 4)).first()[0]
 
     assert total(1e14, 1.0) == 1e14 + 1
     assert total(1e18, 1.0, -1e18, 0.25) == 1.25
     assert total(-0.0, None) == 0.0 and total(None) is None and total() is None
     assert math.isnan(total(1.0, float("nan"))) and total(1.0, float("inf")) == float("inf")
     with pytest.raises(Exception, match="out of range"):
-        total(1e24, 1.0)
+        total(1e22, 1.0)
+
+
+@pytest.mark.parametrize("scale", [0, 2, 4, 6])
+def test_money_sums_as_decimals_do(spark, scale):
+    """Amounts of all sizes, half way between two units and next to it, of either sign."""
+    rng = random.Random(scale)
+    values = [0.5 * 10**-scale, 1.5 * 10**-scale, 2.5 * 10**-scale, 1.00005, 1.005, 2.675, 0.1 + 0.2, 1e-30, 5e-324]
+    values += [rng.uniform(0, 10 ** rng.randint(-6, 18)) for _ in range(300)]
+    values += [rng.randint(0, 10**9) / 10 ** (scale + 1) for _ in range(300)]
+    rows = [(k % 7, v * rng.choice([1, -1])) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k INT, v DOUBLE")
+    found = split_amounts(df, ["v"], scale).groupBy("k").agg(
+        money_sum("v", scale).alias("s"), F.expr(f"CAST(sum(CAST(v AS DECIMAL(28,{scale}))) AS DOUBLE)").alias("d")
+    )
+    assert all(r.s == r.d for r in found.collect())
+    # Python writes ordinary amounts with the same digits as Java.
+    ordinary = [(k, v) for k, v in rows if abs(v) < 1e9]
+    unit = Decimal(1).scaleb(-scale)
+    with localcontext() as context:
+        context.prec = 60
+        expected = sum(Decimal(repr(v)).quantize(unit, ROUND_HALF_UP) for _, v in ordinary)
+    df = spark.createDataFrame(ordinary, "k INT, v DOUBLE")
+    assert split_amounts(df, ["v"], scale).agg(money_sum("v", scale)).first()[0] == float(expected)
+
+
+def test_sums_that_leave_the_limbs_are_errors(spark):
+    df = spark.range(200_000).selectExpr("9e25D AS v")
+    with pytest.raises(Exception, match="out of range"):
+        split_amounts(df, ["v"], 0).agg(money_sum("v", 0)).collect()
+    with pytest.raises(ValueError, match="decimals"):
+        split_amounts(df, ["v"], 7)
