@@ -2,18 +2,19 @@
 
 Spark's own reader splits a CSV file only when no field contains a line break. With ``multiLine`` it
 gives a whole file to one task, which does not work for one huge file per table. Such files are read
-as lines here: a window per file split finds out which lines begin a record, and lines are grouped by
-record.
+as lines here, and lines are joined to records in the task that reads them (``records``). Files
+without such fields go through Spark's reader. Both parse by the same rules.
 """
 
 from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.sources.files import data_files, first_line
+from orderloom.sources.csv_lines import join_lines, settle_splits, sum_up_splits
+from orderloom.sources.files import data_files, first_line, from_uri
 from orderloom.functions.text import (
     ends_inside_quotes,
     holds_carriage_return,
@@ -53,19 +54,32 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def _read_alike(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files with the same header."""
-    lines = spark.read.option("lineSep", "\n").text(paths)
+
+    def lines_of(files: list[str]) -> DataFrame:
+        return spark.read.option("lineSep", "\n").text(files)
+
+    lines = lines_of(paths)
     names = _header_names(lines)
     schema = _string_columns([*names, "_malformed"])
     line = F.col("value")
-    if lines.where(ends_inside_quotes(line) | holds_carriage_return(line)).isEmpty():
-        rows = spark.read.csv(paths, schema=schema, header=True, enforceSchema=True, **QUOTING)
-    else:
+    # One row per file, of those with a field over several lines or a bare carriage return.
+    found = lines.where(ends_inside_quotes(line) | holds_carriage_return(line))
+    broken = {
+        from_uri(spark, row[0]) for row in found.select("_metadata.file_path").distinct().collect()
+    }
+    whole = [] if not broken else [f for path in paths for f in data_files(spark, path)]
+    whole = paths if not broken else [f for f in whole if from_uri(spark, f, plain=True) not in broken]
+    parts = []
+    if whole:
+        parts.append(spark.read.csv(whole, schema=schema, header=True, enforceSchema=True, **QUOTING))
+    if broken:
         parsed = F.from_csv(F.col("record"), schema, RECORD_OPTIONS)
-        rows = records(lines).select(parsed.alias("row")).select("row.*")
+        parts.append(records(lines_of(sorted(broken))).select(parsed.alias("row")).select("row.*"))
+    rows = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
     # The condition names every column, so that none is pruned: then Spark would not see a long row.
     # It holds for all rows, or is an error.
-    whole = F.xxhash64(*[F.col(_quoted(n)) for n in names]) == 0
-    rows = rows.where(F.col("_malformed").isNull() | _is_short(names) | whole).drop("_malformed")
+    seen = F.xxhash64(*[F.col(_quoted(n)) for n in names]) == 0
+    rows = rows.where(F.col("_malformed").isNull() | _is_short(names) | seen).drop("_malformed")
     return missing_to_null(rows)
 
 
@@ -109,64 +123,47 @@ def records(lines: DataFrame) -> DataFrame:
     """CSV records, as column ``record``, of the lines that Spark's ``text`` source reads.
 
     Each line knows whether it ends inside quotes if it begins outside (``opens``) or inside
-    (``stays``). A split does not know how its own first line begins, so it is followed under both
-    assumptions; one small row per split then settles, file by file, which of them holds. Each line
-    that begins outside quotes begins a record. The first record of a file is its header.
-
-    A file that ends inside quotes is an error, raised before the rest of it is gathered into one
-    record. So is a carriage return alone outside quotes, which could be meant as a line end.
+    (``stays``). A split does not know how its own first line begins, so a first pass sums it up under
+    both assumptions; these few numbers per split settle, file by file, which of them holds. Each line
+    that begins outside quotes begins a record. A second pass joins the lines of a record where they
+    are read. Only the pieces of records that a split cuts are sent anywhere. The first record of a
+    file is its header.
+
+    A file that ends inside quotes is an error, and so is a carriage return alone outside quotes,
+    which could be meant as a line end.
     """
     has_quote = F.contains("value", F.lit('"'))
     lines = lines.select(
-        F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("seq"),
         ends_inside_quotes(F.col("value")).alias("opens"),
         F.when(has_quote, ends_inside_quotes(F.concat(F.lit('"'), F.col("value"))))
         .otherwise(True)
         .alias("stays"),
+        F.col("value").alias("line"),
     )
-    in_split = Window.partitionBy("path", "split").orderBy("seq")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    followed = _follow(lines, in_split)
-    followed = followed.select(
-        *lines.columns, _inside(False).alias("inside_0"), _inside(True).alias("inside_1")
-    ).withColumns(
-        {
-            "begun_0": F.count_if(~F.col("inside_0")).over(so_far),
-            "begun_1": F.count_if(~F.col("inside_1")).over(so_far),
-        }
+    summary = lines.drop("line").mapInArrow(
+        sum_up_splits,
+        "path string, split long, opens boolean, stays boolean, begins boolean, begins_inside boolean",
     )
-
-    splits = followed.groupBy("path", "split").agg(
-        F.max_by(_ends_inside("inside_0"), "seq").alias("opens"),
-        F.max_by(_ends_inside("inside_1"), "seq").alias("stays"),
-        F.max("begun_0").alias("begun_0"),
-        F.max("begun_1").alias("begun_1"),
+    begun_in = settle_splits(summary.toArrow().to_pylist())
+    spark = lines.sparkSession
+    found = lines.mapInArrow(
+        join_lines(spark.sparkContext.broadcast(begun_in)),
+        "path string, begun_in long, split long, record string",
     )
-    in_file = Window.partitionBy("path").orderBy("split")
-    splits = _follow(splits, in_file).withColumn("split_inside", _inside(False))
-    begun = F.sum(_settled("begun")).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    is_open_at_end = _ends_inside("split_inside") & F.lead("split").over(in_file).isNull()
-    unclosed = F.concat(F.lit("quoted field without end in "), F.col("path"))
-    splits = splits.withColumns({"begun_before": begun, "is_open_at_end": is_open_at_end}).select(
-        "path",
-        "split",
-        "split_inside",
-        F.when(F.col("is_open_at_end"), F.raise_error(unclosed).cast("long"))
-        .otherwise(F.coalesce("begun_before", F.lit(0)))
-        .alias("begun_before"),
+    # The pieces of a cut record are as many as the splits it lies in.
+    pieces = F.sort_array(F.collect_list(F.struct("split", "record")))
+    cut = (
+        found.where("path IS NOT NULL")
+        .groupBy("path", "begun_in")
+        .agg(F.array_join(F.transform(pieces, lambda piece: piece["record"]), "\n").alias("record"))
+        .select("record")
     )
-
-    pieces = F.sort_array(F.collect_list(F.struct("split", "seq", "line")))
-    record = F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n")
     return (
-        followed.join(splits, ["path", "split"])
-        .withColumn("number", F.col("begun_before") + _settled("begun"))
-        .groupBy("path", "number")
-        .agg(record.alias("record"))
-        .where(F.col("number") > 1)
+        found.where("path IS NULL")
+        .select("record")
+        .union(cut)
         .select(without_line_end(F.col("record")).alias("record"))
         .where(F.btrim("record", F.lit(" \t")) != "")
         .select(
@@ -179,31 +176,3 @@ def records(lines: DataFrame) -> DataFrame:
             .alias("record")
         )
     )
-
-
-def _follow(rows: DataFrame, window) -> DataFrame:
-    """Add what decides whether a row begins inside quotes.
-
-    A row that ends the same way however it begins fixes the state. After the last such row, the
-    state turns with every row that ends inside exactly when it began outside.
-    """
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    turns = (F.col("opens") & ~F.col("stays")).cast("long")
-    fixed = F.struct(F.col("opens").alias("inside"), F.col("turns").alias("turns"))
-    return rows.withColumn("turns", F.coalesce(F.sum(turns).over(before), F.lit(0))).withColumn(
-        "fixed",
-        F.last(F.when(F.col("opens") == F.col("stays"), fixed), ignorenulls=True).over(before),
-    )
-
-
-def _inside(at_start: bool) -> Column:
-    turns = F.col("turns") - F.coalesce(F.col("fixed.turns"), F.lit(0))
-    return F.coalesce(F.col("fixed.inside"), F.lit(at_start)) != (turns % 2 == 1)
-
-
-def _ends_inside(inside: str) -> Column:
-    return F.when(F.col(inside), F.col("stays")).otherwise(F.col("opens"))
-
-
-def _settled(name: str) -> Column:
-    return F.when(F.col("split_inside"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))

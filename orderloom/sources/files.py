@@ -46,6 +46,13 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def from_uri(spark: SparkSession, uri: str, plain: bool = False) -> str:
+    """A file's path with its scheme, from the form that Spark's ``_metadata`` has (or a plain path)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri if plain else jvm.java.net.URI(uri))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a text file, compressed or not; empty for a file without lines."""
     hadoop_path, fs = _file_system(spark, path)
