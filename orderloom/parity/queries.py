@@ -618,7 +618,7 @@ def _daily_run(spark, sf_dir):
         money_scale=MONEY_SCALE,
         order_statuses=ORDER_STATUSES,
     )
-    for stage in ("csv", "raw", "silver"):
+    for stage in ("csv", "raw"):
         delete_folder(spark, f"{folder}/{stage}")
     return layout, done.report
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.operators.expectations import raise_on_failure, run_suite
+from orderloom.operators.expectations import Expectation, raise_on_failure, row_test_counts, run_suite
+from orderloom.parallel import together
 from orderloom.plans.marts import build_marts
 from orderloom.plans.silver import build_silver
 from orderloom.plans.staging import STAGING_SOURCE, view_sql
@@ -32,8 +33,8 @@ MARTS = ("fct_orders", "dim_customers", "dim_products")
 class Layout:
     """Where a run reads and writes.
 
-    ``names`` maps a table to the name of its CSV file. Without ``silver_path`` the silver tables
-    are written directly, not as Parquet files that are loaded afterwards.
+    ``names`` maps a table to the name of its CSV file. ``silver_path`` is where the files of the
+    silver tables lie, by default the schema's folder.
     """
 
     raw_path: str
@@ -59,23 +60,45 @@ class Run:
 def transform(
     spark: SparkSession, layout: Layout, snapshot: str = "latest", output_files: int | None = None
 ) -> None:
-    """Raw snapshots to silver Parquet files, or to the silver tables."""
+    """Raw snapshots to silver Parquet folders below ``silver_path``, for ``load_silver``."""
     raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
-    if not layout.silver_path:
-        _create_silver(spark, layout)
     for table, df in build_silver(raw).items():
-        if layout.silver_path:
-            write_parquet(df, f"{layout.silver_path}/{table}", output_files)
-        else:
-            load_rows(df, layout.silver_schema, table)
+        write_parquet(df, f"{layout.silver_path}/{table}", output_files)
 
 
 def load_silver(spark: SparkSession, layout: Layout) -> None:
-    """Silver Parquet files to the silver tables, replacing their content."""
-    if layout.silver_path:
-        _create_silver(spark, layout)
-        for table in SILVER:
-            load(spark, f"{layout.silver_path}/{table}", layout.silver_schema, table)
+    """Silver Parquet folders to the silver tables, replacing their content."""
+    _create_silver(spark, layout)
+    for table in SILVER:
+        load(spark, f"{layout.silver_path}/{table}", layout.silver_schema, table)
+
+
+def build_silver_tables(
+    spark: SparkSession, layout: Layout, snapshot: str = "latest", output_files: int | None = None,
+    suite: Sequence[Expectation] = (),
+) -> dict[Expectation, int]:
+    """Both in one: raw snapshots straight to the silver tables, whose files are written once.
+
+    Row tests of the suite are counted on the way, also those of the staging views, which show the
+    same columns. Returned are the failures of each.
+    """
+    raw = read_raw(spark, layout.raw_path, snapshot, layout.names)
+    _create_silver(spark, layout)
+    silver = build_silver(raw)
+
+    def write(table: str) -> Callable[[], dict[Expectation, int]]:
+        rows = silver[table].repartition(output_files) if output_files else silver[table]
+        counts = row_test_counts(suite, table)
+        for model, source in STAGING_SOURCE.items():
+            if source == table:
+                counts |= row_test_counts(suite, model)
+        return lambda: load_rows(rows, layout.silver_schema, table, root=layout.silver_path, counts=counts)
+
+    return _merged(together(spark, {table: write(table) for table in silver}))
+
+
+def _merged(counted: Mapping[str, dict[Expectation, int]]) -> dict[Expectation, int]:
+    return {test: n for counts in counted.values() for test, n in counts.items()}
 
 
 def _create_silver(spark: SparkSession, layout: Layout) -> None:
@@ -83,28 +106,39 @@ def _create_silver(spark: SparkSession, layout: Layout) -> None:
     create_silver_tables(spark, layout.silver_schema, if_not_exists=True)
 
 
-def build_models(spark: SparkSession, layout: Layout, money_scale: int | None = None) -> None:
-    """Staging views over the silver tables, then the mart tables."""
+def build_models(
+    spark: SparkSession, layout: Layout, money_scale: int | None = None,
+    suite: Sequence[Expectation] = (),
+) -> dict[Expectation, int]:
+    """Staging views over the silver tables, then the mart tables, all at once.
+
+    Row tests of the suite on the marts are counted as they are written; returned are the failures.
+    """
     _schema(spark, layout, layout.staging_schema)
     _schema(spark, layout, layout.marts_schema)
     for model, source in STAGING_SOURCE.items():
         view = f"{layout.staging_schema}.{model}"
         spark.sql(view_sql(model, view, f"{layout.silver_schema}.{source}"))
     staging = {m: spark.table(f"{layout.staging_schema}.{m}") for m in STAGING_SOURCE}
-    for mart, df in build_marts(staging, money_scale).items():
-        save_table(df, layout.marts_schema, mart)
+
+    def write(mart: str, df: DataFrame) -> Callable[[], dict[Expectation, int]]:
+        return lambda: save_table(df, layout.marts_schema, mart, row_test_counts(suite, mart))
+
+    marts = build_marts(staging, money_scale)
+    return _merged(together(spark, {mart: write(mart, df) for mart, df in marts.items()}))
 
 
 def quality_report(
-    spark: SparkSession, layout: Layout, order_statuses: tuple[str, ...] = ORDER_STATUSES
+    spark: SparkSession, layout: Layout, order_statuses: tuple[str, ...] = ORDER_STATUSES,
+    known: Mapping[Expectation, int] | None = None,
 ) -> DataFrame:
-    """The suite over the tables as they were built."""
+    """The suite over the tables as they were built; what their writes have counted is ``known``."""
     tables = {
         **{t: spark.table(f"{layout.silver_schema}.{t}") for t in SILVER},
         **{m: spark.table(f"{layout.staging_schema}.{m}") for m in STAGING_SOURCE},
         **{m: spark.table(f"{layout.marts_schema}.{m}") for m in MARTS},
     }
-    return run_suite(tables, pipeline_suite(order_statuses))
+    return run_suite(tables, pipeline_suite(order_statuses), known)
 
 
 def run(
@@ -128,17 +162,17 @@ def run(
     which stay as they are.
     """
     configure(spark)
-    known = [layout.raw_name(t) for t in RAW]
-    others = set(csv_tables(spark, csv_dir)) - set(known)
+    needed = [layout.raw_name(t) for t in RAW]
+    others = set(csv_tables(spark, csv_dir)) - set(needed)
     landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others)
     if not any(r.status == "landed" for r in landed):
         return Run(landed, None)
     if not allow_missing:
-        require(landed, known)
-    transform(spark, layout, snapshot, output_files)
-    load_silver(spark, layout)
-    build_models(spark, layout, money_scale)
-    report = quality_report(spark, layout, order_statuses)
+        require(landed, needed)
+    suite = pipeline_suite(order_statuses)
+    known = build_silver_tables(spark, layout, snapshot, output_files, suite)
+    known |= build_models(spark, layout, money_scale, suite)
+    report = quality_report(spark, layout, order_statuses, known)
     # One row per test: keep the outcome rather than run the tests again for each look at it.
     report = spark.createDataFrame(report.collect(), report.schema)
     if raise_on_error:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.sources.csv_lines import join_lines, settle_splits, sum_up_splits
-from orderloom.sources.files import data_files, first_line, from_uri
+from orderloom.sources.files import data_files, first_line, from_uri, qualified
 from orderloom.functions.text import (
     ends_inside_quotes,
     holds_carriage_return,
@@ -68,7 +68,7 @@ def _read_alike(spark: SparkSession, paths: list[str]) -> DataFrame:
         from_uri(spark, row[0]) for row in found.select("_metadata.file_path").distinct().collect()
     }
     whole = [] if not broken else [f for path in paths for f in data_files(spark, path)]
-    whole = paths if not broken else [f for f in whole if from_uri(spark, f, plain=True) not in broken]
+    whole = paths if not broken else [f for f in whole if qualified(spark, f) not in broken]
     parts = []
     if whole:
         parts.append(spark.read.csv(whole, schema=schema, header=True, enforceSchema=True, **QUOTING))

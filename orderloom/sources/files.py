@@ -46,11 +46,16 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
-def from_uri(spark: SparkSession, uri: str, plain: bool = False) -> str:
-    """A file's path with its scheme, from the form that Spark's ``_metadata`` has (or a plain path)."""
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as the catalog holds locations."""
+    hadoop_path, fs = _file_system(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
+def from_uri(spark: SparkSession, uri: str) -> str:
+    """The path of a file that Spark's ``_metadata`` names."""
     jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(uri if plain else jvm.java.net.URI(uri))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return qualified(spark, jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
 
 
 def first_line(spark: SparkSession, path: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from orderloom.parallel import WORKERS, together
 from orderloom.schemas import RAW
 from orderloom.sources.csv_read import read_csv
 from orderloom.sources.files import child_names
@@ -68,8 +69,9 @@ def ingest(
     required: Iterable[str] = (),
     infer: Iterable[str] = (),
     read: Callable[[SparkSession, str], DataFrame] = read_csv,
+    workers: int = WORKERS,
 ) -> list[Landed]:
-    """Land every CSV table of a folder as today's snapshot and report on each.
+    """Land every CSV table of a folder as today's snapshot, some at once, and report on each.
 
     A table that fails ``max_retries`` times is skipped and the run goes on; at the end a skipped
     or absent table named in ``required`` raises. Columns stay strings, except in the tables named
@@ -77,16 +79,18 @@ def ingest(
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     infer = set(infer)
-    report = []
-    for table, path in csv_tables(spark, csv_dir).items():
 
-        def land(table=table, path=path) -> int:
-            rows = read(spark, path)
-            if table in infer:
-                rows = with_inferred_types(rows)
-            return write_snapshot(rows, raw_path, table, run_ts)
+    def land(table: str, path: str) -> int:
+        rows = read(spark, path)
+        if table in infer:
+            rows = with_inferred_types(rows)
+        return write_snapshot(rows, raw_path, table, run_ts)
 
-        report.append(_with_retries(table, land, max_retries, retry_delay))
+    def attempt(table: str, path: str) -> Callable[[], Landed]:
+        return lambda: _with_retries(table, lambda: land(table, path), max_retries, retry_delay)
+
+    tables = csv_tables(spark, csv_dir)
+    report = list(together(spark, {t: attempt(t, path) for t, path in tables.items()}, workers).values())
     require(report, required)
     return report
 

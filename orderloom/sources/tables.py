@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Hashable, Mapping
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from orderloom.schemas import SILVER, in_table_order, silver_ddl
-from orderloom.sources.files import data_files, delete_folder
+from orderloom.sources.files import data_files, delete_folder, qualified
 from orderloom.sources.versions import Version, VersionLog
 
+T = TypeVar("T", bound=Hashable)
+
 SETTLE_ATTEMPTS = 20
 # What Spark says when an entry of the catalog has changed under it.
 CATALOG_RACES = ("TABLE_OR_VIEW_NOT_FOUND", "TABLE_OR_VIEW_ALREADY_EXISTS", "NoSuchTable", "TableAlreadyExists")
@@ -53,8 +57,9 @@ def load(
 
 
 def load_rows(
-    rows: DataFrame, schema: str, table: str, append: bool = False, load_id: str | None = None
-) -> None:
+    rows: DataFrame, schema: str, table: str, append: bool = False, load_id: str | None = None,
+    root: str | None = None, counts: Mapping[T, Column] | None = None,
+) -> dict[T, int]:
     """Load rows into a silver table.
 
     Columns are matched by name. The default replaces the table's content: the new rows are written
@@ -66,13 +71,16 @@ def load_rows(
     With ``append`` the rows are added to the current version, all of them or none. An append with a
     ``load_id`` that was loaded before adds nothing. A replacement that ends while an append is under
     way replaces the appended rows too.
+
+    New files lie below ``root``, by default in the schema's folder. The aggregates in ``counts`` are
+    worked out on the way, and their values returned.
     """
-    rows = in_table_order(rows, table)
+    rows, counted = _counting(in_table_order(rows, table), counts)
     spark, target = rows.sparkSession, f"{schema}.{table}"
     settle(spark, schema, table)
     log = _log(spark, schema, table)
     current = table_location(spark, target)
-    folder = f"{log.parent}/{table}-{uuid.uuid4().hex}"
+    folder = f"{qualified(spark, root) if root else log.parent}/{table}-{uuid.uuid4().hex}"
     loading = f"{schema}.{table}_loading_{uuid.uuid4().hex}"
     lease = log.lease(folder)
     # The table's folder is leased too while files are added to it.
@@ -89,7 +97,7 @@ def load_rows(
         spark.sql(f"DROP TABLE IF EXISTS {loading}")
     if not held:
         _switch(spark, schema, table, log, lease, folder, current, _ddl(spark.table(target)))
-        return
+        return counted()
     names = [file.rsplit("/", 1)[1] for file in data_files(spark, folder)]
     if not log.record_append(load_id or uuid.uuid4().hex, folder, current, names):
         delete_folder(spark, folder)
@@ -97,16 +105,32 @@ def load_rows(
     log.release(held)
     log.release(lease)
     spark.catalog.refreshTable(target)
+    return counted()
+
+
+def _counting(
+    rows: DataFrame, counts: Mapping[T, Column] | None
+) -> tuple[DataFrame, Callable[[], dict[T, int]]]:
+    """Rows that count on their way to a write, and what gives the counts when it is done."""
+    if not counts:
+        return rows, dict
+    seen = Observation()
+    named = {f"c{k}": key for k, key in enumerate(counts)}
+    rows = rows.observe(seen, *[counts[key].alias(name) for name, key in named.items()])
+    return rows, lambda: {key: seen.get[name] for name, key in named.items()}
 
 
-def save_table(df: DataFrame, schema: str, table: str) -> None:
+def save_table(
+    df: DataFrame, schema: str, table: str, counts: Mapping[T, Column] | None = None
+) -> dict[T, int]:
     """Rebuild a table in full, whatever its columns were; it comes into being at the first build.
 
     Rows go to a folder of their own that becomes the table's next version: a build that fails or
     dies leaves the table as it was, and builds may run at once, as in ``load_rows``. The files are
-    never the catalog's to delete.
+    never the catalog's to delete. ``counts`` as in ``load_rows``.
     """
-    spark = df.sparkSession
+    spark, columns = df.sparkSession, _ddl(df)
+    df, counted = _counting(df, counts)
     settle(spark, schema, table)
     log = _log(spark, schema, table)
     target = f"{schema}.{table}"
@@ -118,7 +142,8 @@ def save_table(df: DataFrame, schema: str, table: str) -> None:
     except Exception:
         log.abort(lease, folder)
         raise
-    _switch(spark, schema, table, log, lease, folder, current, _ddl(df))
+    _switch(spark, schema, table, log, lease, folder, current, columns)
+    return counted()
 
 
 def _switch(
@@ -165,7 +190,8 @@ def settle(spark: SparkSession, schema: str, table: str) -> None:
 def _shows(spark: SparkSession, target: str, version: Version) -> bool:
     if not spark.catalog.tableExists(target):
         return False
-    return (table_location(spark, target), _ddl(spark.table(target))) == (version.folder, version.columns)
+    location = qualified(spark, table_location(spark, target))
+    return (location, _ddl(spark.table(target))) == (qualified(spark, version.folder), version.columns)
 
 
 def _show(spark: SparkSession, schema: str, table: str, log: VersionLog, version: Version) -> None:
@@ -195,7 +221,7 @@ def _log(spark: SparkSession, schema: str, table: str) -> VersionLog:
 
 def _home(spark: SparkSession, schema: str) -> str:
     described = spark.sql(f"DESCRIBE DATABASE {schema}")
-    return described.where("info_name = 'Location'").first()["info_value"].rstrip("/")
+    return qualified(spark, described.where("info_name = 'Location'").first()["info_value"])
 
 
 def _ddl(df: DataFrame) -> str:

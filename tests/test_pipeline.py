@@ -7,6 +7,7 @@ import pytest
 
 from conftest import DEFAULTS
 from orderloom.operators.expectations import ExpectationsFailed
+from orderloom.parallel import together
 from orderloom.plans import pipeline
 from orderloom.sources.raw import MissingTables
 
@@ -120,3 +121,51 @@ def test_nothing_to_ingest_writes_nothing(spark, layout, tmp_path):
     assert (done.landed, done.report) == ([], None)
     assert not (tmp_path / "raw").exists()
     assert not (tmp_path / "silver").exists()
+
+
+def test_counts_on_the_write_agree_with_scans(spark, layout, csv_dir):
+    """Row tests are counted by the writes of silver tables and marts; only `unique` reads tables."""
+    folder = csv_dir(
+        orders=[{"order_status": "lost"}, {"order_id": "o2", "order_status": None}],
+        order_items=[{"order_item_id": "x"}, {"order_id": "o2", "order_item_id": None}, {"product_id": None}],
+        payments=[],
+        reviews=[{"review_id": None}, {}, {}],
+    )
+    done = pipeline.run(spark, folder, layout, DAY_1, raise_on_error=False)
+    scanned = pipeline.quality_report(spark, layout)
+    key = ["table_name", "column_name", "test_name"]
+    assert sorted(done.report.collect()) == sorted(scanned.collect())
+    assert {r.failures for r in done.report.collect()} >= {0, 1, 2}
+    known = {t: 0 for t in pipeline.pipeline_suite() if t.test != "unique"}
+    plan = pipeline.quality_report(spark, layout, known=known)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len({t for t in pipeline.pipeline_suite() if t.test == "unique"})
+    assert len(done.report.select(*key).distinct().collect()) == len(known) + 4
+
+
+def test_the_stages_can_be_run_apart(spark, layout, csv_dir):
+    pipeline.ingest(spark, csv_dir(), layout.raw_path, DAY_1)
+    pipeline.transform(spark, layout)
+    assert spark.read.parquet(f"{layout.silver_path}/order_details").count() == 1
+    for _ in range(2):
+        pipeline.load_silver(spark, layout)
+        pipeline.build_models(spark, layout)
+    assert {r.status for r in pipeline.quality_report(spark, layout).collect()} == {"pass"}
+
+
+def test_jobs_at_once_end_before_an_error_is_raised(spark):
+    ended = []
+
+    def job(name, fails):
+        def run():
+            count = spark.range(10).count()
+            if fails:
+                raise ValueError(name)
+            ended.append(name)
+            return count
+
+        return run
+
+    with pytest.raises(ValueError, match="b"):
+        together(spark, {n: job(n, n == "b") for n in "abcdef"}, workers=2)
+    assert sorted(ended) == list("acdef")
+    assert together(spark, {"x": job("x", False)}) == {"x": 10}
