@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +16,7 @@ from orderloom.plans.staging import STAGING_SOURCE, view_sql
 from orderloom.plans.suite import ORDER_STATUSES, pipeline_suite
 from orderloom.schemas import RAW, SILVER
 from orderloom.session import configure
-from orderloom.sources.raw import Landed, csv_tables, ingest, read_raw, require
+from orderloom.sources.raw import Landed, csv_tables, ingest, read_raw, record_run, require
 from orderloom.sources.tables import (
     create_schema,
     create_silver_tables,
@@ -34,7 +34,8 @@ class Layout:
     """Where a run reads and writes.
 
     ``names`` maps a table to the name of its CSV file. ``silver_path`` is where the files of the
-    silver tables lie, by default the schema's folder.
+    silver tables lie, by default the schema's folder. With ``buckets`` these tables are bucketed and
+    sorted by order, so that the order fact joins and groups them without a shuffle.
     """
 
     raw_path: str
@@ -44,6 +45,7 @@ class Layout:
     marts_schema: str = "marts"
     schema_root: str | None = None
     names: Mapping[str, str] = field(default_factory=dict)
+    buckets: int | None = None
 
     def raw_name(self, table: str) -> str:
         return self.names.get(table, table)
@@ -103,7 +105,7 @@ def _merged(counted: Mapping[str, dict[Expectation, int]]) -> dict[Expectation,
 
 def _create_silver(spark: SparkSession, layout: Layout) -> None:
     _schema(spark, layout, layout.silver_schema)
-    create_silver_tables(spark, layout.silver_schema, if_not_exists=True)
+    create_silver_tables(spark, layout.silver_schema, if_not_exists=True, buckets=layout.buckets)
 
 
 def build_models(
@@ -157,11 +159,12 @@ def run(
     """All stages in order.
 
     A folder without CSV files ends the run before anything is written. A table that cannot be read
-    fails the run unless ``allow_missing``; then its last snapshot is used. Tables the silver layer
+    fails the run unless ``allow_missing``; then its snapshot of the run before is used. Tables the silver layer
     does not read are landed too, with inferred types. Failed tests raise after the marts are built,
     which stay as they are.
     """
     configure(spark)
+    run_ts = run_ts or datetime.now(timezone.utc)
     needed = [layout.raw_name(t) for t in RAW]
     others = set(csv_tables(spark, csv_dir)) - set(needed)
     landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others)
@@ -169,6 +172,9 @@ def run(
         return Run(landed, None)
     if not allow_missing:
         require(landed, needed)
+    if snapshot == "latest":
+        # What lands from now on, from another run, is not mixed in.
+        snapshot = f"run:{record_run(spark, layout.raw_path, run_ts, landed, needed)}"
     suite = pipeline_suite(order_statuses)
     known = build_silver_tables(spark, layout, snapshot, output_files, suite)
     known |= build_models(spark, layout, money_scale, suite)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -15,11 +17,12 @@ from pyspark.sql.types import StringType
 from orderloom.parallel import WORKERS, together
 from orderloom.schemas import RAW
 from orderloom.sources.csv_read import read_csv
-from orderloom.sources.files import child_names
+from orderloom.sources.files import child_names, delete_folder, read_text, write_text
 
 STAMP = "loaded_at"
 DAY = "ingest_date"
 SUFFIX = ".csv"
+RUNS = "_runs"
 
 # What a column's values must look like to give it a type other than string, first match first.
 VALUE_PATTERNS = {
@@ -82,9 +85,14 @@ def ingest(
 
     def land(table: str, path: str) -> int:
         rows = read(spark, path)
-        if table in infer:
-            rows = with_inferred_types(rows)
-        return write_snapshot(rows, raw_path, table, run_ts)
+        if table not in infer:
+            return write_snapshot(rows, raw_path, table, run_ts)
+        # The text is parsed once: what types its columns have is found while it is stored.
+        landing = f"{raw_path.rstrip('/')}/_landing/{table}-{uuid.uuid4().hex}"
+        try:
+            return write_snapshot(stored_with_types(rows, landing), raw_path, table, run_ts)
+        finally:
+            delete_folder(spark, landing)
 
     def attempt(table: str, path: str) -> Callable[[], Landed]:
         return lambda: _with_retries(table, lambda: land(table, path), max_retries, retry_delay)
@@ -122,34 +130,47 @@ def _with_retries(
     return Landed(table, "skipped", attempt, error=error)
 
 
-def with_inferred_types(rows: DataFrame) -> DataFrame:
-    """Turn string columns that hold only truth values or numbers into boolean, long or double.
-
-    One aggregate over the table decides for all columns. Codes with leading zeros stay strings, and
-    so do columns without any value and whole numbers that neither type would keep exactly.
-    """
-    names = [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
+def _type_checks(rows: DataFrame) -> dict[tuple[str, str], Column]:
+    """For each string column and type: whether all its values are of that type."""
 
     def holds_only(name: str, pattern: str) -> Column:
-        column = F.col(f"`{name}`")
+        column = F.col(_quoted(name))
         fits = column.rlike(pattern)
         if pattern == VALUE_PATTERNS["long"]:
             fits = fits & (column.isNull() | column.try_cast("long").isNotNull())
         return F.coalesce(F.bool_and(fits), F.lit(False))
 
-    checks = [
-        F.struct(*[holds_only(n, p).alias(kind) for kind, p in VALUE_PATTERNS.items()]).alias(n)
-        for n in names
-    ]
-    found = rows.agg(*checks).first().asDict() if names else {}
+    names = [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
+    return {(n, kind): holds_only(n, p) for n in names for kind, p in VALUE_PATTERNS.items()}
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def stored_with_types(rows: DataFrame, path: str) -> DataFrame:
+    """Store rows as they are, and read them with string columns that hold only truth values or
+    numbers as boolean, long or double.
+
+    The values of each split are checked as they are written; the checks' results combine to those of
+    the table. Codes with leading zeros stay strings, and so do columns without any value and whole
+    numbers that neither type would keep exactly.
+    """
+    seen, checks = Observation(), _type_checks(rows)
+    named = {f"c{k}": key for k, key in enumerate(checks)}
+    if named:
+        rows = rows.observe(seen, *[checks[key].alias(name) for name, key in named.items()])
+    rows.write.parquet(path)
+    found = {key for name, key in named.items() if seen.get[name]}
 
     def as_found(name: str) -> Column:
         for kind in VALUE_PATTERNS:
-            if name in found and found[name][kind]:
-                return F.col(f"`{name}`").cast(kind).alias(name)
-        return F.col(f"`{name}`")
+            if (name, kind) in found:
+                return F.col(_quoted(name)).cast(kind).alias(name)
+        return F.col(_quoted(name))
 
-    return rows.select(*[as_found(name) for name in rows.columns])
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return stored.select(*[as_found(name) for name in rows.columns])
 
 
 def write_snapshot(rows: DataFrame, raw_path: str, table: str, run_ts: datetime) -> int:
@@ -192,6 +213,37 @@ def snapshots(spark: SparkSession, raw_path: str, table: str) -> dict[str, str]:
     return dict(sorted(found.items()))
 
 
+def record_run(
+    spark: SparkSession, raw_path: str, run_ts: datetime, landed: Iterable[Landed], tables: Iterable[str]
+) -> str:
+    """Note which day of each table belongs to a run, and return the run's name.
+
+    A landed table has the run's day. Another keeps the day that the run before names, or without
+    one its newest day until then, so a table that was skipped is not read at a later day.
+    """
+    day, name = run_ts.strftime("%Y-%m-%d"), run_ts.strftime("%Y-%m-%dT%H%M%S.%f")
+    before = [r for r in runs(spark, raw_path) if r < name]
+    days = run_days(spark, raw_path, before[-1]) if before else {}
+    for table in tables:
+        if table not in days:
+            known = [d for d in snapshots(spark, raw_path, table) if d <= day]
+            days |= {table: known[-1]} if known else {}
+    days |= {r.table: day for r in landed if r.status == "landed"}
+    write_text(spark, f"{raw_path.rstrip('/')}/{RUNS}/{name}.json", json.dumps(days))
+    return name
+
+
+def runs(spark: SparkSession, raw_path: str) -> list[str]:
+    """Names of the recorded runs, oldest first."""
+    names = child_names(spark, f"{raw_path.rstrip('/')}/{RUNS}")
+    return sorted(n.removesuffix(".json") for n in names if n.endswith(".json"))
+
+
+def run_days(spark: SparkSession, raw_path: str, run: str) -> dict[str, str]:
+    """The day of each table in a run."""
+    return json.loads(read_text(spark, f"{raw_path.rstrip('/')}/{RUNS}/{run}.json"))
+
+
 def read_snapshot(
     spark: SparkSession, raw_path: str, table: str, snapshot: str = "latest"
 ) -> DataFrame:
@@ -219,6 +271,14 @@ def read_raw(
     snapshot: str = "latest",
     names: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The eight tables of the silver layer. ``names`` maps a table to its folder name."""
+    """The eight tables of the silver layer. ``names`` maps a table to its folder name.
+
+    ``run:`` and a run's name reads each table at the day that this run names.
+    """
     names = names or {}
-    return {t: read_snapshot(spark, raw_path, names.get(t, t), snapshot) for t in RAW}
+    run = snapshot.removeprefix("run:") if snapshot.startswith("run:") else None
+    days = run_days(spark, raw_path, run) if run else {}
+    return {
+        t: read_snapshot(spark, raw_path, names.get(t, t), days.get(names.get(t, t), "latest") if run else snapshot)
+        for t in RAW
+    }

@@ -14,19 +14,26 @@ from orderloom.sources.versions import Version, VersionLog
 
 T = TypeVar("T", bound=Hashable)
 
+BUCKET_KEY = "order_id"
 SETTLE_ATTEMPTS = 20
 # What Spark says when an entry of the catalog has changed under it.
 CATALOG_RACES = ("TABLE_OR_VIEW_NOT_FOUND", "TABLE_OR_VIEW_ALREADY_EXISTS", "NoSuchTable", "TableAlreadyExists")
 
 
-def write_parquet(df: DataFrame, path: str, output_files: int | None = None) -> None:
+def write_parquet(
+    df: DataFrame, path: str, output_files: int | None = None, rebalance: bool = False
+) -> None:
     """Replace a Parquet folder.
 
     Without ``output_files`` AQE decides how many tasks write. With it rows are redistributed, which
-    unlike ``coalesce`` leaves the parallelism of the stages before the write alone.
+    unlike ``coalesce`` leaves the parallelism of the stages before the write alone. With
+    ``rebalance`` AQE splits large partitions and merges small ones, so that every file comes from
+    about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of rows, however skewed they were.
     """
     if output_files:
         df = df.repartition(output_files)
+    elif rebalance:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
 
 
@@ -36,12 +43,23 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
 
 
 def create_silver_tables(
-    spark: SparkSession, schema: str = "silver", if_not_exists: bool = False
+    spark: SparkSession, schema: str = "silver", if_not_exists: bool = False,
+    buckets: int | None = None,
 ) -> None:
-    """The three silver tables. Text longer than a column's width is an error when it is loaded."""
+    """The three silver tables. Text longer than a column's width is an error when it is loaded.
+
+    With ``buckets`` their files are bucketed and sorted by order: what joins and groups them by order
+    needs no shuffle. A bucket is one file and one task, so there should be one per few hundred MB.
+    """
     guard = "IF NOT EXISTS " if if_not_exists else ""
+    layout = f" CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS" if buckets else ""
     for table in SILVER:
-        spark.sql(f"CREATE TABLE {guard}{schema}.{table} ({silver_ddl(table)}) USING parquet")
+        spark.sql(f"CREATE TABLE {guard}{schema}.{table} ({silver_ddl(table)}) USING parquet{layout}")
+
+
+def _buckets(spark: SparkSession, target: str) -> int | None:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where("col_name = 'Num Buckets'").first()
+    return int(described["data_type"]) if described else None
 
 
 def truncate(spark: SparkSession, schema: str, table: str) -> None:
@@ -75,8 +93,12 @@ def load_rows(
     New files lie below ``root``, by default in the schema's folder. The aggregates in ``counts`` are
     worked out on the way, and their values returned.
     """
-    rows, counted = _counting(in_table_order(rows, table), counts)
     spark, target = rows.sparkSession, f"{schema}.{table}"
+    rows = in_table_order(rows, table)
+    if buckets := _buckets(spark, target):
+        # One file per bucket, not one per task and bucket.
+        rows = rows.repartition(buckets, BUCKET_KEY)
+    rows, counted = _counting(rows, counts)
     settle(spark, schema, table)
     log = _log(spark, schema, table)
     current = table_location(spark, target)

@@ -1,16 +1,23 @@
-from datetime import datetime, timezone
+import uuid
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from orderloom.schemas import RAW
 from orderloom.sources.raw import (
+    Landed,
     MissingTables,
     csv_tables,
     ingest,
     read_raw,
     read_snapshot,
+    record_run,
+    run_days,
+    runs,
     snapshots,
-    with_inferred_types,
+    stored_with_types,
     write_snapshot,
 )
 
@@ -175,7 +182,7 @@ def test_empty_folder(spark, tmp_path):
     assert not (tmp_path / "raw").exists()
 
 
-def test_inferred_types(spark):
+def test_inferred_types(spark, tmp_path):
     df = spark.createDataFrame(
         [
             ("1", "1.5", "01037", "a", None, "-3", "1", "True"),
@@ -184,7 +191,7 @@ def test_inferred_types(spark):
         "n STRING, x STRING, zip STRING, s STRING, empty STRING, gaps STRING, big STRING, "
         "flag STRING",
     )
-    out = with_inferred_types(df)
+    out = stored_with_types(df, f"{tmp_path}/t")
     assert dict(out.dtypes) == {
         "n": "bigint",
         "x": "double",
@@ -195,19 +202,74 @@ def test_inferred_types(spark):
         "big": "string",
         "flag": "boolean",
     }
-    assert [r.gaps for r in out.collect()] == [-3, None]
+    assert {r.n: r.gaps for r in out.collect()} == {1: -3, 20: None}
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_long_ids_stay_distinct(spark, conf, ansi):
+def test_long_ids_stay_distinct(spark, conf, tmp_path, ansi):
     conf(ansi__enabled=ansi)
+
+    def typed(df):
+        return stored_with_types(df, f"{tmp_path}/{uuid.uuid4().hex}")
+
     for digits, kind in ((15, "bigint"), (18, "bigint"), (19, "bigint"), (20, "string")):
         for sign in ("", "-", "+"):
             ids = [sign + ("1234567890123456789" + "0")[:digits], sign + "1" * digits]
-            out = with_inferred_types(spark.createDataFrame([(i,) for i in ids], "id STRING"))
+            out = typed(spark.createDataFrame([(i,) for i in ids], "id STRING"))
             assert out.dtypes == [("id", kind)]
             assert out.distinct().count() == 2
     mixed = spark.createDataFrame([("1.5",), ("1234567890123456789",)], "v STRING")
-    assert with_inferred_types(mixed).dtypes == [("v", "string")]
+    assert typed(mixed).dtypes == [("v", "string")]
     over = spark.createDataFrame([("9223372036854775808",)], "v STRING")
-    assert with_inferred_types(over).dtypes == [("v", "string")]
+    assert typed(over).dtypes == [("v", "string")]
+
+
+def test_types_are_found_while_text_is_stored(spark, tmp_path):
+    """The source is worked out once; a column with any name gets its type."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+
+    rows = spark.range(50, numPartitions=4).select(
+        F.udf(look)(F.col("id").cast("string")).alias("a.b"), F.lit("x").alias("c`d"), F.lit(1).alias("n")
+    )
+    out = stored_with_types(rows, f"{tmp_path}/t")
+    assert dict(out.dtypes) == {"a.b": "bigint", "c`d": "string", "n": "int"}
+    assert (out.count(), seen.value) == (50, 50)
+    assert stored_with_types(spark.range(3), f"{tmp_path}/u").dtypes == [("id", "bigint")]
+
+
+def test_a_run_names_the_day_of_each_table(spark, tmp_path):
+    raw, day = f"{tmp_path}/raw", datetime(2024, 5, 1, 6, tzinfo=timezone.utc)
+
+    def land(table, value, n):
+        write_snapshot(spark.createDataFrame([(value,)], "v STRING"), raw, table, day + timedelta(days=n))
+        return Landed(table, "landed", 1, rows=1)
+
+    tables = ["a", "b", "c"]
+    first = record_run(spark, raw, day, [land("a", "a0", 0), land("b", "b0", 0)], tables)
+    second = record_run(spark, raw, day + timedelta(days=1), [land("a", "a1", 1), Landed("b", "skipped", 3)], tables)
+    # The third day lands b; the second run still reads it at the first day.
+    third = record_run(spark, raw, day + timedelta(days=2), [land("b", "b2", 2)], tables)
+    assert runs(spark, raw) == [first, second, third]
+    assert run_days(spark, raw, first) == {"a": "2024-05-01", "b": "2024-05-01"}
+    assert run_days(spark, raw, second) == {"a": "2024-05-02", "b": "2024-05-01"}
+    assert run_days(spark, raw, third) == {"a": "2024-05-02", "b": "2024-05-03"}
+    # A run that is made up for later sees no day after its own.
+    land("c", "c5", 5)
+    late = record_run(spark, raw, day + timedelta(days=3), [], tables)
+    assert run_days(spark, raw, late) == {"a": "2024-05-02", "b": "2024-05-03"}
+
+
+def test_raw_tables_of_a_run(spark, raw, tmp_path):
+    folder, day = f"{tmp_path}/raw", datetime(2024, 5, 1, 6, tzinfo=timezone.utc)
+    landed = []
+    for name, df in raw().items():
+        write_snapshot(df, folder, name, day)
+        landed.append(Landed(name, "landed", 1, rows=1))
+    name = record_run(spark, folder, day, landed, list(RAW))
+    write_snapshot(raw(sellers=[{"seller_city": "later"}])["sellers"], folder, "sellers", day + timedelta(days=1))
+    assert read_raw(spark, folder)["sellers"].first().seller_city == "later"
+    assert read_raw(spark, folder, f"run:{name}")["sellers"].first().seller_city == "campinas"

@@ -3,11 +3,14 @@ from pathlib import Path
 
 import pytest
 
+from orderloom.plans.marts import fct_orders
+from orderloom.plans.staging import build_staging
 from orderloom.schemas import SILVER
 from orderloom.sources.tables import (
     create_schema,
     create_silver_tables,
     load,
+    load_rows,
     save_table,
     table_location,
     truncate,
@@ -147,3 +150,45 @@ def test_a_folder_of_the_caller_stays(spark, schema, build, tmp_path):
         load(spark, f"{folder}/order_payments", schema, "order_payments")
     assert spark.read.parquet(f"{folder}/order_payments").count() == 1
     assert spark.table(f"{schema}.order_payments").count() == 1
+
+
+def test_files_are_of_one_size_under_skew(spark, conf, tmp_path):
+    """Nearly all rows in one partition: the files of a balanced write are within 2x of each other."""
+    conf(adaptive__advisoryPartitionSizeInBytes="256k", adaptive__coalescePartitions__minPartitionSize="64k")
+    rows = spark.range(0, 400_000, 1, 1).selectExpr("id", "xxhash64(id) AS h").union(
+        spark.range(0, 10, 1, 10).selectExpr("id", "xxhash64(id) AS h")
+    )
+
+    def sizes(name, **kwargs):
+        write_parquet(rows, f"{tmp_path}/{name}", **kwargs)
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == 400_010
+        return sorted(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+
+    skewed, balanced = sizes("skewed"), sizes("balanced", rebalance=True)
+    assert skewed[-1] > 100 * skewed[0]
+    assert len(balanced) > 4 and balanced[-1] < 2 * balanced[0]
+
+
+def test_bucketed_silver_gives_the_order_fact_without_a_shuffle(spark, conf, build, tmp_path):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    items = [{"order_id": f"o{k}", "order_item_id": str(i)} for k in range(40) for i in range(3)]
+    tables = build(
+        orders=[{"order_id": f"o{k}"} for k in range(40)], order_items=items,
+        payments=[{"order_id": f"o{k}"} for k in range(40)], reviews=[{"order_id": f"o{k}"} for k in range(40)],
+    )
+    facts = {}
+    for buckets in (None, 4):
+        name = f"silver_{uuid.uuid4().hex}"
+        create_schema(spark, name)
+        create_silver_tables(spark, name, buckets=buckets)
+        for table in SILVER:
+            for _ in range(2):  # the version of a load keeps the buckets
+                load_rows(tables[table], name, table)
+        staged = build_staging({t: spark.table(f"{name}.{t}") for t in SILVER})
+        fact = fct_orders(*[staged[f"stg_order_{n}"] for n in ("details", "payments", "reviews")], money_scale=4)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        facts[buckets] = (sorted(fact.collect()), "Exchange" in plan)
+    assert facts[None] == (facts[4][0], True)
+    assert not facts[4][1] and len(facts[4][0]) == 40
+    load_rows(tables["order_payments"], name, "order_payments", append=True)
+    assert spark.table(f"{name}.order_payments").count() == 80
