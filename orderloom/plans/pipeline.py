@@ -154,6 +154,7 @@ def run(
     money_scale: int | None = None,
     order_statuses: tuple[str, ...] = ORDER_STATUSES,
     allow_missing: bool = False,
+    set_aside: bool = False,
     raise_on_error: bool = True,
 ) -> Run:
     """All stages in order.
@@ -161,13 +162,13 @@ def run(
     A folder without CSV files ends the run before anything is written. A table that cannot be read
     fails the run unless ``allow_missing``; then its snapshot of the run before is used. Tables the silver layer
     does not read are landed too, with inferred types. Failed tests raise after the marts are built,
-    which stay as they are.
+    which stay as they are. With ``set_aside`` files that cannot be read do not cost their table.
     """
     configure(spark)
     run_ts = run_ts or datetime.now(timezone.utc)
     needed = [layout.raw_name(t) for t in RAW]
     others = set(csv_tables(spark, csv_dir)) - set(needed)
-    landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others)
+    landed = ingest(spark, csv_dir, layout.raw_path, run_ts, infer=others, set_aside=set_aside)
     if not any(r.status == "landed" for r in landed):
         return Run(landed, None)
     if not allow_missing:

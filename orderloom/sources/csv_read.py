@@ -9,6 +9,7 @@ without such fields go through Spark's reader. Both parse by the same rules.
 from __future__ import annotations
 
 import csv
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,21 +28,22 @@ QUOTING = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_malformed
 RECORD_OPTIONS = {**QUOTING, "multiLine": "true"}
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All columns as strings, named by the header; missing-value tokens become NULL.
 
-    A folder may hold files whose headers list the same columns in another order: each file is read
+    The input is a file, a folder or a list of files. A folder may hold files whose headers list the same columns in another order: each file is read
     by its own header. Other columns are an error. A name that repeats gets a number (``a``,
     ``a.1``). A row with fewer fields than the header is filled with NULL; one with more is an
     error, whichever columns are asked for.
     """
-    files = data_files(spark, path)
+    paths = [path] if isinstance(path, str) else list(path)
+    files = [file for p in paths for file in data_files(spark, p)]
     by_header: dict[str, list[str]] = {}
     if len(files) > 1:
         for file in files:
             by_header.setdefault(first_line(spark, file), []).append(file)
     if len(by_header) <= 1:
-        return _read_alike(spark, [path])
+        return _read_alike(spark, paths)
     parts = [_read_alike(spark, group) for group in by_header.values()]
     for part, group in zip(parts, by_header.values(), strict=True):
         if set(part.columns) != set(parts[0].columns):

@@ -6,8 +6,9 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql.types import StringType
 from orderloom.parallel import WORKERS, together
 from orderloom.schemas import RAW
 from orderloom.sources.csv_read import read_csv
-from orderloom.sources.files import child_names, delete_folder, read_text, write_text
+from orderloom.sources.files import child_names, data_files, delete_folder, read_text, write_text
 
 STAMP = "loaded_at"
 DAY = "ingest_date"
@@ -39,13 +40,14 @@ CONTENT_ERRORS = ("USER_RAISED_EXCEPTION", "MALFORMED_CSV_RECORD")
 
 @dataclass(frozen=True)
 class Landed:
-    """Outcome for one table of an ingestion run."""
+    """Outcome for one table of an ingestion run; ``set_aside`` are files left out, and why."""
 
     table: str
     status: str
     attempts: int
     rows: int | None = None
     error: str | None = None
+    set_aside: tuple[tuple[str, str], ...] = ()
 
 
 class MissingTables(Exception):
@@ -71,19 +73,21 @@ def ingest(
     retry_delay: float = 2,
     required: Iterable[str] = (),
     infer: Iterable[str] = (),
-    read: Callable[[SparkSession, str], DataFrame] = read_csv,
+    read: Callable[[SparkSession, str | Sequence[str]], DataFrame] = read_csv,
     workers: int = WORKERS,
+    set_aside: bool = False,
 ) -> list[Landed]:
     """Land every CSV table of a folder as today's snapshot, some at once, and report on each.
 
     A table that fails ``max_retries`` times is skipped and the run goes on; at the end a skipped
     or absent table named in ``required`` raises. Columns stay strings, except in the tables named
-    in ``infer``.
+    in ``infer``. With ``set_aside`` a table whose content cannot be read as a whole is landed from
+    those of its files that can, with the columns that most of them have; the report names the others.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     infer = set(infer)
 
-    def land(table: str, path: str) -> int:
+    def land(table: str, path: str | Sequence[str]) -> int:
         rows = read(spark, path)
         if table not in infer:
             return write_snapshot(rows, raw_path, table, run_ts)
@@ -95,7 +99,18 @@ def ingest(
             delete_folder(spark, landing)
 
     def attempt(table: str, path: str) -> Callable[[], Landed]:
-        return lambda: _with_retries(table, lambda: land(table, path), max_retries, retry_delay)
+        def run() -> Landed:
+            whole = _with_retries(table, lambda: land(table, path), max_retries, retry_delay)
+            files = data_files(spark, path)
+            if not set_aside or whole.status == "landed" or len(files) < 2:
+                return whole
+            good, bad = _sort_out(spark, files, read, workers)
+            if not good or not bad:
+                return whole
+            part = _with_retries(table, lambda: land(table, good), max_retries, retry_delay)
+            return replace(part, set_aside=tuple(sorted(bad.items())))
+
+        return run
 
     tables = csv_tables(spark, csv_dir)
     report = list(together(spark, {t: attempt(t, path) for t, path in tables.items()}, workers).values())
@@ -103,6 +118,41 @@ def ingest(
     return report
 
 
+def _sort_out(
+    spark: SparkSession, files: list[str], read: Callable[[SparkSession, Sequence[str]], DataFrame], workers: int
+) -> tuple[list[str], dict[str, str]]:
+    """Files that can be read and agree on their columns, and the others with what is wrong."""
+
+    def look(file: str) -> Callable[[], frozenset[str] | str]:
+        def run():
+            try:
+                rows = read(spark, [file])
+                rows.write.format("noop").mode("overwrite").save()
+                return frozenset(rows.columns)
+            except Exception as e:  # whatever it is, it concerns this file
+                return _first_line(e)
+
+        return run
+
+    seen = together(spark, {file: look(file) for file in files}, workers)
+    columns = Counter(found for found in seen.values() if not isinstance(found, str))
+    if not columns:
+        return [], {file: str(error) for file, error in seen.items()}
+    # Of two equally frequent sets of columns, that of the first file.
+    usual = columns.most_common(1)[0][0]
+    good = [file for file, found in seen.items() if found == usual]
+    bad = {
+        file: found if isinstance(found, str) else "other columns than most files"
+        for file, found in seen.items()
+        if found != usual
+    }
+    return good, bad
+
+
+def _first_line(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}".splitlines()[0]
+
+
 def missing_tables(report: list[Landed], tables: Iterable[str]) -> list[str]:
     """Those of the tables that were not landed."""
     return sorted(set(tables) - {r.table for r in report if r.status == "landed"})
@@ -122,7 +172,7 @@ def _with_retries(
         try:
             return Landed(table, "landed", attempt, rows=action())
         except Exception as e:  # any failure of one table leaves the others unaffected
-            error = f"{type(e).__name__}: {e}".splitlines()[0]
+            error = _first_line(e)
             if isinstance(e, ValueError) or any(mark in str(e) for mark in CONTENT_ERRORS):
                 break  # malformed content stays malformed
             if attempt < max_retries:

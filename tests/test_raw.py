@@ -273,3 +273,23 @@ def test_raw_tables_of_a_run(spark, raw, tmp_path):
     write_snapshot(raw(sellers=[{"seller_city": "later"}])["sellers"], folder, "sellers", day + timedelta(days=1))
     assert read_raw(spark, folder)["sellers"].first().seller_city == "later"
     assert read_raw(spark, folder, f"run:{name}")["sellers"].first().seller_city == "campinas"
+
+
+def test_a_bad_file_does_not_cost_its_table(spark, tmp_path):
+    folder = tmp_path / "csv" / "t.csv"
+    folder.mkdir(parents=True)
+    contents = {
+        "1": "id,v\n1,a\n", "2": "v,id\nb,2\n", "3": "id,v\n3,c,surplus\n", "4": 'id,v\n4,"open\n',
+        "5": "id,other\n5,e\n", "6": "id,v\n6,f\n",
+    }
+    for name, text in contents.items():
+        (folder / f"{name}.csv").write_text(text)
+    csv, raw = f"{tmp_path}/csv", f"{tmp_path}/raw"
+    assert [r.status for r in ingest(spark, csv, raw, DAY_1, retry_delay=0)] == ["skipped"]
+    (report,) = ingest(spark, csv, raw, DAY_1, required=["t"], retry_delay=0, set_aside=True)
+    assert (report.status, report.rows) == ("landed", 3)
+    assert [file.rsplit("/", 1)[1] for file, _ in report.set_aside] == ["3.csv", "4.csv", "5.csv"]
+    errors = dict(report.set_aside)
+    for name, mark in [("3", "more fields"), ("4", "without end"), ("5", "other columns")]:
+        assert any(mark in e for f, e in errors.items() if f.endswith(f"{name}.csv"))
+    assert {(r.id, r.v) for r in read_snapshot(spark, raw, "t").collect()} == {("1", "a"), ("2", "b"), ("6", "f")}
