@@ -116,6 +116,15 @@ def groups_of(total: int, each: int) -> int:
     return max(1, math.ceil(total / each))
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots and quotes."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [named(c) for c in df.columns]
+
+
 def fresh(df: DataFrame, *stems: str) -> list[str]:
     """Names that no column of ``df`` has."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import checked_broadcast, components, groups_of, numbered, saved
+from orderloom.llm.common import checked_broadcast, columns_of, components, groups_of, numbered, saved
 from orderloom.llm.hashing import mix, shingle_hashes, word_hashes
 
 # Hashed counts: slices of counts, each summed up by one group.
@@ -401,4 +401,4 @@ def distinct_documents(
     found = join(rows, id_col=row, text_col=text_col, width=width, num=num, den=den)
     gone = saved(found.where("component_id <> doc_id").select(F.col("doc_id").alias(row)), "copies")
     few = checked_broadcast(gone, gone.count(), BROADCAST_ROWS)
-    return rows.join(few, row, "left_anti").select(docs.columns)
+    return rows.join(few, row, "left_anti").select(*columns_of(docs))

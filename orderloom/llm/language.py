@@ -9,6 +9,7 @@ word and its two boundaries, so a word's count is worked out once per task.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -155,18 +156,21 @@ def learn_samples(
 ) -> dict[str, str]:
     """Up to ``sample`` characters per language, from documents in the order of a seeded hash.
 
-    Documents count once a language's share by that hash is met; the share is set from the counts
-    of all documents, so that about four times the sample reaches the driver.
+    The hash is of id and text, so rows without an id are told apart; rows that agree in both count
+    once. Documents count where it is below the language's share, which is set from the counts of all
+    documents so that about four times the sample reaches the driver. Of a long text only a stretch at
+    a seeded place counts: a sixteenth of the sample, more only where a language has few texts.
     """
     train = docs.where(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col, 3, 1)
     ).select(
         F.col(lang_col).alias("lang"),
         F.col(text_col).alias("text"),
-        (F.xxhash64(F.col(id_col), F.lit(seed)) / F.lit(2.0**64) + 0.5).alias("at"),
+        (F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)) / F.lit(2.0**64) + 0.5).alias("at"),
     )
+    different = train.groupBy("lang", "at").agg(F.max(F.length("text")).alias("size"))
     sizes = (
-        train.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("n"))
+        different.groupBy("lang").agg(F.sum("size").alias("chars"), F.count("*").alias("n"))
         .limit(MAX_LANGUAGES + 1).collect()
     )
     if len(sizes) > MAX_LANGUAGES:
@@ -174,19 +178,28 @@ def learn_samples(
     if not sizes:
         return {}
     sample = min(sample, max(1_000, ALL_SAMPLES // len(sizes)))
-    shares = docs.sparkSession.createDataFrame(
-        [(r["lang"], max(4 * sample / max(1, r["chars"]), 32 / r["n"])) for r in sizes],
-        "lang string, share double",
-    )
+    plans = []
+    for r in sizes:
+        share = min(1.0, max(4 * sample / max(1, r["chars"]), 32 / r["n"]))
+        stretch = max(sample // 16, math.ceil(2 * sample / max(1, r["n"] * share)))
+        plans.append((r["lang"], share, stretch))
+    plans = docs.sparkSession.createDataFrame(plans, "lang string, share double, stretch int")
+    begin = F.pmod(F.xxhash64("at", F.lit(seed)), F.greatest(F.lit(1), F.length("text") - F.col("stretch")))
     rows = (
-        train.join(F.broadcast(shares), "lang")
-        .where(F.col("at") < F.col("share"))
-        .select("lang", "at", F.substring("text", 1, 2 * sample).alias("text"))
+        train.join(F.broadcast(plans), "lang")
+        .where(F.col("at") <= F.col("share"))
+        .select(
+            "lang", "at", (F.length("text") > F.col("stretch")).alias("cut"),
+            F.substr("text", begin.cast("int") + 1, F.col("stretch")).alias("text"),
+        )
+        .dropDuplicates(["lang", "at"])
         .collect()
-    )
+    )
     by: dict[str, list] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["at"], r["text"])):
-        by.setdefault(row["lang"], []).append(row["text"])
+        # The words at the ends of a stretch may be cut.
+        text = row["text"].partition(" ")[2].rpartition(" ")[0] if row["cut"] else row["text"]
+        by.setdefault(row["lang"], []).append(text or row["text"])
     samples = {k: sample_text(v, sample) for k, v in by.items()}
     return {k: v for k, v in samples.items() if v.strip()}
 
@@ -202,8 +215,7 @@ def identify(
     1. Null texts and texts without a letter are ``und`` with score 0, as is everything if nothing
     could be learned. Null languages teach nothing; null ids are never held out; repeated rows are
     each returned; an empty table gives no rows; other columns are ignored. Models are fitted on at
-    most ``sample`` characters per language (4 million for all), of which a long document gives at
-    most twice that; predictions use whole texts.
+    most ``sample`` characters per language (4 million for all); predictions use whole texts.
     """
     spark = docs.sparkSession
     samples = learn_samples(

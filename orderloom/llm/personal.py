@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderloom.llm.common import fresh, let, numbered, saved
+from orderloom.llm.common import columns_of, fresh, let, numbered, saved
 
 # Kinds in the order of the result; spans that start together are listed in this order.
 KINDS = ["email", "ip", "card", "phone", "national_id"]
@@ -395,4 +395,4 @@ def mask(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         return F.concat(F.array_join(parts, ""), rest)
 
     masked = F.when(F.col(cover).isNull(), F.col(text_col)).otherwise(pieces(F.col(cover)))
-    return rows.join(merged, row, "left").withColumn(text_col, masked).select(docs.columns)
+    return rows.join(merged, row, "left").withColumn(text_col, masked).select(*columns_of(docs))

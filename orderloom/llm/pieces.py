@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.llm.common import named
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 START = -2
@@ -410,27 +412,27 @@ def encode_documents(
 
     ``round_trip`` says whether decoding gives the text again; it is false only where the text has
     the space mark itself, which decodes as a space. A null or empty text has no ids and round trip
-    true. Columns named like the results are replaced. The vocabulary (bounded by its file) is read
+    true. Null ids and repeated rows are rows like others, a text is taken whole however long it is,
+    and an empty table gives no rows. Columns named like the results, in any case, are replaced. The vocabulary (bounded by its file) is read
     by the driver and sent to the tasks; rows are independent, so nothing is shuffled.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.load(vocabulary))
-    kept = [f for f in docs.schema.fields if f.name not in (out, "n_pieces", "round_trip")]
-    names = [f.name for f in kept]
-    schema = T.StructType(
-        [
-            *kept,
-            T.StructField(out, T.ArrayType(T.IntegerType(), False)),
-            T.StructField("n_pieces", T.LongType()),
-            T.StructField("round_trip", T.BooleanType()),
-        ]
-    )
+    # Spark takes names that differ in case alone for one.
+    results = {name.lower() for name in (out, "n_pieces", "round_trip")}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in results]
+    names = [*[f.name for f in kept], out, "n_pieces", "round_trip"]
+    # On the way the columns have plain names: Spark's Arrow functions take no others.
+    plain = [f"c{k}" for k in range(len(names))]
+    kinds = [f.dataType for f in kept]
+    kinds += [T.ArrayType(T.IntegerType(), False), T.LongType(), T.BooleanType()]
+    schema = T.StructType([T.StructField(*field) for field in zip(plain, kinds, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         encoder = encoder_of(words, vocabulary)
         for batch in batches:
-            whole = batch.column(batch.schema.get_field_index("__text"))
+            whole = batch.column(len(kept))
             # Texts are taken from the batch a group at a time.
             sizes = pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // GROUP)) + 1
@@ -441,21 +443,25 @@ def encode_documents(
                     decode(words, ids[a:b].tolist()) == (t or "")
                     for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True)
                 ]
-                columns = [batch.column(n).slice(start, stop - start) for n in names]
+                columns = [batch.column(k).slice(start, stop - start) for k in range(len(kept))]
                 columns += [
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(same, pa.bool_()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, [*names, out, "n_pieces", "round_trip"])
+                yield pa.RecordBatch.from_arrays(columns, plain)
 
-    return docs.select(*names, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    given = [named(f.name).alias(name) for f, name in zip(kept, plain, strict=False)]
+    return docs.select(*given, named(text_col).alias("text")).mapInArrow(run, schema).toDF(*names)
 
 
 def decode_documents(
     docs: DataFrame, *, ids_col: str = "piece_ids", vocabulary: str = VOCABULARY, out: str = "text"
 ) -> DataFrame:
-    """All columns of ``docs`` with ``out``: the text of the ids; null for null, empty for none."""
+    """All columns of ``docs`` with ``out``: the text of the ids; null for null, empty for none.
+
+    A column named like ``out`` is replaced; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary))
 
     @F.pandas_udf("string")

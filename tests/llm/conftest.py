@@ -7,7 +7,8 @@ from orderloom.llm.common import table
 CLASHING = (
     "score string, size string, taken string, times string, fingerprint string, codes string, "
     "set_id string, root string, node string, row string, _row string, _ids string, proposed string, "
-    "piece_ids string, n_pieces string, block string, held_out string, _statistics string, part string"
+    "Piece_Ids string, n_pieces string, block string, held_out string, _statistics string, part string, "
+    "`a.b` string, __text string, word string, rank string"
 )
 COLUMNS = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
 

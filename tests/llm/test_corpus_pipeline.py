@@ -66,7 +66,10 @@ def test_odd_rows_pass_all_stages(spark, make, odd_rows):
         docs = stage(spark, docs, SF)
         assert docs.columns == make(odd_rows).columns, name
         docs = spark.createDataFrame(docs.collect(), docs.schema)
-    assert cp.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+    last = cp.STAGES[-1][1](spark, docs, SF)
+    assert {"a.b", "__text", "piece_ids"} < set(last.columns) and "Piece_Ids" not in last.columns
+    rows = last.select("piece_ids", "`a.b`", "__text").collect()
+    assert len(rows) == docs.count() and {(r["a.b"], r["__text"]) for r in rows} == {("x", "x")}
 
 
 @pytest.mark.parametrize("k", range(5))

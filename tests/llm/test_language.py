@@ -81,3 +81,30 @@ def test_odd_rows(make, odd_rows):
 
 def test_signs_are_no_letters():
     assert language.letters("²Ⅷ") == "" and language.letters("a²b") == "ab"
+
+
+def test_rows_without_ids_teach(spark):
+    """Hundreds of different texts without ids, and copies of one text, in two languages."""
+    rng = random.Random(9)
+    rows = []
+    for lang, kinds in (("aa", "abcab"), ("bb", "bcddc")):
+        texts = [" ".join("".join(rng.choice(kinds) for _ in range(6)) for _ in range(40)) for _ in range(300)]
+        rows += [(None, t, lang) for t in texts + [texts[0]] * 500]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language.learn_samples(df, id_col="doc_id", text_col="text", lang_col="lang", sample=2_000, seed=5)
+    assert {lang: len(s) > 1_500 for lang, s in samples.items()} == {"aa": True, "bb": True}
+    # Copies of one text count once: the sample is not that text over and over.
+    assert all(s.count(s[1:80]) == 1 for s in samples.values())
+    got = language.identify(df).toPandas()
+    assert sorted(got["lang_pred"].value_counts().items()) == [("aa", 800), ("bb", 800)]
+
+
+def test_long_texts_give_a_stretch_from_anywhere(spark):
+    """The start of every text is in one alphabet, the rest in another: the sample has the rest."""
+    rows = [(k, "qqq " * 300 + f"w{'xyz'[k % 3]}v " * 5_000, "aa") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (sample,) = language.learn_samples(
+        df, id_col="doc_id", text_col="text", lang_col="lang", sample=4_000, seed=5
+    ).values()
+    assert len(sample) > 3_900 and sample.count("v ") > 0.8 * sample.count(" ")
+    assert {w for w in sample.split() if "w" in w} == {"wxv", "wyv", "wzv"}
