@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from fractions import Fraction
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -19,8 +19,6 @@ from orderloom.llm.common import SPACE, fresh, let, saved
 TABLE_WORDS = 1 << 15
 # Documents of one source and length are ranked in so many parts, so no length is one task's work.
 SALTS = 64
-# Sources are listed on the driver; more of them than this are refused.
-MAX_SOURCES = 100_000
 
 
 def n_words(text):
@@ -34,30 +32,67 @@ def n_words(text):
     return let(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}", ""), count)
 
 
-def targets(
-    sizes: Sequence[tuple[str | None, int]], weights: Sequence[int], most: int
-) -> dict[str | None, Fraction]:
-    """Target words per source.
+def source_targets(words: DataFrame, key: str, weights: Sequence[int], most: int) -> DataFrame:
+    """What the mix takes from each source: ``key, source_size, target, copies, budget``.
 
-    Sources by code point, null last, share all words by the weights, repeated in turn. A target
-    stops at ``most`` times its source's size; the excess is shared again by weight among the
-    others until no target is above. A source without words gets 0.
+    ``words`` has ``key`` (empty for null) and ``words`` of every source. Sources by code point, null
+    last, share all words by the weights, repeated in turn. A target stops at ``most`` times its
+    source's size; the excess is shared again by weight among the others until no target is above. A
+    source without words gets 0. A target is so many whole copies of its source, and a budget of words.
+
+    Sources are ranked by a sort and shared out by sums; these alone reach the driver, and the number
+    of rows per sorted partition.
     """
-    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
-    size = dict(order)
-    left, open_, out = Fraction(sum(size.values())), set(size), {}
-    while open_:
-        total = sum(weight[s] for s in open_)
-        over = [s for s in open_ if left * weight[s] > most * size[s] * total]
-        if not over:
-            out |= {s: left * weight[s] / total for s in open_}
+    spark = words.sparkSession
+    place, part, offset = fresh(words, "place", "part", "offset")
+    rows = saved(
+        words.orderBy(F.col(key) == "", key).withColumn(place, F.monotonically_increasing_id()), "sources"
+    )
+    # An id is the partition and the place in it.
+    rows = rows.withColumn(part, F.shiftright(place, 33)).withColumn(place, F.col(place).bitwiseAND(2**33 - 1))
+    before, offsets = 0, []
+    for row in rows.groupBy(part).count().orderBy(part).collect():
+        offsets.append((row[0], before))
+        before += row["count"]
+    offsets = spark.createDataFrame(offsets, f"`{part}` long, `{offset}` long")
+    turn = ((F.col(place) + F.col(offset)) % len(weights) + 1).cast("int")
+    rows = rows.join(F.broadcast(offsets), part).select(
+        key, F.col("words").alias("source_size"),
+        F.element_at(F.array(*[F.lit(w) for w in weights]), turn).cast("decimal(19,0)").alias("weight"),
+    )
+    rows = saved(rows, "weights")
+    size = F.col("source_size").cast("decimal(19,0)")
+
+    def stops(left: int, open_weight: int) -> Column:
+        """Whether a source's share would exceed its limit, in whole numbers."""
+        return size * most * F.lit(Decimal(open_weight)) < F.lit(Decimal(left)) * F.col("weight")
+
+    total, every_weight = (int(v or 0) for v in rows.agg(F.sum("source_size"), F.sum("weight")).first())
+    left, open_weight = total, every_weight
+    while open_weight:
+        # The share per weight only grows, so what has stopped stays stopped.
+        taken, stopped = rows.where(stops(left, open_weight)).agg(F.sum(size), F.sum("weight")).first()
+        now = (total - most * int(taken or 0), every_weight - int(stopped or 0))
+        if now == (left, open_weight):
             break
-        for s in over:
-            out[s] = Fraction(most * size[s])
-            open_.discard(s)
-        left -= sum(out[s] for s in over)
-    return out
+        left, open_weight = now
+    share = F.lit(Decimal(left)) * F.col("weight")
+    whole = F.lit(Decimal(max(open_weight, 1)))
+    is_stopped = stops(left, open_weight) if open_weight else F.lit(True)
+    fits = [(share >= F.lit(Decimal(k)) * size * whole).cast("int") for k in range(1, most + 1)]
+    copies = F.when(size == 0, 0).when(is_stopped, most).otherwise(sum(fits[1:], fits[0]))
+    rows = rows.withColumn("copies", copies.cast("long"))
+    # Halves of the words that are left go to the even number.
+    rest = share - (F.col("copies").cast("decimal(19,0)") * size).cast("decimal(28,0)") * whole
+    down, twice = (rest - rest % whole) / whole, rest % whole * 2
+    up = (twice > whole) | ((twice == whole) & (down % 2 == 1))
+    return rows.select(
+        key, "source_size",
+        F.when(is_stopped, (size * most).cast("double"))
+        .otherwise(share.cast("double") / whole.cast("double")).alias("target"),
+        "copies",
+        F.when(is_stopped | (size == 0), 0).otherwise(down + up.cast("int")).cast("long").alias("budget"),
+    )
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -156,10 +191,9 @@ def mix(
     id, source and size, any may be chosen); an empty table gives an empty result. Given columns
     named like the results are replaced.
 
-    Only one row per source reaches the driver. A source's counts per length go to one task: as
-    many rows as it has different lengths, not documents.
+    Targets are worked out by sums over the sources, of which there may be any number. A source's counts
+    per length go to one task: as many rows as it has different lengths, not documents.
     """
-    spark = docs.sparkSession
     results = ("size", "source_size", "target", "taken", "times")
     carry = [c for c in carry if c not in (*results, id_col)]
     key, salt, rank_hash, count, before, at = fresh(
@@ -170,30 +204,16 @@ def mix(
         *carry,
         n_words(F.col(text_col)).alias("size"),
         F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias(key),
-        F.xxhash64(F.col(id_col), F.lit(seed)).alias(rank_hash),
+        # Rows without an id are told apart by their text.
+        F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col), F.lit(seed)))
+        .otherwise(F.xxhash64(F.col(text_col), F.lit(seed))).alias(rank_hash),
     ).withColumn(salt, F.pmod(rank_hash, F.lit(SALTS)))
     # Texts are read once, or once more where columns are carried along.
     if not carry:
         sized = saved(sized, "sizes")
     counts = saved(sized.groupBy(key, "size", salt).agg(F.count(F.lit(1)).alias(count)), "counts")
     per_source = counts.groupBy(key).agg(F.sum(F.col("size") * F.col(count)).alias("words"))
-    rows = per_source.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
-    sizes = [(r[0][1:] if r[0] else None, r[1]) for r in rows]
-    goals = targets(sizes, weights, most)
-    full, budget = {}, {}
-    for source, words in sizes:
-        copies = int(goals[source] // words) if words else 0
-        full[source] = copies
-        budget[source] = round(goals[source] - copies * words) if words else 0
-    summary = spark.createDataFrame(
-        [
-            ("" if s is None else f"={s}", w, float(goals[s]), full[s], budget[s])
-            for s, w in sizes
-        ],
-        f"`{key}` string, source_size long, target double, copies long, budget long",
-    )
+    summary = saved(source_targets(per_source, key, weights, most), "targets")
 
     def choose(group: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(frames))
@@ -202,7 +222,7 @@ def mix(
 
     per_length = counts.groupBy(key, "size").agg(F.sum(count).alias("n"))
     chosen = (
-        per_length.join(F.broadcast(summary), key)
+        per_length.join(summary, key)
         .groupBy(key)
         .applyInPandas(choose, T.StructType.fromDDL("source string, size long, chosen long"))
         .withColumnRenamed("source", key)
@@ -213,7 +233,7 @@ def mix(
             Window.partitionBy(key, "size").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
         ),
     ).join(chosen, [key, "size"])
-    quotas = quotas.join(F.broadcast(summary), key).select(
+    quotas = quotas.join(summary, key).select(
         key, "size", salt, F.coalesce(before, F.lit(0)).alias(before), "chosen", "source_size",
         "target", "copies",
     )

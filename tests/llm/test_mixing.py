@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from collections.abc import Sequence
 from fractions import Fraction
 
 import numpy as np
@@ -10,6 +11,32 @@ from hypothesis import strategies as st
 from orderloom.llm import mixing
 
 
+def targets(
+    sizes: Sequence[tuple[str | None, int]], weights: Sequence[int], most: int
+) -> dict[str | None, Fraction]:
+    """Target words per source.
+
+    Sources by code point, null last, share all words by the weights, repeated in turn. A target
+    stops at ``most`` times its source's size; the excess is shared again by weight among the
+    others until no target is above. A source without words gets 0.
+    """
+    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
+    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
+    size = dict(order)
+    left, open_, out = Fraction(sum(size.values())), set(size), {}
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = [s for s in open_ if left * weight[s] > most * size[s] * total]
+        if not over:
+            out |= {s: left * weight[s] / total for s in open_}
+            break
+        for s in over:
+            out[s] = Fraction(most * size[s])
+            open_.discard(s)
+        left -= sum(out[s] for s in over)
+    return out
+
+
 def size(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
@@ -65,17 +92,35 @@ def test_fit_above_the_table_is_the_best_below_the_budget(groups, budget):
 
 def test_targets_stop_at_three_times_the_size():
     sizes = [("b", 10), ("a", 1000), (None, 5)]
-    goals = mixing.targets(sizes, (1, 2, 3), 3)
+    goals = targets(sizes, (1, 2, 3), 3)
     assert goals == {"b": 30, None: 15, "a": Fraction(970)}
-    assert mixing.targets([("a", 0), (None, 0)], (1, 2, 3), 3) == {"a": 0, None: 0}
-    assert mixing.targets([], (1,), 3) == {}
+    assert targets([("a", 0), (None, 0)], (1, 2, 3), 3) == {"a": 0, None: 0}
+    assert targets([], (1,), 3) == {}
+
+
+def test_targets_by_sums_as_one_by_one(spark):
+    rng = random.Random(12)
+    for n, weights in [(0, (1, 2)), (1, (1,)), (40, (1, 2, 3)), (500, (1, 2, 3)), (60, (5, 1))]:
+        names = [None, *{"".join(rng.choice("aZé😀\u0000") for _ in range(rng.randint(0, 6))) for _ in range(n)}]
+        sizes = [(s, rng.choice([0, 1, 7, rng.randint(0, 50), 10 ** rng.randint(0, 13)])) for s in names[: n or 0]]
+        goals = targets(sizes, weights, 3)
+        rows = [("" if s is None else f"={s}", w) for s, w in sizes]
+        frame = spark.createDataFrame(rows, "key string, words long").repartition(5)
+        found = {r["key"]: r for r in mixing.source_targets(frame, "key", weights, 3).collect()}
+        assert len(found) == len(rows)
+        for (source, words), (key, _) in zip(sizes, rows, strict=True):
+            goal, row = goals[source], found[key]
+            copies = int(goal // words) if words else 0
+            assert (row["source_size"], row["copies"]) == (words, copies), source
+            assert row["budget"] == (round(goal - copies * words) if words else 0)
+            assert abs(row["target"] - float(goal)) <= 1e-12 * float(goal)
 
 
 def check(rows, out):
     sizes = defaultdict(int)
     for _, text, _, source in rows:
         sizes[source] += size(text)
-    goals = mixing.targets(list(sizes.items()), (1, 2, 3), 3)
+    goals = targets(list(sizes.items()), (1, 2, 3), 3)
     source_of = defaultdict(set)
     for i, text, _, source in rows:
         source_of[i, size(text)].add(source)
