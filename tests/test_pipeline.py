@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 import pytest
 
-from conftest import DEFAULTS
+from default_rows import DEFAULTS
 from orderloom.operators.expectations import ExpectationsFailed
 from orderloom.parallel import together
 from orderloom.plans import pipeline
