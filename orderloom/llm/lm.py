@@ -203,19 +203,19 @@ class Automaton:
         parts = -(-block.sizes // WALK)
         text = np.repeat(np.arange(len(parts)), parts)
         index = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = block.starts[text] + index * WALK
-        stop = np.minimum(begin + WALK, block.starts[text] + block.sizes[text])
-        begin = begin - np.where(index > 0, warm, 0)
+        lead = np.minimum(warm, index * WALK)
+        begin = block.starts[text] + index * WALK - lead
+        stop = np.minimum(begin + lead + WALK, block.starts[text] + block.sizes[text])
         by_size = np.argsort(begin - stop, kind="stable")
-        text, begin, stop, index = (x[by_size] for x in (text, begin, stop, index))
+        text, begin, stop, lead = (x[by_size] for x in (text, begin, stop, lead))
         sizes = stop - begin
         # Texts begin in the state of their start, which is one token long.
-        state = np.where(index > 0, 0, min(1, warm))
+        state = np.where(block.before[begin] > 0, 0, min(1, warm))
         total = np.zeros(len(text))
         for step in range(int(sizes.max(initial=0))):
             active = int(np.searchsorted(-sizes, -step, side="left"))
             weight, state[:active] = self.read(begin[:active] + step, state[:active])
-            total[:active] += weight if step >= warm else np.where(index[:active] > 0, 0, weight)
+            total[:active] += weight if step >= warm else np.where(lead[:active] > step, 0, weight)
         return np.bincount(text, total, len(block.sizes))
 
 

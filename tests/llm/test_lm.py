@@ -106,12 +106,18 @@ def test_order_below_one(documents):
         lm.score_documents(documents, order=0)
 
 
-def test_long_texts_are_walked_in_parts(make, odd_rows, small_docs, monkeypatch):
+def test_long_texts_are_walked_in_parts(odd_rows, small_docs, monkeypatch):
     """The parts of a text add up to the whole walk, however short they are."""
-    rows = odd_rows[-40:] + small_docs[:40]
-    for walk in (1, 2, 7):
-        monkeypatch.setattr(lm, "WALK", walk)
-        agree(lm.score_documents(make(rows)), rows)
+    texts = [r[1] or "" for r in odd_rows[-40:] + small_docs[:40]] + ["a b c a b"] * 9
+    for order in (1, 2, 3, 5):
+        block = lm._Block(texts, order, 0)
+        totals = block.counts(np.arange(len(texts)) % 3 > 0)
+        auto = lm.Automaton(block, totals, int(totals[0].sum()), int((totals[0] > 0).sum()), 20.0)
+        monkeypatch.setattr(lm, "WALK", 1 << 30)
+        whole = auto.walk()
+        for walk in (1, 2, 7):
+            monkeypatch.setattr(lm, "WALK", walk)
+            assert np.allclose(auto.walk(), whole)
 
 
 def test_one_long_text_among_many(make):
