@@ -4,10 +4,16 @@ For unit vectors cosine >= c means a squared distance of at most 2 - 2c. A fixed
 spreads it evenly over the coordinates; these are cut into blocks, and each block gets its share of
 the budget. If two vectors are near, then at least one block is within its share. So every block is
 joined by range alone (a grid over its first coordinates, whose cells are as wide as the range) and
-the union of what is found is verified with the exact cosine.
+the union of what is found is verified.
 
-Equal vectors are one node with a count, so copies give no pairs. Cells with many rows are dealt
-out as pairs of parts, so no cell is gathered whole.
+- **Pairs are no rows.** Rotated coordinates travel as whole numbers, so every task works out the
+  same distances. A pair belongs to the first block that finds it, and is verified there: what a
+  task returns is how many links each of its vectors has, and a forest that joins what they join.
+  Only pairs whose cosine the whole numbers cannot tell from the threshold (about one in a thousand
+  near it) leave as rows, and get their exact cosine in double precision.
+- **Copies.** Equal vectors are one node with a count.
+- **Hot cells.** Cells with many rows are dealt out as pairs of parts, each part pair a group of its
+  own, so no cell is gathered whole.
 """
 
 from __future__ import annotations
@@ -21,15 +27,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import components, saved
+from orderloom.llm.common import checked_broadcast, components, saved
 from orderloom.llm.hashing import mix
 
 WIDTH = 8
 # A grid has so many coordinates that a cell of an even spread has about so many members.
 MEMBERS, CELLS_PER_AXIS = 1_024, 7
+BROADCAST_ROWS = 1_000_000
 # Rows of a cell above which it is split into parts of this size.
 PART = 1_500
-SLACK = 1e-6
+# Coordinates are whole numbers of this unit: sums of their squares are exact in doubles.
+SCALE = 1 << 22
+# Coordinates of pairs whose distances are worked out at once.
+AT_ONCE = 1 << 21
 
 
 def rotation(size: int) -> np.ndarray:
@@ -55,6 +65,19 @@ def usable(vector: Column) -> Column:
     )
 
 
+def _shares(size: int, budget: float) -> list[tuple[int, int]]:
+    """Start of every block and the whole number that its distances may reach.
+
+    Rounding moves a difference by at most one unit per coordinate.
+    """
+    out = []
+    for start in range(0, size, WIDTH):
+        width = min(WIDTH, size - start)
+        reach = math.sqrt(max(0.0, budget) * width / size) * (1 + 1e-9)
+        out.append((start, math.ceil(reach * SCALE + math.sqrt(width)) + 1))
+    return out
+
+
 def _spread(budget: float, axes: int):
     """Rows for the grid: each vector at home in its cell, and a visitor of half of its neighbours."""
 
@@ -64,14 +87,12 @@ def _spread(budget: float, axes: int):
             for size in sorted(sizes.unique()):
                 part = frame[sizes == size]
                 turned = unit(np.stack(part["vector"].to_numpy()).astype(float)) @ rotation(size)
+                whole = np.rint(turned * SCALE).astype("<i4")
+                packed = [row.tobytes() for row in whole]
                 group = mix(part["group"].to_numpy().astype(np.int64).view(np.uint64))
-                for block, start in enumerate(range(0, size, WIDTH)):
-                    own = turned[:, start : start + WIDTH]
-                    width = own.shape[1]
-                    reach = math.sqrt(budget * width / size)
-                    cells = np.floor(own[:, : min(axes, width)] / reach).astype(np.int64)
-                    coded = own.astype("<f4")
-                    packed = [row.tobytes() for row in coded]
+                for block, (start, reach) in enumerate(_shares(size, budget)):
+                    own = whole[:, start : start + WIDTH].astype(np.int64)
+                    cells = own[:, : min(axes, own.shape[1])] // (reach + 1)
                     for step in itertools.product((-1, 0, 1), repeat=cells.shape[1]):
                         if step < (0,) * len(step):
                             continue
@@ -81,9 +102,11 @@ def _spread(budget: float, axes: int):
                         yield pd.DataFrame(
                             {
                                 "cell": key.view(np.int64),
+                                "group": part["group"].to_numpy(),
+                                "block": block,
                                 "node": part["node"].to_numpy(),
+                                "copies": part["copies"].to_numpy(),
                                 "home": not any(step),
-                                "reach": reach,
                                 "place": packed,
                             }
                         )
@@ -91,44 +114,111 @@ def _spread(budget: float, axes: int):
     return spread
 
 
-def _compare(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a cell's rows (or of two of its parts) that are near in the cell's block."""
-    nodes, home = frame["node"].to_numpy(), frame["home"].to_numpy(dtype=bool)
-    own, i, j = (frame[c].to_numpy() for c in ("own", "i", "j"))
-    width = frame["place"].map(len).to_numpy()
-    found = []
-    for w in np.unique(width):  # other widths only where hashes of cells agree by chance
-        at = np.flatnonzero(width == w)
-        places = np.frombuffer(b"".join(frame["place"].iloc[at]), "<f4").reshape(len(at), -1)
-        half = (places**2).sum(axis=1, keepdims=True) / 2
-        one = np.ones_like(half)
-        # The product of these rows is minus half of the squared distance.
-        left, right = np.hstack([places, -half, one]), np.hstack([places, one, -half])
-        limit = -(float(frame["reach"].iloc[at].max()) ** 2 + SLACK) / 2
-        first, second = (at, at) if i[0] == j[0] else (at[own[at] == i[0]], at[own[at] == j[0]])
-        spot = np.full(len(frame), -1)
-        spot[at] = np.arange(len(at))
-        near = np.flatnonzero((left[spot[first]] @ right[spot[second]].T).ravel() >= limit)
-        a, b = first[near // len(second)], second[near % len(second)]
-        fits = (home[a] | home[b]) & ((a < b) if i[0] == j[0] else True)
-        a, b = nodes[a[fits]], nodes[b[fits]]
-        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b])
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-
-def candidates(nodes: DataFrame, cosine: float) -> DataFrame:
-    """Pairs of nodes (``a < b``) that are near in at least one block."""
+def _owned(places: np.ndarray, a: np.ndarray, b: np.ndarray, shares: list, block: int) -> np.ndarray:
+    """Which pairs, near in a block, are near in no block before it."""
+    out = np.ones(len(a), dtype=bool)
+    starts = [start for start, _ in shares[:block]]
+    if not starts:
+        return out
+    most = np.array([float(reach) ** 2 for _, reach in shares[:block]])
+    end = starts[-1] + WIDTH
+    step = max(1, AT_ONCE // places.shape[1])
+    for at in range(0, len(a), step):
+        gap = places[a[at : at + step], :end] - places[b[at : at + step], :end]
+        out[at : at + step] = (np.add.reduceat(gap * gap, starts, axis=1) > most).all(axis=1)
+    return out
+
+
+def _cosines(places: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.empty(len(a))
+    step = max(1, AT_ONCE // places.shape[1])
+    for at in range(0, len(a), step):
+        products = places[a[at : at + step]] * places[b[at : at + step]]
+        out[at : at + step] = products.sum(axis=1) / float(SCALE) ** 2
+    return out
+
+
+def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The lowest row that each row reaches by pairs."""
+    low = np.arange(n)
+    while True:
+        least = np.minimum(low[a], low[b])
+        now = low.copy()
+        np.minimum.at(now, low[a], least)
+        np.minimum.at(now, low[b], least)
+        now = now[now]
+        if (now == low).all():
+            return low
+        low = now
+
+
+def _tile(tile: pd.DataFrame, budget: float) -> list[pd.DataFrame]:
+    """What a cell, or two of its parts, finds: link counts, forest, and pairs too close to call."""
+    places = np.frombuffer(b"".join(tile["place"]), "<i4").reshape(len(tile), -1).astype(float)
+    size, block = places.shape[1], int(tile["block"].iloc[0])
+    shares = _shares(size, budget)
+    start, reach = shares[block]
+    nodes, copies = tile["node"].to_numpy(), tile["copies"].to_numpy()
+    home, own = tile["home"].to_numpy(dtype=bool), tile["own"].to_numpy()
+    i, j = int(tile["i"].iloc[0]), int(tile["j"].iloc[0])
+    first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    if not len(first) or not len(second):
+        return []
+    spots = places[:, start : start + WIDTH]
+    squares = (spots * spots).sum(axis=1)
+    apart = squares[first][:, None] + squares[second] - 2 * (spots[first] @ spots[second].T)
+    near = np.flatnonzero((apart <= float(reach) ** 2).ravel())
+    a, b = first[near // len(second)], second[near % len(second)]
+    fits = (home[a] | home[b]) & (nodes[a] != nodes[b])
+    if i == j:
+        fits &= a < b
+    a, b = a[fits], b[fits]
+    kept = _owned(places, a, b, shares, block)
+    a, b = a[kept], b[kept]
+    cosine, error = _cosines(places, a, b), 1.01 * math.sqrt(size) / SCALE + 1e-9
+    least = 1 - budget / 2
+    sure, open_ = cosine >= least + error, np.abs(cosine - least) < error
+    out = [pd.DataFrame({"a": nodes[a[open_]], "b": nodes[b[open_]], "linked": -1})]
+    a, b = a[sure], b[sure]
+    if len(a):
+        linked = np.bincount(a, copies[b], len(tile)) + np.bincount(b, copies[a], len(tile))
+        low = _lowest(len(tile), a, b)
+        some = np.flatnonzero(linked)
+        out.append(
+            pd.DataFrame({"a": nodes[some], "b": nodes[low[some]], "linked": linked[some].astype(np.int64)})
+        )
+    return out
+
+
+def _compare(budget: float):
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"a": [], "b": [], "linked": []}).astype("int64")]
+        frame = frame.assign(bytes=frame["place"].map(len))
+        # Where hashes agree by chance, cells of other blocks, labels or lengths are kept apart.
+        for _, tile in frame.groupby(["cell", "i", "j", "group", "block", "bytes"]):
+            if len(tile) > 1:
+                out += _tile(tile, budget)
+        return pd.concat(out, ignore_index=True).astype("int64")
+
+    return compare
+
+
+def found(nodes: DataFrame, cosine: float) -> DataFrame:
+    """What the tiles find: ``a`` has ``linked`` links there and hangs together with ``b``; where
+    ``linked`` is -1, the pair needs its exact cosine."""
+    budget = 2 - 2 * cosine
     most = nodes.groupBy("group").count().agg(F.max("count")).first()[0] or 1
     axes = min(WIDTH, max(1, math.ceil(math.log(max(1, most / MEMBERS), CELLS_PER_AXIS))))
-    rows = nodes.select("node", "group", "vector").mapInPandas(
-        _spread(2 - 2 * cosine, axes),
-        "cell long, node long, home boolean, reach double, place binary",
+    rows = nodes.select("node", "group", "copies", "vector").mapInPandas(
+        _spread(budget, axes),
+        "cell long, group long, block int, node long, copies long, home boolean, place binary",
     )
-    large = (
+    large = saved(
         rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PART)
-        .select("cell", F.ceil(F.col("n") / PART).alias("parts"))
+        .select("cell", F.ceil(F.col("n") / PART).alias("parts")),
+        "cells",
     )
+    large = checked_broadcast(large, large.count(), BROADCAST_ROWS)
     dealt = (
         rows.join(large, "cell", "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -136,8 +226,11 @@ def candidates(nodes: DataFrame, cosine: float) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
+        # One column, so that the tiles of a cell are dealt apart.
+        .withColumn("tile", F.xxhash64("cell", "i", "j"))
+        .drop("other", "parts")
     )
-    return dealt.groupBy("cell", "i", "j").applyInPandas(_compare, "a long, b long").distinct()
+    return dealt.groupBy("tile").applyInPandas(_compare(budget), "a long, b long, linked long")
 
 
 def _exact(cosine: float):
@@ -192,7 +285,8 @@ def near_duplicates(
         .dropDuplicates(["node"]),
         "vectors",
     )
-    pairs = saved(candidates(nodes, cosine), "candidates")
+    tiles = saved(found(nodes, cosine), "tiles")
+    pairs = tiles.where("linked < 0").select("a", "b")
 
     def with_vector(df: DataFrame, column: str, end: str) -> DataFrame:
         return df.join(
@@ -211,8 +305,11 @@ def near_duplicates(
     )
     both = links.union(links.select("b", "a")).toDF("node", "other")
     copies = nodes.select(F.col("node").alias("other"), "copies")
-    linked = both.join(copies, "other").groupBy("node").agg(F.sum("copies").alias("linked"))
-    groups = components(links, "a", "b")
+    late = both.join(copies, "other").select("node", F.col("copies").alias("linked"))
+    sure = tiles.where("linked >= 0")
+    linked = sure.select(F.col("a").alias("node"), "linked").union(late)
+    linked = linked.groupBy("node").agg(F.sum("linked").alias("linked"))
+    groups = components(sure.select("a", "b").union(links), "a", "b")
     named = (
         nodes.select("node", "copies", "first")
         .join(linked, "node", "left")
