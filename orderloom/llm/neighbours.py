@@ -35,7 +35,7 @@ WIDTH = 8
 MEMBERS, CELLS_PER_AXIS = 1_024, 7
 BROADCAST_ROWS = 1_000_000
 # Rows of a cell above which it is split into parts of this size.
-PART = 1_500
+PART = 8_192
 # Coordinates are whole numbers of this unit: sums of their squares are exact in doubles.
 SCALE = 1 << 22
 # Coordinates of pairs whose distances are worked out at once.
@@ -138,9 +138,8 @@ def _cosines(places: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The lowest row that each row reaches by pairs."""
-    low = np.arange(n)
+def _lowest(low: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The lowest row that each row reaches by pairs, and by those that ``low`` comes from."""
     while True:
         least = np.minimum(low[a], low[b])
         now = low.copy()
@@ -166,28 +165,32 @@ def _tile(tile: pd.DataFrame, budget: float) -> list[pd.DataFrame]:
         return []
     spots = places[:, start : start + WIDTH]
     squares = (spots * spots).sum(axis=1)
-    apart = squares[first][:, None] + squares[second] - 2 * (spots[first] @ spots[second].T)
-    near = np.flatnonzero((apart <= float(reach) ** 2).ravel())
-    a, b = first[near // len(second)], second[near % len(second)]
-    fits = (home[a] | home[b]) & (nodes[a] != nodes[b])
-    if i == j:
-        fits &= a < b
-    a, b = a[fits], b[fits]
-    kept = _owned(places, a, b, shares, block)
-    a, b = a[kept], b[kept]
-    cosine, error = _cosines(places, a, b), 1.01 * math.sqrt(size) / SCALE + 1e-9
-    least = 1 - budget / 2
-    sure, open_ = cosine >= least + error, np.abs(cosine - least) < error
-    out = [pd.DataFrame({"a": nodes[a[open_]], "b": nodes[b[open_]], "linked": -1})]
-    a, b = a[sure], b[sure]
-    if len(a):
-        linked = np.bincount(a, copies[b], len(tile)) + np.bincount(b, copies[a], len(tile))
-        low = _lowest(len(tile), a, b)
-        some = np.flatnonzero(linked)
-        out.append(
-            pd.DataFrame({"a": nodes[some], "b": nodes[low[some]], "linked": linked[some].astype(np.int64)})
-        )
-    return out
+    error = 1.01 * math.sqrt(size) / SCALE + 1e-9
+    least, out = 1 - budget / 2, []
+    linked, low = np.zeros(len(tile)), np.arange(len(tile))
+    stripe = max(1, AT_ONCE // len(second))
+    for at in range(0, len(first), stripe):
+        some = first[at : at + stripe]
+        # All whole numbers: the same here and wherever the pair is looked at.
+        apart = squares[some][:, None] + squares[second] - 2 * (spots[some] @ spots[second].T)
+        near = np.flatnonzero((apart <= float(reach) ** 2).ravel())
+        a, b = some[near // len(second)], second[near % len(second)]
+        fits = (home[a] | home[b]) & (nodes[a] != nodes[b])
+        if i == j:
+            fits &= a < b
+        a, b = a[fits], b[fits]
+        kept = _owned(places, a, b, shares, block)
+        a, b = a[kept], b[kept]
+        cosine = _cosines(places, a, b)
+        open_ = np.abs(cosine - least) < error
+        out.append(pd.DataFrame({"a": nodes[a[open_]], "b": nodes[b[open_]], "linked": -1}))
+        sure = cosine >= least + error
+        a, b = a[sure], b[sure]
+        linked += np.bincount(a, copies[b], len(tile)) + np.bincount(b, copies[a], len(tile))
+        low = _lowest(low, a, b)
+    some = np.flatnonzero(linked)
+    counted = {"a": nodes[some], "b": nodes[low[some]], "linked": linked[some].astype(np.int64)}
+    return [*out, pd.DataFrame(counted)]
 
 
 def _compare(budget: float):

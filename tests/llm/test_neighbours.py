@@ -106,6 +106,7 @@ def tiles_of(vectors, cosine, axes=1):
 def test_pairs_are_found_once_at_any_scale(monkeypatch, scale):
     """Coarse whole numbers leave more pairs open; none is lost, none counted by two blocks."""
     monkeypatch.setattr(neighbours, "SCALE", scale)
+    monkeypatch.setattr(neighbours, "AT_ONCE", scale)
     rng = np.random.default_rng(6)
     base = rng.standard_normal((12, 24)).repeat(10, axis=0)
     vectors = base + rng.standard_normal(base.shape) * rng.choice([0.05, 0.13, 0.2], (len(base), 1))
