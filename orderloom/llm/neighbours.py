@@ -34,6 +34,8 @@ WIDTH = 8
 # A grid has so many coordinates that a cell of an even spread has about so many members.
 MEMBERS, CELLS_PER_AXIS = 1_024, 7
 BROADCAST_ROWS = 1_000_000
+# Begins the second half of a vector's hash.
+TWIN = 0x5DEECE66D
 # Rows of a cell above which it is split into parts of this size.
 PART = 8_192
 # Coordinates are whole numbers of this unit: sums of their squares are exact in doubles.
@@ -269,7 +271,7 @@ def near_duplicates(
     repeated rows too; ``component_id`` is the smallest id reachable, the own one included; ``kept``
     says whether it is the own one. Rows without an id link like others but give no component their
     id; they are not kept. An empty table gives no rows; other columns are ignored. Equal vectors
-    are known by a 64-bit hash (among m different ones a mix-up has a chance of m^2 / 2^65).
+    are known by a 128-bit hash (among m different ones a mix-up has a chance of m^2 / 2^129).
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
@@ -278,16 +280,18 @@ def near_duplicates(
     )
     # Zeros of either sign are the same number and must hash alike.
     plain = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
-    rows = rows.withColumn(
-        "node",
-        F.when(F.col("label").isNotNull() & usable(F.col("vector")), F.xxhash64("label", plain)),
+    fine = F.col("label").isNotNull() & usable(F.col("vector"))
+    rows = rows.withColumn("key", F.when(fine, F.xxhash64("label", plain))).withColumn(
+        "twin", F.when(fine, F.xxhash64(F.lit(TWIN), "label", plain))
     )
     nodes = saved(
-        rows.where("node is not null").groupBy("node", F.xxhash64("label").alias("group"), "vector")
+        rows.where("key is not null")
+        .groupBy("key", "twin", F.xxhash64("label").alias("group"), "vector")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first"))
-        .dropDuplicates(["node"]),
+        .dropDuplicates(["key", "twin"])
+        .withColumn("node", F.monotonically_increasing_id()),
         "vectors",
-    )
+    )
     tiles = saved(found(nodes, cosine), "tiles")
     pairs = tiles.where("linked < 0").select("a", "b")
 
@@ -314,17 +318,17 @@ def near_duplicates(
     linked = linked.groupBy("node").agg(F.sum("linked").alias("linked"))
     groups = components(sure.select("a", "b").union(links), "a", "b")
     named = (
-        nodes.select("node", "copies", "first")
+        nodes.select("node", "key", "twin", "copies", "first")
         .join(linked, "node", "left")
         .join(groups, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     named = named.join(least, "root").select(
-        "node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "least"
+        "node", "key", "twin", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "least"
     )
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("least"))
-    return rows.select("vec_id", "node").join(named, "node", "left").select(
+    return rows.select("vec_id", "key", "twin").join(named, ["key", "twin"], "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
