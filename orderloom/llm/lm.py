@@ -83,6 +83,17 @@ def _from_keys(data: bytes, shift: int = 0) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64) << np.uint64(shift)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and each value's place among them, in half of ``np.unique``'s memory."""
+    by_value = np.argsort(values)
+    values = values[by_value]
+    first = np.ones(len(values), dtype=bool)
+    first[1:] = values[1:] != values[:-1]
+    place = np.empty(len(values), dtype=np.int32)
+    place[by_value] = np.cumsum(first, dtype=np.int32) - 1
+    return values[first], place
+
+
 class _Block:
     """Tokens of a block's texts and its distinct n-grams of every length up to ``order``.
 
@@ -100,8 +111,10 @@ class _Block:
         inside = np.ones(len(tokens), dtype=bool)
         inside[stops - 1] = False
         tokens[inside] = words
+        del words, inside, texts
         # How many tokens of the text stand before a token.
-        self.before = np.arange(len(tokens)) - np.repeat(self.starts, self.sizes)
+        self.before = np.arange(len(tokens), dtype=np.int32)
+        self.before -= np.repeat(self.starts.astype(np.int32), self.sizes)
         self.grams, self.at, self.valid = [], [], []
         number = tokens
         for k in range(order):
@@ -114,9 +127,10 @@ class _Block:
             own = number[valid] if k > 1 else number
             if k:
                 own = own >> np.uint64(shift) << np.uint64(shift)
-            grams, place = np.unique(own, return_inverse=True)
+            grams, place = _distinct(own)
             at = np.zeros(len(tokens), dtype=np.int32)
             at[valid] = place
+            del own, place
             self.grams.append(grams)
             self.at.append(at)
             self.valid.append(valid)
@@ -149,16 +163,20 @@ class Automaton:
         end = np.searchsorted(block.grams[0], END)
         self.texts = int(totals[0][end]) if len(block.grams[0]) else 0
         self.start_fails = np.log10(strength / (self.texts + strength))
+        # Only the words' numbers are still needed.
+        block.grams[1:] = [len(grams) for grams in block.grams[1:]]
         for k in range(1, self.order):
             # A place in the block where the n-gram ends tells its context and its shorter form.
-            spot = np.zeros(len(block.grams[k]), dtype=np.int64)
-            where = np.flatnonzero(block.valid[k])
+            spot = np.zeros(block.grams[k], dtype=np.int32)
+            where = np.flatnonzero(block.valid[k]).astype(np.int32)
             spot[block.at[k][where]] = where
+            del where
             context = totals[k - 1][block.at[k - 1][spot - 1]] if len(spot) else totals[k]
             if k == 1:
                 context = np.where(block.before[spot] == 0, self.texts, context)
             lower = estimate[block.at[k - 1][spot]]
             estimate = (totals[k] + strength * lower) / (context + strength)
+            del spot, lower, context
             with np.errstate(divide="ignore"):
                 self.arcs.append(np.where(self.known[k], np.log10(estimate), np.nan))
             self.fails.append(np.log10(strength / (totals[k - 1] + strength)))
@@ -264,17 +282,18 @@ def _answer(order: int, shift: int):
 
 def _score(order: int, shift: int, strength: float, n: int, v: int):
     def score(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block = _Block(docs["text"].tolist(), order, shift)
+        ids, held_out = docs["doc_id"], docs["held_out"]
+        block = _Block(docs.pop("text").tolist(), order, shift)
         answers = answers.sort_values("part")
         totals = [
-            np.concatenate([_from_numbers(x) for x in answers[f"counts{k}"]]) for k in range(order)
+            np.concatenate([_from_numbers(x) for x in answers.pop(f"counts{k}")]) for k in range(order)
         ]
         automaton = Automaton(block, totals, n, v, strength)
         words = block.at[0]
         return pd.DataFrame(
             {
-                "doc_id": docs["doc_id"],
-                "held_out": docs["held_out"],
+                "doc_id": ids,
+                "held_out": held_out,
                 "n_tokens": block.sizes,
                 "n_known": np.add.reduceat((totals[0] > 0)[words].astype(np.int64), block.starts),
                 "train_tokens": n,

@@ -1,10 +1,12 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from orderloom.llm import lm
@@ -181,3 +183,17 @@ def test_longer_contexts_make_held_out_text_likelier(documents):
 
     two, three = held_out_score(2), held_out_score(3)
     assert three > two
+
+
+def test_a_block_is_scored_in_little_memory():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.zipf(1.3, 2000) % 50_000)) for _ in range(100)]
+    docs = pd.DataFrame({"doc_id": [str(i) for i in range(100)], "text": texts, "held_out": False, "block": 0})
+    answers = lm._answer(3, 20)(lm._ask(3, 20, 64)(docs))
+    answers = answers[["block", "part", "counts0", "counts1", "counts2"]]
+    tracemalloc.start()
+    scored = lm._score(3, 20, lm.STRENGTH, 200_000, 50_000)(docs, answers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(scored["n_tokens"]) == [2001] * 100
+    assert peak < 105 * scored["n_tokens"].sum()
