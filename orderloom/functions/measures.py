@@ -33,7 +33,7 @@ def _quoted(name: str) -> str:
 
 
 def split_amounts(df: DataFrame, names: Sequence[str], scale: int | None = None) -> DataFrame:
-    """Add the limbs of these double columns, which ``money_sum`` and ``money_avg`` add up.
+    """Add the limbs of these double columns, which ``money_sum`` adds up.
 
     An amount of ordinary size that is not about half way between two units is rounded as a double;
     the others take the way over a decimal, halves away from zero. Without ``scale`` nothing is added.
@@ -101,9 +101,3 @@ def partial_money_sum(name: str, scale: int | None = None) -> list[Column]:
     value, limbs = _quoted(name), [_quoted(f"_{name}_{end}") for end in ("low", "high")]
     odd = f"sum(CASE WHEN abs({value}) >= double('infinity') THEN {value} END) AS {value}"
     return [F.expr(odd), *[F.expr(f"sum({limb}) AS {limb}") for limb in limbs]]
-
-
-def money_avg(name: str, scale: int | None = None) -> Column:
-    if scale is None:
-        return F.avg(name)
-    return F.try_divide(money_sum(name, scale), F.count(name))

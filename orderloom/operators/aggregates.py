@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.measures import money_avg, money_sum, split_amounts
+from orderloom.functions.measures import money_sum, partial_money_sum, split_amounts
+from orderloom.session import started_partitions
 
 # The attributes that an order or product is grouped by.
 ORDER_ATTRIBUTES = [
@@ -33,6 +34,9 @@ PRODUCT_ATTRIBUTES = [
     "product_width_cm",
 ]
 
+# Parts that the orders of one product are dealt to.
+PRODUCT_PARTS = 8
+
 
 def items_per_order(details: DataFrame, money_scale: int | None = None) -> DataFrame:
     """Item count and values per order.
@@ -71,12 +75,29 @@ def customer_metrics(details: DataFrame, money_scale: int | None = None) -> Data
 
 
 def product_sales(details: DataFrame, money_scale: int | None = None) -> DataFrame:
-    return (
-        split_amounts(details.where(F.col("product_id").isNotNull()), ["price"], money_scale)
-        .groupBy(*PRODUCT_ATTRIBUTES)
+    """Orders, revenue and average price per product with its attributes.
+
+    Rows travel once, as they are: a product has few items of one order, so combining them before the
+    shuffle would save nothing and hold all rows in a hash table. A product's orders go to so many
+    parts that one product is not one task's work; each part counts its own orders.
+    """
+    # A number of partitions of its own keeps AQE from merging them, so hash tables stay small.
+    partitions = started_partitions(details.sparkSession)
+    items = details.where(F.col("product_id").isNotNull()).select(*PRODUCT_ATTRIBUTES, "order_id", "price")
+    part = F.pmod(F.xxhash64("order_id"), F.lit(PRODUCT_PARTS)).alias("_part")
+    dealt = items.select("*", part).repartition(partitions, "product_id", "_part")
+    parts = (
+        split_amounts(dealt, ["price"], money_scale)
+        .groupBy(*PRODUCT_ATTRIBUTES, "_part")
         .agg(
-            F.countDistinct("order_id").alias("times_ordered"),
-            money_sum("price", money_scale).alias("total_revenue"),
-            money_avg("price", money_scale).alias("avg_price"),
+            F.countDistinct("order_id").alias("_orders"),
+            F.count("price").alias("_prices"),
+            *partial_money_sum("price", money_scale),
         )
     )
+    revenue = money_sum("price", money_scale)
+    return parts.groupBy(*PRODUCT_ATTRIBUTES).agg(
+        F.sum("_orders").alias("times_ordered"),
+        revenue.alias("total_revenue"),
+        F.try_divide(revenue, F.sum("_prices")).alias("avg_price"),
+    )

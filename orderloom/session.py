@@ -56,6 +56,12 @@ def shuffle_partitions(input_bytes: int) -> int:
     return max(200, -(-input_bytes // SHUFFLE_PARTITION))
 
 
+def started_partitions(spark: SparkSession) -> int:
+    """Partitions that the session's shuffles begin with."""
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", default))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written intermediate tables, below the cluster's checkpoint folder.
 

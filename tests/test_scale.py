@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom import configure, shuffle_partitions
 from orderloom.parity.queries import CUSTOMER_COLUMNS, ORDER_ITEM_COLUMNS, PRODUCT_COLUMNS
-from orderloom.operators.aggregates import items_per_order
+from orderloom.operators.aggregates import PRODUCT_ATTRIBUTES, items_per_order
 from orderloom.plans import marts
 from orderloom.plans.silver import order_details
 from orderloom.session import scratch_dir
@@ -202,3 +202,28 @@ def test_order_fact_shuffles_the_items_once(spark, hot, small_limits):
     # Items, orders with customers on either side and joined, payments, reviews.
     assert plan.count("Exchange hashpartitioning") == 6
     assert plan.count("Exchange hashpartitioning(order_id#") == 4
+
+
+def test_product_rows_travel_once_before_they_are_counted(hot, small_limits):
+    plan = marts.dim_products(details(hot, PRODUCT_COLUMNS), 4)._jdf.queryExecution().executedPlan().toString()
+    above, dealt, below = plan.partition("REPARTITION_BY_NUM")
+    # Nothing is held in hash tables before the rows are dealt, and only parts of products are after.
+    assert dealt and above.count("Exchange hashpartitioning") == 2
+    assert "order_id" not in above.split("Exchange hashpartitioning")[1].split("\n")[0]
+    assert "HashAggregate(keys=[product_id" not in below
+
+
+def test_product_parts_add_up(spark):
+    names = ["product_id", "order_id", "price", "product_category_name"]
+    rows = [("p1", f"o{k % 50}", 1.0 + k, "a") for k in range(100)]
+    rows += [("p1", None, None, "b"), ("p2", None, 2.5, None), (None, "o1", 1.0, None), ("p3", "o1", float("nan"), None)]
+    items = spark.createDataFrame(rows, "product_id STRING, order_id STRING, price DOUBLE, product_category_name STRING")
+    items = items.withColumns({c: F.lit(None).cast("string") for c in PRODUCT_ATTRIBUTES if c not in names})
+    for scale in (None, 4):
+        found = {(r[0], r[1]): tuple(map(str, r[7:])) for r in marts.dim_products(items, scale).collect()}
+        assert found == {
+            ("p1", "a"): ("50", "5050.0", "50.5"),
+            ("p1", "b"): ("0", "None", "None"),
+            ("p2", None): ("0", "2.5", "2.5"),
+            ("p3", None): ("1", "nan", "nan"),
+        }
