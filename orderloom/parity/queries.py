@@ -18,25 +18,28 @@ from orderloom.functions.measures import days_from, item_value, money_sum, split
 from orderloom.operators import aggregates, joins
 from orderloom.operators.expectations import Expectation, run_suite
 from orderloom.operators.latest import latest_address
-from orderloom.parity.starschema import ORDER_STATUSES, relations
+from orderloom.parity.starschema import ORDER_STATUSES, Relations, relations
 from orderloom.plans import marts, pipeline
 from orderloom.plans.silver import build_silver, order_details, order_payments, order_reviews
 from orderloom.plans.staging import build_staging, stage
 from orderloom.plans.suite import pipeline_suite
 from orderloom.schemas import RAW, schema_of
-from orderloom.session import configure, scratch_dir
+from orderloom.session import configure, scratch_dir, started_partitions
 from orderloom.sources.files import delete_folder
 from orderloom.sources.raw import ingest, missing_tables, read_snapshot, write_snapshot
 from orderloom.sources.tables import (
     create_schema,
     create_silver_tables,
     load,
+    save_bucketed,
     save_table,
     truncate,
     write_parquet,
 )
 
 MONEY_SCALE = 4
+# From so many items on the silver tables are bucketed by order.
+BUCKETED_ITEMS = 1_000_000
 DAY_1 = datetime(2024, 5, 1, 6, tzinfo=timezone.utc)
 DAY_2 = datetime(2024, 5, 2, 6, tzinfo=timezone.utc)
 
@@ -69,8 +72,10 @@ def _raw(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {name: typed(source[name], RAW[name]) for name in names}
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_silver(relations(spark, sf_dir))
+def _buckets(source: Relations) -> int | None:
+    """As many buckets as a shuffle has partitions: then the last join leaves each in one task."""
+    large = source["order_items"].count() >= BUCKETED_ITEMS
+    return started_partitions(source.spark) if large else None
 
 
 def _order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,9 +342,16 @@ def dq_accepted_values(spark, sf_dir):
 def dq_suite(spark, sf_dir):
     """The suite over silver and mart tables that are written first, as in the daily run."""
     folder = scratch_dir(spark, "dq")
-    tables = {}
-    for name, df in _silver(spark, sf_dir).items():
-        tables[name] = _written(df, f"{folder}/{name}")
+    source, tables = relations(spark, sf_dir), {}
+    buckets, schema = _buckets(source), f"dq_{uuid.uuid4().hex}"
+    if buckets:
+        create_schema(spark, schema, f"{folder}/{schema}")
+        _drop_at_exit(spark, schema)
+    for name, df in build_silver(source).items():
+        if buckets:
+            tables[name] = save_bucketed(df, f"{schema}.{name}", f"{folder}/{name}", buckets)
+        else:
+            tables[name] = _written(df, f"{folder}/{name}")
     tables |= build_staging(tables)
     for name, df in marts.build_marts(tables, MONEY_SCALE).items():
         tables[name] = _written(df, f"{folder}/{name}")
@@ -466,9 +478,10 @@ def load_append(spark, sf_dir):
     return _loaded_payments(spark, sf_dir, append=True)
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+def _write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     df.write.csv(
         path,
+        compression=compression,
         header=True,
         escape='"',
         ignoreLeadingWhiteSpace=False,
@@ -599,7 +612,7 @@ def _daily_run(spark, sf_dir):
     # The silver tables hold codes of states, not their names.
     source = relations(spark, sf_dir, state="concat('R', r_regionkey)")
     for name, df in source.items():
-        _write_csv(df, f"{folder}/csv/{name}.csv")
+        _write_csv(df, f"{folder}/csv/{name}.csv", compression="gzip")
     tag = uuid.uuid4().hex
     layout = pipeline.Layout(
         raw_path=f"{folder}/raw",
@@ -608,6 +621,7 @@ def _daily_run(spark, sf_dir):
         staging_schema=f"staging_{tag}",
         marts_schema=f"marts_{tag}",
         schema_root=f"{folder}/schemas",
+        buckets=_buckets(source),
     )
     _drop_at_exit(spark, layout.silver_schema, layout.staging_schema, layout.marts_schema)
     done = pipeline.run(

@@ -12,7 +12,7 @@ from orderloom.operators.expectations import Expectation, raise_on_failure, row_
 from orderloom.parallel import together
 from orderloom.plans.marts import build_marts
 from orderloom.plans.silver import build_silver
-from orderloom.plans.staging import STAGING_SOURCE, view_sql
+from orderloom.plans.staging import STAGING_SOURCE, build_staging, view_sql
 from orderloom.plans.suite import ORDER_STATUSES, pipeline_suite
 from orderloom.schemas import RAW, SILVER
 from orderloom.session import configure
@@ -121,7 +121,8 @@ def build_models(
     for model, source in STAGING_SOURCE.items():
         view = f"{layout.staging_schema}.{model}"
         spark.sql(view_sql(model, view, f"{layout.silver_schema}.{source}"))
-    staging = {m: spark.table(f"{layout.staging_schema}.{m}") for m in STAGING_SOURCE}
+    # The views' own columns, without the casts from VARCHAR of a view, which hide the tables' buckets.
+    staging = build_staging({t: spark.table(f"{layout.silver_schema}.{t}") for t in SILVER})
 
     def write(mart: str, df: DataFrame) -> Callable[[], dict[Expectation, int]]:
         return lambda: save_table(df, layout.marts_schema, mart, row_test_counts(suite, mart))

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # Hot join keys: split the hot partition between tasks, also where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Snapshots, silver tables and marts: a third less is written than with snappy.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 # Shuffles: a partition per so many bytes of input, for sessions that are told the input's size.

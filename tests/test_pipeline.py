@@ -169,3 +169,16 @@ def test_jobs_at_once_end_before_an_error_is_raised(spark):
         together(spark, {n: job(n, n == "b") for n in "abcdef"}, workers=2)
     assert sorted(ended) == list("acdef")
     assert together(spark, {"x": job("x", False)}) == {"x": 10}
+
+
+def test_buckets_reach_the_marts(spark, conf, layout, csv_dir, monkeypatch):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    orders = [{"order_id": f"o{k}"} for k in range(20)]
+    folder = csv_dir(orders=orders, order_items=orders, payments=orders, reviews=orders)
+    built, build = {}, pipeline.build_marts
+    monkeypatch.setattr(pipeline, "build_marts", lambda staging, scale: built.update(m := build(staging, scale)) or m)
+    pipeline.run(spark, folder, replace(layout, buckets=8), DAY_1, money_scale=4, raise_on_error=False)
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in built.items()}
+    assert "Exchange" not in plans["fct_orders"]
+    assert plans["dim_customers"].count("Exchange") == 1
+    assert spark.table(f"{layout.marts_schema}.fct_orders").count() == 20

@@ -9,6 +9,7 @@ from orderloom.operators.aggregates import PRODUCT_ATTRIBUTES, items_per_order
 from orderloom.plans import marts
 from orderloom.plans.silver import order_details
 from orderloom.session import scratch_dir
+from orderloom.sources.tables import save_bucketed
 
 N = 400_000
 KEYS = ("products", "category_translation", "sellers")
@@ -227,3 +228,14 @@ def test_product_parts_add_up(spark):
             ("p2", None): ("0", "2.5", "2.5"),
             ("p3", None): ("1", "nan", "nan"),
         }
+
+
+def test_bucketed_tables_keep_what_a_join_has_dealt(spark, hot, small_limits, conf, tmp_path):
+    conf(shuffle__partitions="32")
+    table = f"bucketed_{tmp_path.name}"
+    joined = details(hot)
+    kept = save_bucketed(joined, table, f"{tmp_path}/{table}", 32)
+    plan = items_per_order(kept, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and kept.count() == joined.count()
+    assert len(list((tmp_path / table).glob("*.parquet"))) <= 64
+    spark.sql(f"DROP TABLE {table}")
