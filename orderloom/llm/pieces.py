@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,9 @@ from orderloom.llm.common import named
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 START = -2
-# Characters per batch text and per group of texts; units kept with their encoding in a task.
-BATCH, GROUP, KEPT = 500_000, 2_000_000, 300_000
+# Characters per batch text and per group of texts; units kept with their encoding in a task, and
+# answers to which piece may follow which.
+BATCH, GROUP, KEPT, FOLLOWS = 250_000, 1_000_000, 150_000, 400_000
 
 
 @dataclass
@@ -126,16 +128,16 @@ class Vocabulary:
 
     def merged(self, text: str) -> list[str]:
         """Merge the best neighbours again and again, the leftmost among equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                score = self.rank.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, k
-            if best is None:
-                break
+        parts, score, none = list(text), self.rank.get, float("-inf")
+        scores = [score(a + b, none) for a, b in pairwise(parts)]
+        while scores and (best := max(scores)) > none:
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
 
@@ -173,41 +175,73 @@ def _model_type(data: bytes) -> int:
 
 
 def suffix_ranks(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order of their first ``depth`` codes, by doubling the compared length."""
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
+    """Suffixes in order of their first ``depth`` codes, and their ranks.
+
+    Each sort compares as many ranks of the sort before as fit into 62 bits.
+    """
+
+    def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(keys)
+        ordered = keys[order]
+        rank = np.empty_like(keys)
+        rank[order] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
+        return order, rank
+
+    order, rank = ranked(codes)
     length = 1
     while length < depth:
-        later = np.zeros_like(rank)
-        later[:-length] = rank[length:]
-        rank = np.unique(rank * (int(rank.max()) + 1) + later, return_inverse=True)[1] + 1
-        length *= 2
-    return np.argsort(rank, kind="stable"), rank
+        bits = int(rank.max()).bit_length()
+        keys, count = rank.copy(), max(2, 62 // bits)
+        for k in range(length, count * length, length):
+            keys <<= bits
+            keys[:-k] |= rank[k:]
+        order, rank = ranked(keys)
+        length *= count
+    return order, rank
 
 
 def occurrences(
     codes: np.ndarray, suffixes: np.ndarray, symbols: np.ndarray, lengths: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The range of suffixes that begin with each symbol, by binary search of all at once."""
+    """The range of suffixes that begin with each symbol, by binary search of all at once.
+
+    The first three codes, which fit into one number, give the ranges that longer symbols begin with.
+    """
+    symbols = np.pad(symbols, ((0, 0), (0, 3))).astype(np.int64)
     width = symbols.shape[1]
-    padded = np.concatenate([codes, np.zeros(width, codes.dtype)])
-    columns = np.arange(width)
-    outside = columns[None, :] >= lengths[:, None]
+    padded = np.concatenate([codes, np.zeros(width, codes.dtype)]).astype(np.int64)
+    heads = padded[:-2] << 42 | padded[1:-1] << 21 | padded[2:]
+    least = symbols[:, 0] << 42 | symbols[:, 1] << 21 | symbols[:, 2]
+    open_end = (1 << 21 * np.maximum(3 - lengths, 0)) - 1
+    heads = heads[suffixes]
+    low = np.searchsorted(heads, least, "left")
+    high = np.searchsorted(heads, least | open_end, "right")
+    longer = np.flatnonzero((lengths > 3) & (low < high))
+    padded, columns = padded.astype(np.int32), np.arange(3, width)
+    rest, outside = symbols[longer, 3:].astype(np.int32), columns >= lengths[longer, None]
 
     def search(after: bool) -> np.ndarray:
-        low = np.zeros(len(symbols), dtype=np.int64)
-        high = np.full(len(symbols), len(suffixes), dtype=np.int64)
-        for _ in range(len(suffixes).bit_length()):
-            open_ = low < high
-            middle = np.minimum((low + high) // 2, len(suffixes) - 1)
-            differ = padded[suffixes[middle][:, None] + columns] - symbols
-            differ[outside] = 0
+        bottom, top = low[longer], high[longer]
+        while len(rows := np.flatnonzero(bottom < top)):
+            middle = (bottom[rows] + top[rows]) // 2
+            differ = padded[suffixes[middle][:, None] + columns] - rest[rows]
+            differ[outside[rows]] = 0
             first = differ[np.arange(len(differ)), (differ != 0).argmax(axis=1)]
             goes_right = (first <= 0) if after else (first < 0)
-            low = np.where(open_ & goes_right, middle + 1, low)
-            high = np.where(open_ & ~goes_right, middle, high)
-        return low
+            bottom[rows[goes_right]] = middle[goes_right] + 1
+            top[rows[~goes_right]] = middle[~goes_right]
+        return bottom
+
+    low[longer], high[longer] = search(False), search(True)
+    return low, high
 
-    return search(False), search(True)
+
+class _Places(dict):
+    """Codes of units; a unit that is new gets the next one."""
+
+    def __missing__(self, unit: str) -> int:
+        code = self[unit] = len(self)
+        return code
 
 
 class Encoder:
@@ -219,39 +253,41 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
+        self.place = _Places()
+        self.flat = np.zeros(0, np.int32)
+        self.sizes = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _ids_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units with these codes one after another, and how many each unit has."""
+        count = self.sizes[codes]
+        ends = np.cumsum(count)
+        begins = (np.cumsum(self.sizes) - self.sizes)[codes]
+        offset = np.arange(int(count.sum())) - np.repeat(ends - count, count)
+        return self.flat[np.repeat(begins, count) + offset], count
 
-    def _keep(self, units: list[str]) -> None:
+    def _keep(self, codes: np.ndarray) -> None:
         """Forget all units but these."""
-        if not self.flat or not units:
-            self._forget()
-            return
-        flat, sizes = np.concatenate(self.flat), np.concatenate(self.sizes)
-        codes = np.array([self.place[u] for u in units], dtype=np.int64)
-        count = sizes[codes]
-        ends = np.cumsum(count)
-        offset = np.arange(int(ends[-1])) - np.repeat(ends - count, count)
-        begins = np.cumsum(sizes) - sizes
-        self.flat = [flat[np.repeat(begins[codes], count) + offset]]
-        self.sizes = [count]
-        self.place = {u: k for k, u in enumerate(units)}
-
-    def _may_follow(self, key: int) -> bool:
-        known = self.follows.get(key)
-        if known is None:
-            v = self.vocabulary
-            last, symbol = divmod(key, len(v.texts) + 1)
-            last -= 1  # 0: the start of a unit; symbols count from 1
-            text = v.texts[symbol - 1] if symbol else ""
-            if last < 0:
-                known = not symbol or v.merged(text) == [text]
-            else:
-                before = v.texts[last]
-                known = not symbol or v.merged(before + text) == [before, text]
-            self.follows[key] = known
-        return known
+        names = list(self.place)
+        self.uses = self.uses[codes] // 2
+        self.flat, self.sizes = self._ids_of(codes)
+        self.place = _Places((names[c], k) for k, c in enumerate(codes.tolist()))
+
+    def _may_follow(self, keys: list[int]) -> np.ndarray:
+        known = np.fromiter(map(self.follows.get, keys, repeat(2)), np.int8, len(keys))
+        for k in np.flatnonzero(known == 2).tolist():
+            known[k] = self.follows[keys[k]] = self._merges_apart(keys[k])
+        return known.astype(bool)
+
+    def _merges_apart(self, key: int) -> bool:
+        v = self.vocabulary
+        last, symbol = divmod(key, len(v.texts) + 1)
+        last -= 1  # 0: the start of a unit; symbols count from 1
+        text = v.texts[symbol - 1] if symbol else ""
+        if last < 0:
+            return not symbol or v.merged(text) == [text]
+        before = v.texts[last]
+        return not symbol or v.merged(before + text) == [before, text]
 
     def _possible(self, codes: np.ndarray) -> np.ndarray:
         """Symbols whose characters, and first two of them in this order, the batch text has."""
@@ -264,9 +300,11 @@ class Encoder:
             fits &= (lengths < 2) | np.isin((symbols[:, 0] + 1) << 21 | (symbols[:, 1] + 1), first)
         return np.flatnonzero(fits)
 
-    def _learn(self, units: list[str]) -> None:
-        """Encode units that are new, as one batch text."""
+    def _learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that are new, taken as one batch text, and how many each unit has."""
         v = self.vocabulary
+        if len(self.follows) > FOLLOWS:
+            self.follows.clear()
         symbols, lengths = v.matrix
         lens = np.array([len(u) for u in units], dtype=np.int64)
         starts = np.concatenate(([0], np.cumsum(lens + 1)[:-1]))
@@ -282,22 +320,27 @@ class Encoder:
         shown[np.arange(symbols.shape[1])[None, :] >= wanted[:, None]] = 0
         low, high = occurrences(codes, suffixes, shown, wanted)
         count = high - low
-        symbol = np.repeat(possible, count)
-        offset = np.arange(len(symbol)) - np.repeat(np.cumsum(count) - count, count)
-        begin = suffixes.astype(np.int32)[np.repeat(low, count) + offset]
-        del offset, suffixes
+        symbol = np.repeat(possible.astype(np.int32), count)
+        at = np.arange(len(symbol)) + np.repeat(low - (np.cumsum(count) - count), count)
+        begin = suffixes.astype(np.int32)[at]
+        del at, suffixes
         # A character that no symbol begins with and equals is an edge of its own, symbol -1.
         covered = np.zeros(len(codes), dtype=bool)
-        covered[begin[lengths[symbol] == 1]] = True
+        lengths = lengths.astype(np.int32)
+        span = lengths[symbol]
+        covered[begin[span == 1]] = True
         alone = np.flatnonzero(~covered & (codes > 0)).astype(np.int32)
-        span = np.concatenate([lengths[symbol], np.ones(len(alone), np.int64)]).astype(np.int32)
+        span = np.concatenate([span, np.ones(len(alone), np.int32)])
         begin = np.concatenate([begin, alone])
-        symbol = np.concatenate([symbol.astype(np.int32), np.full(len(alone), -1, np.int32)])
+        symbol = np.concatenate([symbol, np.full(len(alone), -1, np.int32)])
         end = begin + span
         unit_of = np.repeat(starts, lens + 1).astype(np.int32)
         depth = end - unit_of[begin]
-        order = np.argsort(depth, kind="stable")
+        # Numpy sorts 16-bit numbers by their digits, which is much faster.
+        short = np.uint16 if int(lens.max(initial=0)) < 1 << 16 else np.int32
+        order = np.argsort(depth.astype(short), kind="stable")
         begin, symbol, end, depth = begin[order], symbol[order], end[order], depth[order]
+        del order, span
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(depth)) + 1, [len(depth)]))
         last = np.full(len(codes) + 1, -1, dtype=np.int64)
         back = np.full(len(codes) + 1, -1, dtype=np.int64)
@@ -309,7 +352,7 @@ class Encoder:
                 # Unknown characters merge with nothing; behind one a unit begins anew.
                 keys = np.maximum(before, 0).astype(np.int64) * wide + symbol[a:b] + 1
                 some, which = np.unique(keys, return_inverse=True)
-                fits = np.array([self._may_follow(k) for k in some.tolist()], dtype=bool)[which]
+                fits = self._may_follow(some.tolist())[which]
                 fits &= before >= 0
                 rows = np.flatnonzero(fits) + a
                 last[end[rows]] = symbol[rows] + 1
@@ -351,40 +394,38 @@ class Encoder:
             wide_ids = np.repeat(ids, size)
             wide_ids[np.repeat(ids < 0, size)] = [x for p in parts for x in p]
             which, ids = np.repeat(which, size), wide_ids
-        first = sum(map(len, self.sizes))
-        self.place.update(zip(units, range(first, first + len(units)), strict=True))
-        self.flat.append(ids.astype(np.int32))
-        self.sizes.append(np.bincount(which, minlength=len(units)))
+        return ids.astype(np.int32), np.bincount(which, minlength=len(units))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin."""
-        find = self.vocabulary.units.findall
-        parts = [find(SPACE_MARK + t.replace(" ", SPACE_MARK)) if t else [] for t in texts]
-        wanted = set().union(*parts)
-        if len(self.place) + len(wanted) > KEPT:
-            self._keep([u for u in wanted if u in self.place])
-        new, size = [], 0
-        for unit in sorted(wanted - self.place.keys()):
+        find, place, known = self.vocabulary.units.findall, self.place, len(self.place)
+        code = place.__getitem__
+        parts = [np.zeros(0, np.int64)]
+        for text in texts:
+            units = find(SPACE_MARK + text.replace(" ", SPACE_MARK)) if text else []
+            parts.append(np.fromiter(map(code, units), np.int64, len(units)))
+        learnt, new, size = [(self.flat, self.sizes)], [], 0
+        for unit in islice(place, known, None):
             new.append(unit)
             size += len(unit) + 1
             if size >= BATCH:
-                self._learn(new)
+                learnt.append(self._learn(new))
                 new, size = [], 0
         if new:
-            self._learn(new)
-        if not self.flat:
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        flat, sizes = np.concatenate(self.flat), np.concatenate(self.sizes)
-        self.flat, self.sizes = [flat], [sizes]
-        begins = np.cumsum(sizes) - sizes
-        place = self.place
-        codes = np.array([place[u] for p in parts for u in p], dtype=np.int64)
-        count = sizes[codes]
-        ends = np.cumsum(count)
-        offset = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count, count)
-        ids = flat[np.repeat(begins[codes], count) + offset]
-        bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-        return ids, np.concatenate(([0], ends))[bounds]
+            learnt.append(self._learn(new))
+        self.flat, self.sizes = map(np.concatenate, zip(*learnt, strict=True))
+        codes = np.concatenate(parts)
+        ids, count = self._ids_of(codes)
+        bounds = np.cumsum([len(p) for p in parts])
+        bounds = np.concatenate(([0], np.cumsum(count)))[bounds]
+        uses = np.bincount(codes, minlength=len(place))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        if len(place) > KEPT:
+            # Those used most, half as many as may be kept at most; one that came once is no use.
+            most = np.argsort(-uses, kind="stable")[: KEPT // 2]
+            self._keep(np.sort(most[uses[most] > 1]))
+        return ids, bounds
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -432,7 +473,7 @@ def encode_documents(
         words = shared.value
         encoder = encoder_of(words, vocabulary)
         for batch in batches:
-            whole = batch.column(len(kept))
+            whole = batch.column(at)
             # Texts are taken from the batch a group at a time.
             sizes = pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // GROUP)) + 1
@@ -450,9 +491,15 @@ def encode_documents(
                     pa.array(same, pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, plain)
+            # The next batch is read before the loop lets go of this one.
+            del batch, whole, columns
 
+    # The text travels once, unless a result takes its place.
     given = [named(f.name).alias(name) for f, name in zip(kept, plain, strict=False)]
-    return docs.select(*given, named(text_col).alias("text")).mapInArrow(run, schema).toDF(*names)
+    at = next((k for k, f in enumerate(kept) if f.name == text_col), len(kept))
+    if at == len(kept):
+        given.append(named(text_col).alias("text"))
+    return docs.select(*given).mapInArrow(run, schema).toDF(*names)
 
 
 def decode_documents(

@@ -97,3 +97,53 @@ def test_documents(make, odd_rows, library):
     back = pieces.decode_documents(out.drop("text"), ids_col="ids").collect()
     assert sorted(r.text for r in back) == sorted((r[1] or "").replace("▁", " ") for r in odd_rows)
     assert pieces.encode_documents(make([])).collect() == []
+
+
+def test_merging_is_leftmost_best_first():
+    rank = {"ab": -1.0, "bc": -0.5, "abc": -2.0, "aa": -1.0, "aaa": -3.0, "bca": -1.5}
+    v = pieces.Vocabulary(["<unk>", *rank], [0.0, *rank.values()], list(range(1, 7)), [], 0, True)
+
+    def slow(text):
+        parts = list(text)
+        while True:
+            some = [(rank.get(a + b), -k) for k, (a, b) in enumerate(zip(parts[:-1], parts[1:], strict=True))]
+            some = [s for s in some if s[0] is not None]
+            if not some:
+                return parts
+            k = -max(some)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choice("abcx") for _ in range(rng.randint(0, 9)))
+        assert v.merged(text) == slow(text)
+
+
+def test_memory_stays_bounded_on_words_that_come_once(vocabulary, library):
+    """Each group holds 40,000 words that no other has, beside some that all have."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    encoder = pieces.Encoder(vocabulary)
+    tracemalloc.start()
+    for _ in range(10):
+        text = " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(40_000))
+        ids, _ = encoder.encode([text, "all have these"])
+        assert ids[-3:].tolist() == library.encode("all have these")[-3:]
+        assert len(encoder.place) <= pieces.KEPT
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert "▁these" in encoder.place and len(encoder.follows) <= 2 * pieces.FOLLOWS
+    assert peak < 110e6, peak
+
+
+def test_a_text_reaches_python_once(make):
+    df = make([(1, "a text", "en", "a")]).select("doc_id", "text")
+
+    def sent(out):
+        (plan,) = [x for x in out._jdf.queryExecution().analyzed().toString().split("\n") if "MapInArrow" in x]
+        return plan.split("run(")[1].split(")")[0].count("#")
+
+    assert sent(pieces.encode_documents(df)) == 2
+    replaced = pieces.encode_documents(df, out="text")
+    assert sent(replaced) == 2 and replaced.first().n_pieces == len(replaced.first().text)
