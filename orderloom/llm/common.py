@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 # A key's rows are ranked in so many parts first.
 PARTS = 32
+# Links that one task may join; rounds go on while there are more.
+FEW_LINKS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,23 +50,56 @@ def checked_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All nodes of the links ``a, b``, and the smallest node that each can reach."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        own, other = root[x], root[y]
+        apart = own != other
+        if not apart.any():
+            return nodes, nodes[root]
+        x, y, own, other = x[apart], y[apart], own[apart], other[apart]
+        np.minimum.at(root, np.maximum(own, other), np.minimum(own, other))
+        while (root != (above := root[root])).any():
+            root = above
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """``node, root`` of at most FEW_LINKS links, which fit into one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        if ends:
+            nodes, roots = _stars(*[np.concatenate(end) for end in zip(*ends, strict=True)])
+            yield pa.RecordBatch.from_pydict(
+                {"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())}
+            )
+
+    return saved(links.coalesce(1).mapInArrow(run, "node long, root long"), "components")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected edges: ``node``, ``root`` (the smallest node reachable).
 
     Alternates large-star and small-star steps (Kiveris et al. 2014): each round every node links
     its neighbours to the smallest one seen, until nothing changes. A hub's links stay one row per
     neighbour, so no group is gathered: minima are aggregates and joins that Spark can split. Each
-    round is written to the scratch folder. Null ends and loops give no rows.
+    round is written to the scratch folder. Once FEW_LINKS or fewer are left, a number that does not
+    grow with the input, numpy ends the work in one pass, which saves rounds over next to no rows.
+    Ends are whole numbers; null ends and loops give no rows.
     """
+    a, b = F.col(a).cast("long"), F.col(b).cast("long")
     low, high = F.least(a, b), F.greatest(a, b)
     links = saved(
-        edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+        edges.where(a.isNotNull() & b.isNotNull() & (a != b))
         .select(high.alias("u"), low.alias("v"))
         .distinct(),
         "links",
     )
-    state = None
-    while True:
+    state, left = None, links.count()
+    while left > FEW_LINKS:
         # Large star: larger neighbours of a node go to the smallest of its neighbourhood.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -91,12 +128,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         now = links.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()
-        if tuple(now) == state or not now[0]:
-            break
-        state = tuple(now)
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        links.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
-    )
+        if tuple(now) == state:
+            return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                links.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+            )
+        state, left = tuple(now), now[0]
+    return _joined(links)
 
 
 def numbered(df: DataFrame, id_col: str) -> tuple[DataFrame, str]:

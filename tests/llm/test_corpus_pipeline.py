@@ -4,7 +4,7 @@ import re
 import pytest
 
 import corpus_pipeline as cp
-from orderloom.llm import mixing, pieces, quality
+from orderloom.llm import common, mixing, pieces, quality
 from orderloom.llm.common import components, numbered, table
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +104,46 @@ def test_rows_are_numbered_where_ids_do_not_tell(spark):
     rows, name = numbered(df, "doc_id")
     assert name not in df.columns and len({r[name] for r in rows.collect()}) == 3
     assert numbered(df.where("_row = 'b'").fillna(3), "doc_id")[1] == "doc_id"
+
+
+def random_graph(rng):
+    """Edges with nulls, loops, repeats, a hub and long paths, and the smallest node each reaches."""
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(rng.choice([60, 150, 400]))]
+    edges += [(1000 + k, 1001 + k) for k in range(40)] + [(2**62, 5000 + k) for k in range(30)]
+    edges += [(-3, 1020), (-3, 1020), (5, None), (None, None), (7, 7)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    return edges, {(x, find(x)) for x in parent}
+
+
+@pytest.mark.parametrize("few", [0, 30, 10**6])
+def test_components_by_rounds_and_in_one_pass(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_LINKS", few)
+    edges, wanted = random_graph(random.Random(2))
+    got = components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
+    assert len(got) == len(wanted) and {(r.node, r.root) for r in got} == wanted
+    assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """Each round of a path this long is five shuffles over next to no rows."""
+    written, write = [], common.saved
+
+    def counted(df, label):
+        written.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(common, "saved", counted)
+    edges = spark.createDataFrame([(k, k + 1) for k in range(500)], "a long, b long")
+    assert {r.root for r in components(edges, "a", "b").collect()} == {0}
+    assert len(written) == 2
