@@ -9,12 +9,13 @@ belongs to the prefix of s: pivots are looked up in prefixes, not bigrams in big
 
 Position limits: the edit lies on one side of the surviving pivot. What is on the other side is the
 same in both words, so the pivot's distance from the word's start, or from its end, is the same too.
-On the side of the edit the first or the last code point stays, unless little is left there. The
-same text and that code point are the join key, which leaves few candidates for the exact check.
+On the side of the edit the first or the last half of the code points stays. The same text and that
+half are the join key, which leaves few candidates for the exact check.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -101,14 +102,18 @@ def pivots(grams: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def side_keys(same: str, edited: str) -> list[tuple[str, str]]:
-    """Keys of a word by the text that stays, and a code point of the other side that may stay.
+    """Keys of a word by the text that stays, and half of the other side that may stay.
 
-    Two sides of at least two code points agree in the first or in the last one after an edit; where
-    one is shorter, both have at most two.
+    Of two sides that are one edit apart, the shorter with ``m`` code points, the first or the last
+    ``m // 2`` are the same. The side may be the shorter or the longer one: ``m`` is its length or
+    one less.
     """
-    out = [(same, "")] if len(edited) <= 2 else []
-    if len(edited) >= 2:
-        out += [(same, "<" + edited[0]), (same, ">" + edited[-1])]
+    size, out = len(edited), []
+    for half in sorted({size // 2, max(size - 1, 0) // 2}):
+        if half:
+            out += [(same, "<" + edited[:half]), (same, ">" + edited[-half:])]
+        else:
+            out.append((same, ""))
     return out
 
 
@@ -128,8 +133,8 @@ def _keys(ranks: dict[str, int]):
                         (True, side_keys(word[:end], word[end:])),
                         (False, side_keys(word[start:], word[:start])),
                     ):
-                        out += [(same, point, head, gram in chosen, last, word, n) for same, point in found]
-            yield pd.DataFrame(out, columns=["same", "point", "head", "pivot", "last", "word", "n"])
+                        out += [(same, part, head, gram in chosen, last, word, n) for same, part in found]
+            yield pd.DataFrame(out, columns=["same", "part", "head", "pivot", "last", "word", "n"])
 
     return keys
 
@@ -139,11 +144,11 @@ def near_words(words: DataFrame) -> DataFrame:
     rows = saved(
         words.mapInPandas(
             _keys(gram_ranks(words)),
-            "same string, point string, head boolean, pivot boolean, last int, word string, n long",
+            "same string, part string, head boolean, pivot boolean, last int, word string, n long",
         ),
         "grams",
     )
-    key = ["same", "point", "head"]
+    key = ["same", "part", "head"]
 
     def side(df: DataFrame, end: str) -> DataFrame:
         return df.select(*key, *[F.col(c).alias(f"{c}_{end}") for c in ("last", "word", "n")])
@@ -167,18 +172,21 @@ def near_words(words: DataFrame) -> DataFrame:
 
 
 def roots(forms: DataFrame) -> DataFrame:
-    """``word, root``: where the forms that start at a word end.
+    """``word, root`` of the words whose form has a form itself: where the forms end.
 
-    Every round doubles the steps taken. A form is ``ratio`` times as frequent as its word, so a
-    path has no circle and few steps.
+    A round is a step, and only words that took it are written and go on. A form is ``ratio`` times
+    as frequent as its word, so a path has no circle and few steps, and few words take many.
     """
-    paths = saved(forms.select("word", F.col("form").alias("root")), "forms")
-    while True:
-        ahead = paths.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        longer = paths.join(ahead, "root", "left")
-        if longer.where("further is not null").isEmpty():
-            return paths
-        paths = saved(longer.select("word", F.coalesce("further", "root").alias("root")), "forms")
+    ahead = forms.select(F.col("word").alias("root"), F.col("form").alias("further"))
+    going, ends = forms.select("word", F.col("form").alias("root")), None
+    for step in itertools.count():
+        longer = going.join(ahead, "root").select(
+            "word", F.col("further").alias("root"), F.lit(step).alias("step")
+        )
+        going = saved(longer, "forms")
+        ends = going if ends is None else ends.union(going)
+        if going.isEmpty():
+            return ends.groupBy("word").agg(F.max_by("root", "step").alias("root"))
 
 
 def variants(
@@ -202,10 +210,11 @@ def variants(
     words = saved(
         word_counts(docs, id_col=id_col, text_col=text_col, shortest=shortest, fewest=fewest), "words"
     )
-    pairs = saved(near_words(words), "near-words")
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("n")).union(
-        pairs.select("b", "a", "n_a")
-    )
+
+    def end(word: str, other: str, n: str) -> Column:
+        return F.struct(F.col(word).alias("word"), F.col(other).alias("other"), F.col(n).alias("n"))
+
+    both = near_words(words).select(F.inline(F.array(end("a", "b", "n_b"), end("b", "a", "n_a"))))
     # The smallest of (-n, word) is the most frequent, then the first in code-point order.
     near = both.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("minus"), "other")).alias("top")
@@ -220,7 +229,7 @@ def variants(
         "described",
     )
     ends = roots(described.where("form is not null"))
-    return described.join(ends, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return described.join(ends, "word", "left").withColumn("root", F.coalesce("root", "form", "word"))
 
 
 def oracle() -> str:

@@ -111,3 +111,29 @@ def test_parameters(make):
     assert result(spelling.variants(make(rows), shortest=4, fewest=2, ratio=2)) == brute(rows, 4, 2, 2)
     with pytest.raises(ValueError):
         spelling.variants(make(rows), shortest=2)
+
+
+def test_sides_one_edit_apart_share_a_key_and_others_rarely():
+    """Before, the first or the last code point alone was the key: all words with it met."""
+    for side in ["", "a", "ab", "aa", "abc", "aab", "abcd", "abcde", "ababab", "straßen"]:
+        keys = set(spelling.side_keys("th", side))
+        assert all(keys & set(spelling.side_keys("th", other)) for other in edits(side, "abxß"))
+    far = [set(spelling.side_keys("th", side)) for side in ("entional", "evvvvvvl", "ewwwwwl", "exxxxxxxl")]
+    assert not any(a & b for a, b in itertools.combinations(far, 2))
+
+
+def test_only_what_is_read_again_is_written(make, monkeypatch):
+    """Before, pairs were written, and the forms of all words once a round."""
+    written = []
+
+    def saved(df, label):
+        out = kept(df, label)
+        written.append((label, out.count()))
+        return out
+
+    kept = spelling.saved
+    monkeypatch.setattr(spelling, "saved", saved)
+    rows = texts_of([("aaaaaa", 5), ("aaaaab", 30), ("aaaabb", 160), ("zzzzzz", 5), ("zzzzzy", 50)])
+    assert result(spelling.variants(make(rows))) == brute(rows)
+    assert [label for label, _ in written] == ["words", "grams", "described", "forms", "forms"]
+    assert [n for label, n in written if label == "forms"] == [1, 0]
