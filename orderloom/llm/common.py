@@ -50,7 +50,7 @@ def checked_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All nodes of the links ``a, b``, and the smallest node that each can reach."""
     nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     x, y = place[: len(a)], place[len(a) :]
@@ -72,7 +72,7 @@ def _joined(links: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
         if ends:
-            nodes, roots = _stars(*[np.concatenate(end) for end in zip(*ends, strict=True)])
+            nodes, roots = stars(*[np.concatenate(end) for end in zip(*ends, strict=True)])
             yield pa.RecordBatch.from_pydict(
                 {"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())}
             )

@@ -138,3 +138,65 @@ def test_hashes_do_not_depend_on_the_pieces(monkeypatch):
     hashing._tables.cache_clear()
     assert (whole[:3] == whole[bounds[5] : bounds[6]]).all()
     assert len(shingle_hashes(whole[:0], 3)) == 0
+
+
+def test_chance_meetings_send_no_sets(make, monkeypatch):
+    """Sets that share a few frequent shingles, which the counts cannot tell from rare ones."""
+    sent, whole = [], jaccard._sets
+
+    def sets(texts, wanted, width):
+        sent.extend(r.doc_id for r in wanted.select("doc_id").collect())
+        return whole(texts, wanted, width)
+
+    monkeypatch.setattr(jaccard, "BUCKET", 4)
+    monkeypatch.setattr(jaccard, "_sets", sets)
+    table = np.ones(jaccard.SLICES * jaccard.SLICE, np.uint32)
+    monkeypatch.setattr(jaccard, "frequency_table", lambda *_: table)
+    rng = random.Random(3)
+    shared = " ".join(f"s{k}" for k in range(14))
+    rows = [
+        (k, " ".join(f"d{k}x{j}" for j in range(60)) + " " + shared, "en", "a") for k in range(50)
+    ]
+    base = " ".join(f"b{k}" for k in range(200))
+    rows += [(100 + k, edited(rng, base, 1), "en", "a") for k in range(12)]
+    assert got(jaccard.join(make(rows), width=3, num=90)) == expected(rows, 3, 90, 100)
+    assert sorted(sent) == list(range(100, 112))
+
+
+@pytest.mark.parametrize("matches,each,num", [(1, 1000, 40), (3, 8, 80)])
+def test_large_buckets_in_blocks_of_bits(make, monkeypatch, matches, each, num):
+    """Frequent shingles all over, parts of buckets that a pivot does not reach, sets of many sizes."""
+    monkeypatch.setattr(jaccard, "BUCKET", 2)
+    monkeypatch.setattr(jaccard, "BITS_BLOCK", 3)
+    monkeypatch.setattr(jaccard, "MATCHES", matches)
+    monkeypatch.setattr(jaccard, "MATCHES_EACH", each)
+    table = np.ones(jaccard.SLICES * jaccard.SLICE, np.uint32)
+    monkeypatch.setattr(jaccard, "frequency_table", lambda *_: table)
+    rng = random.Random(matches)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(90):
+        start = rng.randrange(40)
+        part = " ".join(base[start : start + rng.randint(20, 110)])
+        rows.append((k, edited(rng, part, rng.randint(0, 3)), "en", "a"))
+    rows += [(200 + k, *r[1:]) for k, r in enumerate(near_copies(6, 4))]
+    assert got(jaccard.join(make(rows), width=2, num=num)) == expected(rows, 2, num, 100)
+
+
+def test_bits_differ_in_no_more_places_than_sets(spark):
+    rng = np.random.default_rng(5)
+    nodes, pairs, true = [], [], set()
+    for k in range(0, 120, 2):
+        a = np.unique(rng.integers(1, 2**63, int(rng.integers(1, 400)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > k / 400], rng.choice(a, 1)]))
+        b = np.unique(np.concatenate([b, rng.integers(1, 2**63, k // 8, dtype=np.uint64)]))
+        nodes += [(k + i, len(s), bytearray(jaccard.parity_bits(s))) for i, s in enumerate((a, b))]
+        pairs += [(k, k + 1), (k, (k + 7) % 120)]
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 70 * (len(a) + len(b) - common):
+            true.add((k, k + 1))
+    nodes = spark.createDataFrame(nodes, "set_id long, n long, bits binary")
+    found = jaccard._possible(spark.createDataFrame(pairs, "a long, b long"), nodes, 70, 100)
+    found = {(r.a, r.b) for r in found.collect()}
+    assert true <= found
+    assert all(b == a + 1 for a, b in found)
