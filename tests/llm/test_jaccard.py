@@ -153,7 +153,7 @@ def test_chance_meetings_send_no_sets(make, monkeypatch):
     table = np.ones(jaccard.SLICES * jaccard.SLICE, np.uint32)
     monkeypatch.setattr(jaccard, "frequency_table", lambda *_: table)
     rng = random.Random(3)
-    shared = " ".join(f"s{k}" for k in range(14))
+    shared = " ".join(f"u{k}" for k in range(14))
     rows = [
         (k, " ".join(f"d{k}x{j}" for j in range(60)) + " " + shared, "en", "a") for k in range(50)
     ]
